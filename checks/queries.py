@@ -342,7 +342,7 @@ def consensus_set_by_source(spark, sf_dir):
 
 @query
 def consensus_fuzzy_by_source(spark, sf_dir):
-    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir), ["source"], order="order", block=32)
+    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir), ["source"], order="order", block=128)
 
 
 @query
@@ -379,8 +379,9 @@ def _struct(df: DataFrame, name: str) -> DataFrame:
 def _register_votes(mode: str) -> None:
     def within(spark, sf_dir):
         voted = _voted(spark, sf_dir, within_mode=mode, between=False)
-        each = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_within_{i}").alias("v")) for i, m in enumerate(MODELS)])
-        return voted.select("doc_id", F.inline(each)).select("doc_id", "model", "v.consensus", "v.confidence", "v.n_responses")
+        each = voted.select("doc_id", F.posexplode("_within").alias("at", "v"))
+        model = F.array(*[F.lit(m) for m in MODELS])[F.col("at")]
+        return each.select("doc_id", model.alias("model"), "v.consensus", "v.confidence", "v.n_responses")
 
     def between(spark, sf_dir):
         return _struct(_voted(spark, sf_dir, within_mode=mode), "_between")

@@ -97,27 +97,29 @@ def group_leaders(answers: Column, threshold: float) -> Column:
     return leaders_of(answers)
 
 
-def group_answers(answers: Column, threshold: float) -> Column:
-    """Distinct non-null answers of a bounded array, first seen first: value, ct, leader.
+def group_answers(ballots: Column, threshold: float) -> Column:
+    """Per array of answers: its distinct non-null answers, first seen first, as value, ct, leader.
 
     Everything a vote needs comes back in one value. The function is declared
     non-deterministic so that a vote on the outcome of other votes is planned as a
     second step on finished columns, never folded into the first.
     """
 
-    @F.arrow_udf("array<struct<value: string, ct: int, leader: int>>")
+    def groups(answers: list[str | None]) -> list[dict]:
+        counts: dict[str, int] = {}
+        for answer in answers:
+            if answer is not None:
+                counts[answer] = counts.get(answer, 0) + 1
+        leaders = _leaders(list(counts), threshold)
+        return [{"value": v, "ct": n, "leader": at} for (v, n), at in zip(counts.items(), leaders)]
+
+    @F.arrow_udf("array<array<struct<value: string, ct: int, leader: int>>>")
     def grouped(rows: pa.Array) -> pa.Array:
-        out = []
-        for row in rows.to_pylist():
-            counts: dict[str, int] = {}
-            for answer in row or ():
-                if answer is not None:
-                    counts[answer] = counts.get(answer, 0) + 1
-            leaders = _leaders(list(counts), threshold)
-            out.append([{"value": v, "ct": n, "leader": at} for (v, n), at in zip(counts.items(), leaders)])
-        return pa.array(out, pa.list_(pa.struct([("value", pa.string()), ("ct", pa.int32()), ("leader", pa.int32())])))
-
-    return grouped.asNondeterministic()(answers)
+        group = pa.struct([("value", pa.string()), ("ct", pa.int32()), ("leader", pa.int32())])
+        out = [[groups(answers or []) for answers in row] for row in rows.to_pylist()]
+        return pa.array(out, pa.list_(pa.list_(group)))
+
+    return grouped.asNondeterministic()(ballots)
 
 
 def first_matching(answer: Column, leaders: Column, threshold: float) -> Column:

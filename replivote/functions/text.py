@@ -12,11 +12,12 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_SPACES = r"(?U)[\s\x1c-\x1f]++"
-_NOT_WORD = r"[^\p{L}\p{N}]"
-# The look-behind lets a trailing run be tried only from its first character, so
-# long runs of punctuation inside a text stay linear.
-_OUTER_PUNCTUATION = rf"^{_NOT_WORD}++|(?<!{_NOT_WORD}){_NOT_WORD}++\z"
+_SPACE = r"\s\x1c-\x1f"
+_SPACES = rf"(?U)[{_SPACE}]++"
+# Runs that are not one plain blank already, so ordinary text needs no replacing.
+_UNEVEN_SPACES = rf"(?U)[{_SPACE}&&[^ ]][{_SPACE}]*+| [{_SPACE}]++"
+# From the first to the last letter or digit; only the two ends are looked at closely.
+_CORE = r"(?s)^[^\p{L}\p{N}]*+(.*[\p{L}\p{N}])"
 
 
 def strip(text: Column) -> Column:
@@ -36,13 +37,12 @@ def clean_response(text: Column) -> Column:
 
 def normalize(text: Column) -> Column:
     """Lower-case, drop outer non-alphanumerics, collapse inner white space."""
-    bare = F.regexp_replace(strip(F.lower(text)), _OUTER_PUNCTUATION, "")
-    return F.regexp_replace(bare, _SPACES, " ")
+    return F.regexp_replace(F.regexp_extract(F.lower(text), _CORE, 1), _UNEVEN_SPACES, " ")
 
 
 def normalize_light(text: Column) -> Column:
     """Lower-case, trim, collapse inner white space; punctuation stays."""
-    return F.regexp_replace(strip(F.lower(text)), _SPACES, " ")
+    return F.regexp_replace(strip(F.lower(text)), _UNEVEN_SPACES, " ")
 
 
 def split_set(text: Column) -> Column:

@@ -43,9 +43,14 @@ def prepare(answers: Column, mode: str) -> Column:
     return F.transform(answers, lambda a: F.when(~text.is_blank(a), shape(a)))
 
 
-def of_model(prepared: Column, models: int, index: int) -> Column:
+def of_model(answers: Column, models: int, index: int) -> Column:
     """One model's answers, in run order, from a run-major array."""
-    return F.filter(prepared, lambda _, i: i % models == index)
+    return F.filter(answers, lambda _, i: i % models == index)
+
+
+def by_model(prepared: Column, models: int) -> Column:
+    """A run-major array cut into one array per model."""
+    return F.array(*[of_model(prepared, models, m) for m in range(models)])
 
 
 def _spoken(prepared: Column) -> Column:
@@ -131,12 +136,15 @@ def vote_set(prepared: Column) -> Column:
     return _let(_spoken(prepared), choose)
 
 
-def vote_fuzzy(prepared: Column, threshold: float = 85) -> Column:
-    """Most frequent answer of the largest similarity group; confidence = the group's share."""
+def vote_groups(groups: Column, threshold: float) -> Column:
+    """Most frequent answer of the largest similarity group; confidence = the group's share.
+
+    ``groups`` lists the distinct answers, first seen first: value, ct, leader.
+    """
 
-    def choose(groups: Column) -> Column:
+    def choose(bound: Column) -> Column:
         members = F.transform(
-            groups,
+            bound,
             lambda g, i: F.struct(
                 g["leader"].alias("leader"),
                 group_weight(g["value"], g["ct"], threshold).alias("weight"),
@@ -144,10 +152,10 @@ def vote_fuzzy(prepared: Column, threshold: float = 85) -> Column:
                 g["value"].alias("value"),
             ),
         )
-        n = F.aggregate(groups, F.lit(0).cast("long"), lambda acc, g: acc + g["ct"])
+        n = F.aggregate(bound, F.lit(0).cast("long"), lambda acc, g: acc + g["ct"])
         return _let(members, lambda ms: _let(_largest_group(ms), lambda top: _pick(ms, top, n)))
 
-    return _let(group_answers(prepared, threshold), choose)
+    return _let(groups, choose)
 
 
 def group_weight(value: Column, ct: Column, threshold: float) -> Column:
@@ -188,11 +196,18 @@ def _pick(members: Column, top: Column, n: Column) -> Column:
     return _result(modal["value"], ratio3(top["size"], n), n)
 
 
-def vote(prepared: Column, mode: str, threshold: float = 85) -> Column:
-    """Consensus struct (consensus, confidence, n_responses) for prepared answers."""
+def vote_each(ballots: Column, mode: str, threshold: float = 85) -> Column:
+    """Consensus structs (consensus, confidence, n_responses), one per array of prepared answers."""
     if check_mode(mode) == "exact":
-        return vote_exact(prepared)
-    return vote_set(prepared) if mode == "set" else vote_fuzzy(prepared, threshold)
+        return F.transform(ballots, vote_exact)
+    if mode == "set":
+        return F.transform(ballots, vote_set)
+    return F.transform(group_answers(ballots, threshold), lambda groups: vote_groups(groups, threshold))
+
+
+def vote(prepared: Column, mode: str, threshold: float = 85) -> Column:
+    """Consensus struct for one array of prepared answers."""
+    return vote_each(F.array(prepared), mode, threshold)[0]
 
 
 def vote_simple(answers: Column) -> Column:

@@ -55,7 +55,7 @@ def _items(answers: DataFrame, keys: Sequence[str], parts: Column) -> DataFrame:
     """Per key: one row per item with ``_ct`` and ``_first`` and, with a null item, the answer count."""
     listed = answers.select(*keys, "_order", "_said", F.concat(F.array(F.lit(None).cast("string")), parts).alias("_parts"))
     each = listed.select(
-        *keys, "_order", F.col("_said").isNotNull().alias("_spoke"), F.posexplode("_parts").alias("_pos", "_item")
+        *keys, "_order", F.col("_said").isNotNull().alias("_spoke"), F.posexplode_outer("_parts").alias("_pos", "_item")
     )
     return each.groupBy(*keys, "_item").agg(
         F.count(F.when(F.col("_spoke"), 1)).alias("_ct"), F.min(F.struct("_order", "_pos")).alias("_first")

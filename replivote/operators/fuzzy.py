@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
 from replivote.functions.similarity import first_matching, group_leaders, token_set_ratio
-from replivote.functions.votes import group_weight
+from replivote.functions.votes import group_weight, vote_groups
 from replivote.operators.answers import answers_of, distinct_answers
 from replivote.session import checkpointed
 
@@ -30,11 +30,16 @@ def _distinct(votes: DataFrame, keys, response, order, errors_vote) -> DataFrame
     return distinct_answers(answers, keys, text.normalize(F.col("_said")))
 
 
+def _gathered(distinct: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+    """One row per key with its (bounded) distinct answers in order and their leaders' positions."""
+    row = F.when(F.col("_value").isNotNull(), F.struct("_first", "_value", "_ct"))
+    gathered = distinct.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    return gathered.withColumn("_lead", group_leaders(F.transform("_rows", lambda r: r["_value"]), threshold))
+
+
 def _block_groups(distinct: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
     """Group each key's (bounded) distinct answers; adds the leader and its first position."""
-    gathered = distinct.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_first", "_value", "_ct"))).alias("_rows"))
-    led = gathered.withColumn("_lead", group_leaders(F.transform("_rows", lambda r: r["_value"]), threshold))
-    each = led.select(*keys, "_rows", "_lead", F.posexplode("_rows").alias("_at", "_row"))
+    each = _gathered(distinct, keys, threshold).select(*keys, "_rows", "_lead", F.posexplode("_rows").alias("_at", "_row"))
     leader = F.col("_rows")[F.col("_lead")[F.col("_at")]]
     return each.select(
         *keys,
@@ -46,6 +51,16 @@ def _block_groups(distinct: DataFrame, keys: Sequence[str], threshold: float) ->
     )
 
 
+def _block_consensus(distinct: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+    """Vote within each key's (bounded) distinct answers; keys where all abstained stay."""
+    groups = F.transform(
+        "_rows",
+        lambda r, i: F.struct(r["_value"].alias("value"), r["_ct"].alias("ct"), F.col("_lead")[i].alias("leader")),
+    )
+    voted = _gathered(distinct, keys, threshold).select(*keys, vote_groups(groups, threshold).alias("_vote"))
+    return voted.select(*keys, "_vote.consensus", "_vote.confidence", "_vote.n_responses")
+
+
 def _first_block(rows: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
     """The first ``block`` answers of every key, cut in two steps so no task sees a whole key."""
     by_salt = Window.partitionBy(*keys, "_salt").orderBy("_first", "_value")
@@ -106,6 +121,24 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
     return done
 
 
+def _split_by_size(distinct: DataFrame, keys: Sequence[str], max_votes: int | None, block: int):
+    """Answers of keys one task can group, and those of larger keys (None when there are none).
+
+    A stated bound decides without looking; otherwise the distinct answers are
+    checkpointed and counted per key.
+    """
+    if max_votes is not None and max_votes <= block:
+        return distinct, None
+    distinct = checkpointed(distinct)
+    spoken = distinct.where(F.col("_value").isNotNull())
+    large = spoken.groupBy(*keys).count().where(F.col("count") > block).drop("count")
+    if large.isEmpty():
+        return distinct, None
+    many = _renamed(large, keys)
+    small = distinct.join(many, _same_key(distinct, many, keys), "left_anti")
+    return small, spoken.join(many, _same_key(spoken, many, keys), "left_semi")
+
+
 def greedy_groups(
     votes: DataFrame,
     keys: Sequence[str],
@@ -124,31 +157,15 @@ def greedy_groups(
     on answers per key; without one the number of distinct answers is measured and
     keys above ``block`` are grouped in rounds.
     """
-    groups = _groups(_distinct(votes, keys, response, order, errors_vote), keys, threshold, max_votes, block)
-    return groups.where(F.col("_value").isNotNull()).select(
+    small, large = _split_by_size(_distinct(votes, keys, response, order, errors_vote), keys, max_votes, block)
+    groups = _block_groups(small, keys, threshold)
+    if large is not None:
+        groups = groups.unionByName(_group_large(large, keys, threshold, block))
+    return groups.select(
         *keys, F.col("_value").alias("answer"), F.col("_leader").alias("leader"), F.col("_ct").alias("n_votes")
     )
 
 
-def _groups(distinct: DataFrame, keys, threshold: float, max_votes: int | None, block: int) -> DataFrame:
-    """Grouped answers, plus one row with a null value for keys where someone abstained."""
-    if max_votes is None or max_votes > block:
-        distinct = checkpointed(distinct)
-    spoken = distinct.where(F.col("_value").isNotNull())
-    silent = distinct.where(F.col("_value").isNull()).select(
-        "*", F.lit(None).cast("string").alias("_leader"), F.lit(None).cast(distinct.schema["_first"].dataType).alias("_leader_first")
-    )
-    if max_votes is not None and max_votes <= block:
-        return _block_groups(spoken, keys, threshold).unionByName(silent)
-    large = spoken.groupBy(*keys).count().where(F.col("count") > block).drop("count")
-    if large.isEmpty():
-        return _block_groups(spoken, keys, threshold).unionByName(silent)
-    many = _renamed(large, keys)
-    small = spoken.join(many, _same_key(spoken, many, keys), "left_anti")
-    rows = spoken.join(many, _same_key(spoken, many, keys), "left_semi")
-    return _block_groups(small, keys, threshold).unionByName(_group_large(rows, keys, threshold, block)).unionByName(silent)
-
-
 def consensus_fuzzy(
     votes: DataFrame,
     keys: Sequence[str],
@@ -160,28 +177,31 @@ def consensus_fuzzy(
     max_votes: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Most frequent answer of the largest similarity group per key; confidence = the group's share."""
-    groups = _groups(_distinct(votes, keys, response, order, errors_vote), keys, threshold, max_votes, block)
-    spoken = F.col("_value").isNotNull()
-    weight = F.when(spoken, group_weight(F.col("_value"), F.col("_ct"), threshold))
+    """Most frequent answer of the largest similarity group per key; confidence = the group's share.
+
+    Bounds on the size of a key work as in ``greedy_groups``.
+    """
+    small, large = _split_by_size(_distinct(votes, keys, response, order, errors_vote), keys, max_votes, block)
+    result = _block_consensus(small, keys, threshold)
+    if large is not None:
+        result = result.unionByName(_large_consensus(_group_large(large, keys, threshold, block), keys, threshold))
+    return result
+
+
+def _large_consensus(groups: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+    """The vote over grouped answers of any number, combined map-side."""
     by_group = (
-        groups.withColumn("_weight", weight)
+        groups.withColumn("_weight", group_weight(F.col("_value"), F.col("_ct"), threshold))
         .groupBy(*keys, "_leader", "_leader_first")
         .agg(
             F.sum("_weight").alias("_size"),
-            F.min_by("_value", F.when(spoken, F.struct(-F.col("_weight"), F.col("_first")))).alias("_modal"),
-            F.sum(F.when(spoken, F.col("_ct"))).alias("_votes"),
+            F.min_by("_value", F.struct(-F.col("_weight"), F.col("_first"))).alias("_modal"),
+            F.sum("_ct").alias("_votes"),
         )
     )
-    named = F.col("_leader").isNotNull()
     top = by_group.groupBy(*keys).agg(
-        F.min_by("_modal", F.when(named, F.struct(-F.col("_size"), F.col("_leader_first")))).alias("_top"),
+        F.min_by("_modal", F.struct(-F.col("_size"), F.col("_leader_first"))).alias("consensus"),
         F.max("_size").alias("_best"),
-        F.coalesce(F.sum("_votes"), F.lit(0)).alias("n_responses"),
-    )
-    return top.select(
-        *keys,
-        F.coalesce("_top", F.lit("")).alias("consensus"),
-        F.coalesce(ratio3(F.col("_best"), F.col("n_responses")), F.lit(0.0)).alias("confidence"),
-        "n_responses",
+        F.sum("_votes").alias("n_responses"),
     )
+    return top.select(*keys, "consensus", ratio3(F.col("_best"), F.col("n_responses")).alias("confidence"), "n_responses")

@@ -50,7 +50,7 @@ class Voting:
 
 
 def add_votes(annotated: DataFrame, models: int, voting: Voting) -> DataFrame:
-    """Add structs ``_within_{i}``, ``_pooled`` and ``_between`` as far as asked for.
+    """Add ``_within`` (one struct per model), ``_pooled`` and ``_between`` as far as asked for.
 
     Each row carries its own answers, so this is a chain of projections without a
     shuffle. Answers are normalised once per mode in use.
@@ -65,15 +65,13 @@ def add_votes(annotated: DataFrame, models: int, voting: Voting) -> DataFrame:
 
     taken: dict[str, Column] = {}
     if voting.within:
-        for i in range(models):
-            own = votes.of_model(prepared(voting.within_mode), models, i)
-            taken[f"_within_{i}"] = votes.vote(own, voting.within_mode, voting.within_threshold)
+        ballots = votes.by_model(prepared(voting.within_mode), models)
+        taken["_within"] = votes.vote_each(ballots, voting.within_mode, voting.within_threshold)
     if voting.aggregate:
         taken["_pooled"] = votes.vote(prepared(voting.mode_pooled), voting.mode_pooled, voting.threshold_pooled)
     voted = heard.withColumns(taken) if taken else heard
     if voting.between and voting.within and models > 1:
-        opinions = F.array(*[F.col(f"_within_{i}.consensus") for i in range(models)])
-        ready = votes.prepare(opinions, voting.mode_between)
+        ready = votes.prepare(F.col("_within.consensus"), voting.mode_between)
         voted = voted.withColumn("_between", votes.vote(ready, voting.mode_between, voting.threshold_between))
     return voted.drop("_heard", "_prepared_exact", "_prepared_set")
 
@@ -82,13 +80,14 @@ def wide_result(voted: DataFrame, keys: Sequence[str], models: Sequence[str], ru
     """Keys, answers run-major, consensus pairs by model, pooled and between pairs."""
     columns = [*[F.col(k) for k in keys], *wide_answers(F.col("answers"), models, runs)]
 
-    def pair(struct: str, name: str, suffix: str = "") -> None:
-        if struct in voted.columns:
-            columns.append(F.col(f"{struct}.consensus").alias(f"{name}{suffix}"))
-            columns.append(F.col(f"{struct}.confidence").alias(f"{name}_Confidence{suffix}"))
+    def pair(vote: Column, name: str, suffix: str = "") -> list[Column]:
+        return [vote["consensus"].alias(f"{name}{suffix}"), vote["confidence"].alias(f"{name}_Confidence{suffix}")]
 
-    for i, m in enumerate(models):
-        pair(f"_within_{i}", "Consensus", f" ({m})")
-    pair("_pooled", "Aggregated_Consensus")
-    pair("_between", "BetweenModel_Consensus")
+    if "_within" in voted.columns:
+        for i, m in enumerate(models):
+            columns += pair(F.col("_within")[i], "Consensus", f" ({m})")
+    if "_pooled" in voted.columns:
+        columns += pair(F.col("_pooled"), "Aggregated_Consensus")
+    if "_between" in voted.columns:
+        columns += pair(F.col("_between"), "BetweenModel_Consensus")
     return voted.select(*columns)

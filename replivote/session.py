@@ -40,12 +40,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a narrow scan of a few files over the cluster, by ``keys`` if given.
+    """Spread the rows of a narrow file scan over the cluster before a fan-out.
 
-    Hash partitioning on the keys also serves every later grouping that includes
-    them. Without keys, a scan that already has a file per core is left alone.
+    With keys, hash partitioning also serves every later grouping that includes
+    them. The number of partitions is stated: the rows are about to multiply, so
+    their size now must not let the adaptive planner merge them. Without keys, a
+    scan that already has a partition per core is left alone.
     """
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
     if keys:
-        return scan.repartition(*keys)
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if len(scan.inputFiles()) >= cores else scan.repartition(cores)
+        return scan.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
