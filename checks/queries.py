@@ -16,8 +16,8 @@ from replivote.operators import annotate as an
 from replivote.operators import consensus as con
 from replivote.operators import fuzzy, items, report, reshape, tasks
 from replivote.plans import abstracts, analysis
-from replivote.plans.voting import Voting, add_votes
-from replivote.session import fresh_path
+from replivote.plans.voting import Voting, add_votes, long_votes
+from replivote.session import fresh_path, spread
 from replivote.sources import images as img
 from replivote.sources import tables, workbooks
 
@@ -36,6 +36,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts by doc_id, spread over the cores when one file holds them all."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # --- scans and sinks
 
 
@@ -162,18 +167,18 @@ def clean_response(spark, sf_dir):
 
 @query
 def normalize_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.normalize(F.col("text")).alias("normalized"))
+    return _texts(spark, sf_dir).select("doc_id", text.normalize(F.col("text")).alias("normalized"))
 
 
 @query
 def normalize_light(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.normalize_light(F.col("text")).alias("normalized"))
+    return _texts(spark, sf_dir).select("doc_id", text.normalize_light(F.col("text")).alias("normalized"))
 
 
 @query
 def split_set(spark, sf_dir):
     parts = text.split_set(F.col("text"))
-    return table(spark, sf_dir, "documents").select(
+    return _texts(spark, sf_dir).select(
         "doc_id", F.size(parts).cast("long").alias("n_items"), F.array_join(parts, "|").alias("items")
     )
 
@@ -181,7 +186,7 @@ def split_set(spark, sf_dir):
 @query
 def tokenize_words(spark, sf_dir):
     words = text.tokenize(F.col("text"))
-    return table(spark, sf_dir, "documents").select(
+    return _texts(spark, sf_dir).select(
         "doc_id", F.size(words).cast("long").alias("n_words"), F.array_join(words, "|").alias("words")
     )
 
@@ -227,7 +232,7 @@ def fan_out_models(spark, sf_dir):
 
 
 def _annotated(spark, sf_dir):
-    tasks_ = tasks.text_tasks(table(spark, sf_dir, "documents").select("doc_id", "text"), PROMPT, "text")
+    tasks_ = tasks.text_tasks(_texts(spark, sf_dir), PROMPT, "text")
     answered = an.annotate(tasks_, MODELS, RUNS, replay.replay_texts(PROMPT), key="doc_id")
     return an.long_responses(answered, ["doc_id"], MODELS)
 
@@ -379,9 +384,7 @@ def _struct(df: DataFrame, name: str) -> DataFrame:
 def _register_votes(mode: str) -> None:
     def within(spark, sf_dir):
         voted = _voted(spark, sf_dir, within_mode=mode, between=False)
-        each = voted.select("doc_id", F.posexplode("_within").alias("at", "v"))
-        model = F.array(*[F.lit(m) for m in MODELS])[F.col("at")]
-        return each.select("doc_id", model.alias("model"), "v.consensus", "v.confidence", "v.n_responses")
+        return long_votes(voted, ["doc_id"], MODELS)
 
     def between(spark, sf_dir):
         return _struct(_voted(spark, sf_dir, within_mode=mode), "_between")
@@ -420,7 +423,7 @@ def low_confidence_review(spark, sf_dir):
 def text_analysis(spark, sf_dir):
     """Three models, five runs, set votes within and pooled, exact between; errors abstain."""
     return analysis.text_analysis(
-        table(spark, sf_dir, "documents"),
+        _texts(spark, sf_dir),
         id_col="doc_id",
         content_col="text",
         prompt=PROMPT,
@@ -462,7 +465,7 @@ def export(spark, sf_dir) -> DataFrame:
 @query
 def abstract_presets(spark, sf_dir):
     themes = prompts.ABSTRACT_PROMPTS
-    asked = abstracts.abstract_presets(export(spark, sf_dir), replay.replay_abstracts(themes), key="Key")
+    asked = abstracts.abstract_presets(spread(export(spark, sf_dir)), replay.replay_abstracts(themes), key="Key")
     return asked.withColumn("Abstract", F.md5("Abstract"))
 
 
@@ -483,7 +486,7 @@ def aggregate_outputs(spark, sf_dir):
 @query
 def single_model_analysis(spark, sf_dir):
     return abstracts.single_model_analysis(
-        table(spark, sf_dir, "documents"),
+        _texts(spark, sf_dir),
         id_col="doc_id",
         content_col="text",
         prompt=SINGLE_PROMPT,

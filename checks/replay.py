@@ -25,7 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def word(text: Column, k: int) -> Column:
-    return F.replace(F.split_part(text, F.lit(" "), F.lit(k)), F.lit("\n"), F.lit(" "))
+    """The first or second blank-separated word; reading stops there, however long the text."""
+    start = F.substring_index(text, " ", k)
+    found = start if k == 1 else F.when(F.locate(" ", text) > 0, F.substring_index(start, " ", -1)).otherwise("")
+    return F.translate(found, "\n", " ")
 
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:

@@ -202,7 +202,12 @@ def vote_each(ballots: Column, mode: str, threshold: float = 85) -> Column:
         return F.transform(ballots, vote_exact)
     if mode == "set":
         return F.transform(ballots, vote_set)
-    return F.transform(group_answers(ballots, threshold), lambda groups: vote_groups(groups, threshold))
+    return count_groups(group_answers(ballots, threshold), threshold)
+
+
+def count_groups(grouped: Column, threshold: float) -> Column:
+    """Consensus structs, one per list of grouped answers."""
+    return F.transform(grouped, lambda groups: vote_groups(groups, threshold))
 
 
 def vote(prepared: Column, mode: str, threshold: float = 85) -> Column:

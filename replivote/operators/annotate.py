@@ -98,7 +98,8 @@ def long_responses(annotated: DataFrame, keys: Sequence[str], models: Sequence[s
     """One row per answer: keys, model_idx, model, run, response, status."""
     n = len(models)
     named = F.array(*[F.lit(m) for m in models])
-    each = annotated.select(*keys, F.posexplode(F.arrays_zip("answers", "failed")).alias("_at", "_a"))
+    # the outer form: a plain explode would add a filter that evaluates the arrays twice
+    each = annotated.select(*keys, F.posexplode_outer(F.arrays_zip("answers", "failed")).alias("_at", "_a"))
     model_idx = (F.col("_at") % n).cast("int")
     return each.select(
         *keys,

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replivote.functions import votes
+from replivote.functions.similarity import group_answers
+from replivote.operators.once import with_computed
 from replivote.operators.reshape import consensus_columns, numbered_responses, quoted
 
 
@@ -30,12 +32,17 @@ def consensus_for_block(
     votes.check_mode(mode)
     said = [quoted(c).cast("string") for c in columns]
     heard = said if errors_vote else [F.when(~is_error(a), a) for a in said]
-    ready = wide.withColumn("_ready", votes.prepare(F.array(*heard), mode))
-    voted = ready.withColumn("_vote", votes.vote(F.col("_ready"), mode, threshold))
+    ready = with_computed(wide, {"_ready": votes.prepare(F.array(*heard), mode)})
+    ballot = F.array("_ready")
+    if mode == "fuzzy":
+        grouped = ready.withColumn("_groups", group_answers(ballot, threshold))
+        voted = with_computed(grouped, {"_votes": votes.count_groups(F.col("_groups"), threshold)})
+    else:
+        voted = with_computed(ready, {"_votes": votes.vote_each(ballot, mode)})
     return voted.select(
         *[quoted(c) for c in wide.columns],
-        F.col("_vote.consensus").alias(consensus),
-        F.col("_vote.confidence").alias(confidence),
+        F.col("_votes")[0]["consensus"].alias(consensus),
+        F.col("_votes")[0]["confidence"].alias(confidence),
     )
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, ShortType
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
@@ -51,14 +52,26 @@ def consensus_simple(votes: DataFrame, keys: Sequence[str], *, response="respons
     return _modal_per_key(distinct_answers(answers, keys, text.normalize_light(F.col("_said"))), keys, "no responses")
 
 
+def _place(answers: DataFrame) -> Column:
+    """Answer order, then position inside the answer, as one value that sorts that way.
+
+    A 32-bit order and the position fit in one long, which keeps the counting in
+    hash aggregation; any other order type falls back to a struct.
+    """
+    if isinstance(answers.schema["_order"].dataType, (ByteType, ShortType, IntegerType)):
+        return F.col("_order").cast("long") * (1 << 32) + F.col("_pos")
+    return F.struct("_order", "_pos")
+
+
 def _items(answers: DataFrame, keys: Sequence[str], parts: Column) -> DataFrame:
     """Per key: one row per item with ``_ct`` and ``_first`` and, with a null item, the answer count."""
     listed = answers.select(*keys, "_order", "_said", F.concat(F.array(F.lit(None).cast("string")), parts).alias("_parts"))
+    # the outer form: a plain explode would add a filter that splits every answer twice
     each = listed.select(
         *keys, "_order", F.col("_said").isNotNull().alias("_spoke"), F.posexplode_outer("_parts").alias("_pos", "_item")
     )
     return each.groupBy(*keys, "_item").agg(
-        F.count(F.when(F.col("_spoke"), 1)).alias("_ct"), F.min(F.struct("_order", "_pos")).alias("_first")
+        F.count(F.when(F.col("_spoke"), 1)).alias("_ct"), F.min(_place(answers)).alias("_first")
     )
 
 

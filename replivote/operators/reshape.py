@@ -118,8 +118,14 @@ def shared_identifier_answers(table: DataFrame, answers: DataFrame, identifier:
 
 
 def pad_missing(items: DataFrame, responses: DataFrame, key: str, models: Sequence[str], runs: int) -> DataFrame:
-    """Every item x model x run; absent answers read 'Error: No response'."""
-    grid = fan_out_runs(fan_out_models(items.select(key), models), runs)
-    on = [key, "model", "run"]
-    padded = grid.join(responses.select(*on, "response"), on, "left")
-    return padded.select(key, "model_idx", "model", "run", F.coalesce("response", F.lit(NO_RESPONSE)).alias("response"))
+    """Every item x model x run; absent answers read 'Error: No response'.
+
+    ``key`` is unique in ``items``, key, model and run in ``responses``, so one key's
+    answers are few: they are gathered before the join, and the grid is laid out
+    after it. Neither the grid nor the answers are matched row by row.
+    """
+    held = responses.groupBy(key).agg(F.collect_list(F.struct("model", "run", "response")).alias("_held"))
+    grid = fan_out_runs(fan_out_models(items.select(key).join(held, key, "left"), models), runs)
+    own = F.filter("_held", lambda h: (h["model"] == F.col("model")) & (h["run"] == F.col("run")))
+    found = F.get(own, F.lit(0))["response"]
+    return grid.select(key, "model_idx", "model", "run", F.coalesce(found, F.lit(NO_RESPONSE)).alias("response"))

@@ -11,6 +11,7 @@ from replivote.functions.prompts import ABSTRACT_PROMPTS
 from replivote.functions.votes import vote_simple, vote_words
 from replivote.operators.annotate import Responder, annotate, voting_answers
 from replivote.operators.items import assign_identifier, project_content
+from replivote.operators.once import with_computed
 from replivote.operators.reshape import NO_RESPONSE, discover_responses, quoted, wide_answers
 from replivote.operators.tasks import apply_prompt_library, text_tasks
 from replivote.sources.tables import select_by_position, union_by_name
@@ -54,7 +55,7 @@ def aggregate_outputs(tables: Sequence[DataFrame]) -> DataFrame:
     """Stack finished answer tables by column name and take the word vote of each row."""
     stacked = union_by_name(tables)
     said = F.array(*[quoted(name).cast("string") for name, _, _ in discover_responses(stacked.columns)])
-    voted = stacked.withColumn("_vote", vote_words(said))
+    voted = with_computed(stacked, {"_vote": vote_words(said)})
     return voted.select(
         *[quoted(c) for c in stacked.columns],
         F.col("_vote.consensus").alias("Consensus Result"),
@@ -83,7 +84,8 @@ def single_model_analysis(
     wide = [F.col("Identifier"), F.col("Content"), *wide_answers(F.col("answers"), [None], runs)]
     if not consensus:
         return answered.select(*wide)
-    voted = answered.withColumn("_vote", vote_simple(voting_answers(F.col("answers"), F.col("failed"), errors_vote)))
+    heard = voting_answers(F.col("answers"), F.col("failed"), errors_vote)
+    voted = with_computed(answered, {"_vote": vote_simple(heard)})
     return voted.select(
         *wide,
         F.col("_vote.consensus").alias("Consensus_Result"),

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replivote.functions import votes
+from replivote.functions.similarity import group_answers
 from replivote.operators.annotate import voting_answers
+from replivote.operators.once import with_computed
 from replivote.operators.reshape import wide_answers
 
 
@@ -55,25 +57,48 @@ def add_votes(annotated: DataFrame, models: int, voting: Voting) -> DataFrame:
     Each row carries its own answers, so this is a chain of projections without a
     shuffle. Answers are normalised once per mode in use.
     """
-    heard = annotated.withColumn("_heard", voting_answers(F.col("answers"), F.col("failed"), voting.errors_vote))
     modes = ([voting.within_mode] if voting.within else []) + ([voting.mode_pooled] if voting.aggregate else [])
-    for mode in dict.fromkeys("set" if m == "set" else "exact" for m in modes):
-        heard = heard.withColumn(f"_prepared_{mode}", votes.prepare(F.col("_heard"), mode))
-
-    def prepared(mode: str) -> Column:
-        return F.col("_prepared_set" if mode == "set" else "_prepared_exact")
-
-    taken: dict[str, Column] = {}
+    heard = voting_answers(F.col("answers"), F.col("failed"), voting.errors_vote)
+    ready = {_prepared(mode): votes.prepare(heard, mode) for mode in modes}
+    voted = with_computed(annotated, ready)
+    ballots: dict[str, tuple[Column, str, float]] = {}
     if voting.within:
-        ballots = votes.by_model(prepared(voting.within_mode), models)
-        taken["_within"] = votes.vote_each(ballots, voting.within_mode, voting.within_threshold)
+        own = votes.by_model(F.col(_prepared(voting.within_mode)), models)
+        ballots["_within"] = (own, voting.within_mode, voting.within_threshold)
+    if voting.aggregate:
+        every = F.array(F.col(_prepared(voting.mode_pooled)))
+        ballots["_pooled"] = (every, voting.mode_pooled, voting.threshold_pooled)
+    voted = _count(voted, ballots)
     if voting.aggregate:
-        taken["_pooled"] = votes.vote(prepared(voting.mode_pooled), voting.mode_pooled, voting.threshold_pooled)
-    voted = heard.withColumns(taken) if taken else heard
+        voted = voted.withColumn("_pooled", F.col("_pooled")[0])
     if voting.between and voting.within and models > 1:
-        ready = votes.prepare(F.col("_within.consensus"), voting.mode_between)
-        voted = voted.withColumn("_between", votes.vote(ready, voting.mode_between, voting.threshold_between))
-    return voted.drop("_heard", "_prepared_exact", "_prepared_set")
+        opinions = F.array(votes.prepare(F.col("_within.consensus"), voting.mode_between))
+        voted = _count(voted, {"_between": (opinions, voting.mode_between, voting.threshold_between)})
+        voted = voted.withColumn("_between", F.col("_between")[0])
+    return voted.drop("_prepared_exact", "_prepared_set")
+
+
+def _prepared(mode: str) -> str:
+    return "_prepared_set" if mode == "set" else "_prepared_exact"
+
+
+def _count(df: DataFrame, ballots: dict[str, tuple[Column, str, float]]) -> DataFrame:
+    """Vote on each named array of ballots; similarity groups come first, they leave the JVM."""
+    grouped = {f"{n}_groups": group_answers(b, t) for n, (b, mode, t) in ballots.items() if mode == "fuzzy"}
+    ready = df.withColumns(grouped) if grouped else df
+    counted = {
+        n: votes.count_groups(F.col(f"{n}_groups"), t) if mode == "fuzzy" else votes.vote_each(b, mode)
+        for n, (b, mode, t) in ballots.items()
+    }
+    return with_computed(ready, counted).drop(*grouped)
+
+
+def long_votes(voted: DataFrame, keys: Sequence[str], models: Sequence[str]) -> DataFrame:
+    """Within-model votes as rows: keys, model, consensus, confidence, n_responses."""
+    named = F.array(*[F.lit(m) for m in models])
+    # the outer form: a plain explode would add a filter that votes twice
+    each = voted.select(*keys, F.posexplode_outer("_within").alias("_at", "_v"))
+    return each.select(*keys, named[F.col("_at")].alias("model"), "_v.consensus", "_v.confidence", "_v.n_responses")
 
 
 def wide_result(voted: DataFrame, keys: Sequence[str], models: Sequence[str], runs: int) -> DataFrame:

@@ -45,10 +45,11 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     With keys, hash partitioning also serves every later grouping that includes
     them. The number of partitions is stated: the rows are about to multiply, so
     their size now must not let the adaptive planner merge them. Without keys, a
-    scan that already has a partition per core is left alone.
+    scan with two splits or more per core is left alone; below that, splits of one
+    row group are mostly empty.
     """
     spark = scan.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if keys:
         return scan.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if scan.rdd.getNumPartitions() >= 2 * cores else scan.repartition(cores)
