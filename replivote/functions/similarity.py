@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _places(text: str) -> dict[str, int]:
+    """For each letter, its positions as the bits of a number."""
+    places: dict[str, int] = {}
+    for i, ch in enumerate(text):
+        places[ch] = places.get(ch, 0) | (1 << i)
+    return places
+
+
+def _common(places: dict[str, int], length: int, other: str) -> int:
+    """Longest common subsequence, one step of whole-number arithmetic per letter of ``other``."""
+    full = (1 << length) - 1
+    state = full
+    for ch in other:
+        hit = state & places.get(ch, 0)
+        state = ((state + hit) | (state - hit)) & full
+    return length - state.bit_count()
+
+
 def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine word op per letter of b."""
+    """Length of the longest common subsequence."""
     if len(a) > len(b):
         a, b = b, a
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    state = full
-    for ch in b:
-        hit = state & where.get(ch, 0)
-        state = ((state + hit) | (state - hit)) & full
-    return len(a) - state.bit_count()
+    return _common(_places(a), len(a), b)
 
 
 def _percent(distance: int, length: int) -> float:
@@ -44,22 +56,56 @@ def token_set_score(a: str, b: str) -> float:
     return score
 
 
-def _first_match(answer: str, leaders: list[tuple[int, str]], threshold: float) -> int | None:
+class _Profile(NamedTuple):
+    """What is compared of one answer, worked out once."""
+
+    text: str
+    words: frozenset[str]
+    joined: str
+    places: dict[str, int]
+    letters: int
+
+
+def _profile(answer: str) -> _Profile:
+    words = frozenset(answer.split())
+    joined = " ".join(sorted(words))
+    letters = 0
+    for ch in joined:
+        letters |= 1 << ord(ch) % 64
+    return _Profile(answer, words, joined, _places(joined), letters)
+
+
+def _matches(a: _Profile, b: _Profile, threshold: float) -> bool:
+    """Whether the score reaches the threshold; most pairs are refused on two cheap bounds."""
+    if a.words & b.words or not (a.words and b.words):
+        return token_set_score(a.text, b.text) >= threshold
+    length = len(a.joined) + len(b.joined)
+    # a letter found on one side only, and every letter of surplus length, must be edited
+    least = max(abs(len(a.joined) - len(b.joined)), (a.letters ^ b.letters).bit_count())
+    if _percent(least, length) < threshold:
+        return False
+    return _percent(length - 2 * _common(a.places, len(a.joined), b.joined), length) >= threshold
+
+
+def _first_match(answer: _Profile, leaders: list[tuple[int, _Profile]], threshold: float) -> int | None:
     for at, leader in leaders:
-        if token_set_score(leader, answer) >= threshold:
+        if _matches(leader, answer, threshold):
             return at
     return None
 
 
 def _leaders(answers: list[str], threshold: float) -> list[int]:
     """For distinct answers in order, the position of each one's group's first member."""
-    opened: list[tuple[int, str]] = []
+    if len(answers) < 2:
+        return [0] * len(answers)
+    opened: list[tuple[int, _Profile]] = []
     picks = []
     for i, answer in enumerate(answers):
-        pick = _first_match(answer, opened, threshold)
+        profile = _profile(answer)
+        pick = _first_match(profile, opened, threshold)
         if pick is None:
             pick = i
-            opened.append((i, answer))
+            opened.append((i, profile))
         picks.append(pick)
     return picks
 
@@ -122,15 +168,20 @@ def group_answers(ballots: Column, threshold: float) -> Column:
     return grouped.asNondeterministic()(ballots)
 
 
-def first_matching(answer: Column, leaders: Column, threshold: float) -> Column:
-    """Index of the first leader in the array that scores at least ``threshold``, or null."""
+def first_matching(answer: Column, owner: Column, leaders: Column, threshold: float) -> Column:
+    """Index of the first leader in the array that scores at least ``threshold``, or null.
+
+    Rows of one ``owner`` (a string) carry the same leaders; each batch reads them once.
+    """
 
     @F.arrow_udf("int")
-    def match(answers: pa.Array, leader_lists: pa.Array) -> pa.Array:
-        found = [
-            _first_match(a, list(enumerate(ls)), threshold)
-            for a, ls in zip(answers.to_pylist(), leader_lists.to_pylist())
-        ]
+    def match(answers: pa.Array, owners: pa.Array, leader_lists: pa.Array) -> pa.Array:
+        known: dict[str, list[tuple[int, _Profile]]] = {}
+        found = []
+        for i, (text, name) in enumerate(zip(answers.to_pylist(), owners.to_pylist())):
+            if name not in known:
+                known[name] = [(at, _profile(x)) for at, x in enumerate(leader_lists[i].as_py())]
+            found.append(_first_match(_profile(text), known[name], threshold))
         return pa.array(found, pa.int32())
 
-    return match(answer, leaders)
+    return match(answer, owner, leaders)

@@ -87,9 +87,13 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
     can precede these, so the result equals one pass in answer order. Each round
     is checkpointed in the shared folder.
     """
+    spark = rows.sparkSession
+    # stated numbers: these rows are few bytes but much work, so they must not be merged
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     done: DataFrame | None = None
     while not rows.isEmpty():
-        head = checkpointed(_block_groups(_first_block(rows, keys, block), keys, threshold))
+        block_rows = _first_block(rows, keys, block).repartition(tasks, *keys)
+        head = checkpointed(_block_groups(block_rows, keys, threshold))
         leaders = (
             head.where(F.col("_value") == F.col("_leader"))
             .groupBy(*keys)
@@ -100,10 +104,11 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
         known = _renamed(leaders, keys)
         if head.agg(F.sum(F.octet_length("_value") + 64)).first()[0] <= _BROADCAST_BYTES:
             known = F.broadcast(known)
+        left = left.repartition(tasks, *keys, "_value")
         tried = left.join(known, _same_key(left, known, keys), "left").drop(*[f"_r_{k}" for k in keys])
-        tried = tried.withColumn(
-            "_hit", first_matching(F.col("_value"), F.transform("_leaders", lambda l: l["_value"]), threshold)
-        )
+        owner = F.to_json(F.struct(*keys))
+        texts = F.transform("_leaders", lambda l: l["_value"])
+        tried = tried.withColumn("_hit", first_matching(F.col("_value"), owner, texts, threshold))
         hit = F.col("_leaders")[F.col("_hit")]
         tried = checkpointed(
             tried.select(
