@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from replivote.operators.tasks import fan_out_models, fan_out_runs
 
 NO_RESPONSE = "Error: No response"
+HOT_ROWS = 1_000_000  # rows of one identifier above which a join splits them
+_SALTS = 256
 
 _LABEL = re.compile(r"^response[_ ](\d+)(?: \((.*)\))?$", re.IGNORECASE)
 
@@ -90,10 +92,28 @@ def reorder_columns(wide: DataFrame, first: Sequence[str], models: Sequence[str]
     return wide.select(*[quoted(c) for c in [*leading, *[c for c in wide.columns if c not in leading]]])
 
 
-def left_join_responses(master: DataFrame, answers: DataFrame, on: str) -> DataFrame:
-    """Attach answers by identifier; null identifiers match each other."""
+def left_join_responses(master: DataFrame, answers: DataFrame, on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Attach answers, one row per identifier; null identifiers match each other.
+
+    Master rows of an identifier with more than ``hot_rows`` rows are dealt out over
+    salts, and only that identifier's answers are repeated per salt. The salt is a
+    hash of the row, so a task that runs again deals the same way.
+    """
+    key = quoted(on)
+    # one long and one key per hot identifier: at most a millionth of the rows by default
+    hot = master.groupBy(key.alias("_hot")).count().where(F.col("count") > hot_rows).select("_hot", F.lit(True).alias("_is_hot"))
+    hot = F.broadcast(hot)
+    row_salt = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*[quoted(c) for c in master.columns]), F.lit(_SALTS))).otherwise(0)
+    left = master.join(hot, key.eqNullSafe(F.col("_hot")), "left").withColumn("_salt", row_salt).drop("_hot", "_is_hot")
     right = answers.withColumnRenamed(on, "_right_key")
-    return master.join(right, master[on].eqNullSafe(right["_right_key"]), "left").drop("_right_key")
+    copies = F.when(F.col("_is_hot"), _SALTS - 1).otherwise(0).cast("long")
+    right = (
+        right.join(hot, F.col("_right_key").eqNullSafe(F.col("_hot")), "left")
+        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies)))
+        .drop("_hot", "_is_hot")
+    )
+    met = key.eqNullSafe(F.col("_right_key")) & (F.col("_salt") == F.col("_right_salt"))
+    return left.join(right, met, "left").drop("_right_key", "_salt", "_right_salt")
 
 
 def dedupe_identifier(table: DataFrame, identifier: str, order: str) -> DataFrame:
@@ -106,7 +126,9 @@ def dedupe_identifier(table: DataFrame, identifier: str, order: str) -> DataFram
     return table.join(firsts, table[order] == firsts["_first"], "left_semi")
 
 
-def shared_identifier_answers(table: DataFrame, answers: DataFrame, identifier: str, order: str) -> DataFrame:
+def shared_identifier_answers(
+    table: DataFrame, answers: DataFrame, identifier: str, order: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Give all rows with one identifier the answers of its first row.
 
     ``answers`` is keyed by ``order``. First rows pick up their answers before the
@@ -114,7 +136,7 @@ def shared_identifier_answers(table: DataFrame, answers: DataFrame, identifier:
     """
     firsts = table.groupBy(quoted(identifier)).agg(F.min(quoted(order)).alias(order))
     ready = firsts.join(answers, order).drop(order)
-    return left_join_responses(table, ready, identifier)
+    return left_join_responses(table, ready, identifier, hot_rows)
 
 
 def pad_missing(items: DataFrame, responses: DataFrame, key: str, models: Sequence[str], runs: int) -> DataFrame:

@@ -118,6 +118,16 @@ def test_column_order(spark):
     assert got == ["id", *wide(spark).columns[1:], f"Consensus ({m})", "extra"]
 
 
+@pytest.mark.parametrize("hot_rows", [0, 1, reshape.HOT_ROWS])
+def test_join_of_a_hot_identifier(spark, hot_rows):
+    keys = ["hot"] * 500 + [None] * 100 + [f"k{i}" for i in range(50)]
+    master = spark.createDataFrame(list(enumerate(keys)), "row int, key string").repartition(3)
+    answers = spark.createDataFrame([(k, f"r-{k}") for k in dict.fromkeys(keys) if k != "k7"], "key string, r string")
+    got = reshape.left_join_responses(master, answers, "key", hot_rows).collect()
+    assert sorted((r.row, r.r) for r in got if r.r) == [(i, f"r-{k}") for i, k in enumerate(keys) if k != "k7"]
+    assert len(got) == len(keys)
+
+
 def test_join_by_identifier_matches_nulls(spark):
     master = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "row int, key string")
     answers = spark.createDataFrame([("a", "x"), (None, "n")], "key string, r string")
