@@ -21,6 +21,7 @@ from replivote.operators.answers import answers_of, distinct_answers
 from replivote.operators.fuzzy import consensus_fuzzy
 
 LARGE_KEY = 10_000  # answers; above it a key's rare items are dropped before they are gathered
+_SALTS = 64
 
 
 def _modal_per_key(distinct: DataFrame, keys: Sequence[str], empty: str) -> DataFrame:
@@ -103,7 +104,13 @@ def consensus_set(
             .agg(F.count(F.lit(1)).alias("_large"))
             .where(F.col("_large") > large_key)
         )
-        items = _left_join(items, large, keys)
+        # every side row is a large key: repeating it per salt is cheap and splits the key's items
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
+        items = _left_join(
+            items.withColumn("_salt", F.pmod(F.xxhash64("_item"), F.lit(_SALTS))),
+            large.withColumn("_salt", F.explode(salts)),
+            [*keys, "_salt"],
+        )
         gathered = named & (F.col("_large").isNull() | (F.col("_ct") * 2 >= F.col("_large")))
     per_key = items.groupBy(*keys).agg(
         F.max(F.when(~named, F.col("_ct"))).alias("n_responses"),

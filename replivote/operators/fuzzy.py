@@ -101,11 +101,17 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
         )
         seen = _renamed(head.select(*keys, "_value"), keys).withColumnRenamed("_value", "_r_value")
         left = rows.join(seen, [*_same_key(rows, seen, keys), rows["_value"] == seen["_r_value"]], "left_anti")
-        known = _renamed(leaders, keys)
+        left = left.repartition(tasks, *keys, "_value").withColumn("_salt", F.lit(0).cast("long"))
+        known = leaders.withColumn("_salt", F.lit(0).cast("long"))
         if head.agg(F.sum(F.octet_length("_value") + 64)).first()[0] <= _BROADCAST_BYTES:
-            known = F.broadcast(known)
-        left = left.repartition(tasks, *keys, "_value")
-        tried = left.join(known, _same_key(left, known, keys), "left").drop(*[f"_r_{k}" for k in keys])
+            known = F.broadcast(_renamed(known, keys))
+        else:  # every key here is large, so each is split over the salts
+            left = left.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(_SALTS)))
+            salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
+            known = _renamed(leaders.withColumn("_salt", F.explode(salts)), keys)
+        known = known.withColumnRenamed("_salt", "_r_salt")
+        here = [*_same_key(left, known, keys), left["_salt"] == known["_r_salt"]]
+        tried = left.join(known, here, "left").drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
         owner = F.to_json(F.struct(*keys))
         texts = F.transform("_leaders", lambda l: l["_value"])
         tried = tried.withColumn("_hit", first_matching(F.col("_value"), owner, texts, threshold))
