@@ -55,13 +55,16 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK) -
             yield batch.slice(start)
 
 
-def per_row(df: DataFrame, columns: list[str], added: T.StructType, function: Callable[..., dict[str, list]]) -> DataFrame:
+def per_row(
+    df: DataFrame, columns: list[str], added: T.StructType, function: Callable[..., dict[str, list]], drop: tuple[str, ...] = ()
+) -> DataFrame:
     """``df`` with columns computed by ``function`` from lists of the named columns.
 
     The function gets one list per column and returns one list per added column. Rows
-    stay where they are. An added column takes the place of an input column of its name.
+    stay where they are. An added column takes the place of an input column of its name;
+    columns to ``drop`` do not travel back from Python.
     """
-    new = {f.name.lower() for f in added}
+    new = {f.name.lower() for f in added} | {c.lower() for c in drop}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     inputs = [F.col(quoted(f.name)).alias(f"k{i}") for i, f in enumerate(kept)]
     inputs += [F.col(quoted(c)).alias(f"i{i}") for i, c in enumerate(columns)]

@@ -7,10 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replivote.llm import contamination, minhash, mixing
+from replivote.llm import archives, contamination, extraction, minhash, mixing, pii, randomness, subspace, toxicity
 from replivote.llm.common import table
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pii.fit(pii.labelled_parts(docs))
+    return pii.personal_data(docs, model, drop=("text",))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = toxicity.judged(docs, toxicity_chain(docs, table(spark, sf_dir, "labels")), drop=("text",))
+    return judged.select("doc_id", "p_junk", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+def toxicity_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    """Junk first, then toxic texts, from the two labels given."""
+    known = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), F.col("toxic").alias("toxic"))
+    return toxicity.train_chain(toxicity.labelled_sample(docs, known), ["junk", "toxic"])
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.copies(docs, mixing.source_rates(docs))
@@ -21,12 +43,29 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = archives.archived_pages(table(spark, sf_dir, "pages"))
+    return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return randomness.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mixing, op5_minhash, op8_contamination)
+    f.__name__: f
+    for f in (
+        op1_personal_data, op2_main_text, op3_toxicity, op4_mixing, op5_minhash,
+        op7_warc, op8_contamination, op9_secrets, op10_vectors,
+    )
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -71,6 +110,32 @@ r AS (SELECT id AS a, id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b
 c AS (SELECT a, min(b) AS component FROM r GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
 FROM documents LEFT JOIN n ON n.id = doc_id LEFT JOIN c ON c.a = doc_id""",
+    "op2_main_text": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g'), '<[^>]*$', '') AS t FROM a),
+c AS (SELECT page_id, url, regexp_replace(replace(replace(t, '&quot;', '"'), '&amp;', '&'), '&amp$', '&') AS t FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM d""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111',
+  4 * (instr('0123456789abcdef', substr(h, i, 1)) - 1) + 1, 4)), '') AS bits FROM p),
+d AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+  + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest FROM b),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to FROM m""",
+    "op10_vectors": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, component_id = vec_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op8_contamination": f"""
 WITH d AS ({_grams("documents", "doc_id", 5, False)}), i AS ({_grams("benchmark", "item_id", 5, False)}),
 n AS (SELECT id, count(*) AS n_item FROM i GROUP BY id),
