@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replivote.llm import archives, contamination, extraction, minhash, mixing, pii, randomness, subspace, toxicity
+from replivote.llm import archives, contamination, extraction, minhash, mixing, pii, randomness, subspace, suffix, toxicity
 from replivote.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents"), least=50)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = archives.archived_pages(table(spark, sf_dir, "pages"))
     return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -63,7 +67,7 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_personal_data, op2_main_text, op3_toxicity, op4_mixing, op5_minhash,
+        op1_personal_data, op2_main_text, op3_toxicity, op4_mixing, op5_minhash, op6_suffix,
         op7_warc, op8_contamination, op9_secrets, op10_vectors,
     )
 }
