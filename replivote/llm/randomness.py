@@ -132,10 +132,8 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], s[2])))
 
 
-FOUND = T.StructType(
-    [T.StructField("base", T.ArrayType(T.ArrayType(T.IntegerType())))]
-    + [T.StructField("tokens", T._parse_datatype_string("array<struct<a:int,b:int,stratum:string,step:int>>"))]
-)
+_TESTED = T.StructType([T.StructField(n, T.StringType() if n == "stratum" else T.IntegerType()) for n in ("a", "b", "stratum", "step")])
+FOUND = T.StructType([T.StructField("base", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("tokens", T.ArrayType(_TESTED))])
 
 
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:

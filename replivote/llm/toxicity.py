@@ -86,7 +86,7 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.3, rounds: int = 8) -> np.ndarray:
+def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, rounds: int = 10) -> np.ndarray:
     """Logistic regression with a squared penalty on all but the bias, by Newton steps."""
     a = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(a.shape[1])
@@ -151,8 +151,8 @@ def train_chain(
                     some = batch.drop_columns(["text"]).append_column("f", pa.array(found, pa.list_(pa.string())))
                     yield some.append_column("v", pa.array(values, pa.list_(pa.float64()))).append_column("size", pa.array(sizes, pa.float64()))
 
-        more = T._parse_datatype_string("f array<string>, v array<double>, size double")
-        schema = T.StructType([*rows.select(key, *categories).schema.fields, *more.fields])
+        more = [T.StructField("f", T.ArrayType(T.StringType())), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("size", T.DoubleType())]
+        schema = T.StructType([*rows.select(key, *categories).schema.fields, *more])
         small = rows.select(key, *categories, "text").mapInArrow(indexed, schema).orderBy(F.xxhash64(F.lit(3), key), key).collect()
     finally:
         rows.unpersist()
