@@ -19,8 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     down = stored(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        edges.where("a is not null and b is not null")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         "edges",
     )

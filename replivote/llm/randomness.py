@@ -67,13 +67,13 @@ def _chi_tail(x: float, freedom: int) -> float:
 
 
 def uniformity(values: np.ndarray, size: int) -> float:
-    """Chi-squared test that all letters are as frequent; letters are grouped so that each group expects five."""
-    groups = max(2, min(size, len(values) // 5))
-    bounds = np.arange(1, groups) * size / groups
-    counts = np.bincount(np.searchsorted(bounds, values, side="right"), minlength=groups)
-    widths = np.bincount(np.searchsorted(bounds, np.arange(size), side="right"), minlength=groups)
-    expected = widths * len(values) / size
-    return _chi_tail(float(((counts - expected) ** 2 / expected).sum()), groups - 1)
+    """Chi-squared test that all letters of the alphabet are as frequent, scaled to its spread in short tokens."""
+    n = len(values)
+    expected = n / size
+    counts = np.bincount(values, minlength=size)
+    total = float(((counts - expected) ** 2).sum()) / expected
+    freedom = size - 1
+    return _chi_tail(max(0.0, freedom + (total - freedom) / math.sqrt(1 - 1 / n)), freedom)
 
 
 def runs(values: np.ndarray, size: int) -> float:
