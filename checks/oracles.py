@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from checks.replay import MODELS, RUNS
+import re
+
+from checks.replay import MARK, MODELS, RUNS
 from replivote.functions import prompts
 
 WS = r"[\s\p{Z}\x{85}\x{0b}\x{1c}-\x{1f}]"
@@ -12,6 +14,12 @@ def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def round3(x: str) -> str:
+    """Three places of the exact binary value; only sixteenths lie half-way and go to the even side."""
+    exact_value = f"round(printf('%.30f', {x})::decimal(38, 30), 3)::double"
+    return f"case when ({x}) * 16 = floor(({x}) * 16) then round_even({x}, 3) else {exact_value} end"
+
+
 def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 
@@ -54,15 +62,30 @@ def kind(*parts_: str) -> str:
 _MODELS = "(values " + ", ".join(f"({i}, {q(m)})" for i, m in enumerate(MODELS)) + ") m(model_idx, model)"
 _RUNS = f"(select unnest(range(1, {RUNS + 1}))::int as run)"
 
+def both_ways(text: str) -> str:
+    """w1 and w2 of a whole text."""
+    lines = f"string_split({text}, chr(10))"
+    return (
+        f"replace({text}, chr(10), ' ') as w1, array_to_string(list_append(list_reverse("
+        f"list_slice({lines}, 1, greatest(len({lines}) - 1, 1))), {q(MARK)}), ' ') as w2"
+    )
+
+
 R = f"""
 r as (
   select doc_id, source, model_idx, model, run, {answer('w1', 'w2')} as response,
          case when k = 1 then 'error' else 'ok' end as status
   from (select *, {kind('doc_id', 'model', 'run')} as k
-        from (select doc_id, source, replace(split_part(text, ' ', 1), chr(10), ' ') as w1,
-                     replace(split_part(text, ' ', 2), chr(10), ' ') as w2 from documents)
+        from (select doc_id, source, {both_ways("coalesce(text, '')")} from documents)
         cross join {_MODELS} cross join {_RUNS}))"""
 
+#: The same with two words chosen from each whole text.
+SHORT_R = R.replace(
+    both_ways("coalesce(text, '')"),
+    "list_max(list_transform(string_split(replace(coalesce(text, ''), chr(10), ' '), ' '), lambda w: {'n': length(w), 'w': w})).w as w1, "
+    "list_max(string_split(replace(coalesce(text, ''), chr(10), ' '), ' ')) as w2",
+)
+
 M = """
 names as (
   select page_id, 'p' || page_id || (['.jpg', '.JPEG', '.png', '.bmp', '.tiff', '.GIF', '.webp', '.txt', ''])[page_id % 9 + 1]
@@ -75,7 +98,8 @@ r as (
   select image, model_idx, model, run, {clean(answer('w1', 'w2'))} as response,
          case when k = 1 then 'error' else 'ok' end as status
   from (select *, {kind('image', 'model', 'run')} as k
-        from (select image, split_part(image, '.', 1) as w1, lower(split_part(image, '.', 2)) as w2 from manifest)
+        from (select image, split_part(image, '.', 1) as w1, md5(html) as w2 from names join pages using (page_id)
+              where image in (select image from manifest))
         cross join {_MODELS} cross join {_RUNS}))"""
 
 
@@ -103,7 +127,7 @@ def _modal(name: str, keys: str, empty: str) -> str:
   select *, row_number() over (partition by {keys} order by ct desc, f) as rn,
          (sum(ct) over (partition by {keys}))::bigint as n from {name}_c),
 {name} as (
-  select {keys}, coalesce(val, {q(empty)}) as consensus, coalesce(round_even(ct::double / n, 3), 0.0) as confidence,
+  select {keys}, coalesce(val, {q(empty)}) as consensus, coalesce({round3('ct::double / n')}, 0.0) as confidence,
          coalesce(n, 0)::bigint as n_responses
   from (select distinct {keys} from {name}_all) left join (select * from {name}_t where rn = 1) using ({keys}))"""
 
@@ -132,7 +156,7 @@ def set_(name: str, keys: str, source: str) -> str:
          bool_or(ct * 2 >= n) over (partition by {keys}) as half from {name}_c join {name}_n using ({keys})),
 {name}_r as (
   select {keys}, string_agg(item, ', ' order by f) as consensus,
-         round_even(sum(ct)::double / (count(*) * any_value(n)), 3) as confidence
+         {round3('sum(ct)::double / (count(*) * any_value(n))')} as confidence
   from {name}_h where ct * 2 >= n or (not half and rn = 1) group by {keys}),
 {name} as (
   select {keys}, coalesce(consensus, '') as consensus, coalesce(confidence, 0.0) as confidence,
@@ -143,12 +167,18 @@ def set_(name: str, keys: str, source: str) -> str:
 def similarity(pairs: str) -> str:
     """CTEs ending in `scored` (a, b, score) for the distinct unequal non-empty pairs (a, b) of `pairs`."""
     return f"""
-tok as (
-  select a, b, list_distinct(string_split(a, ' ')) as ta, list_distinct(string_split(b, ' ')) as tb from {pairs}),
-parts as (
-  select a, b, array_to_string(list_sort(list_filter(ta, lambda t: list_contains(tb, t))), ' ') as sect,
-         array_to_string(list_sort(list_filter(ta, lambda t: not list_contains(tb, t))), ' ') as oa,
-         array_to_string(list_sort(list_filter(tb, lambda t: not list_contains(ta, t))), ' ') as ob from tok),
+vals as (select row_number() over () as id, v from (select a as v from {pairs} union select b from {pairs})),
+pid as (select x.id as i, y.id as j, a, b from {pairs} join vals x on x.v = a join vals y on y.v = b),
+tok as (select distinct id, unnest(string_split(v, ' ')) as t from vals),
+sides as (
+  select i, j, t, true as l, false as r from pid join tok on id = i union all
+  select i, j, t, false, true from pid join tok on id = j),
+merged as (select i, j, t, bool_or(l) as l, bool_or(r) as r from sides group by i, j, t),
+split as (
+  select i, j, coalesce(string_agg(t, ' ' order by t) filter (l and r), '') as sect,
+         coalesce(string_agg(t, ' ' order by t) filter (l and not r), '') as oa,
+         coalesce(string_agg(t, ' ' order by t) filter (r and not l), '') as ob from merged group by i, j),
+parts as (select a, b, sect, oa, ob from pid join split using (i, j)),
 ordered as (
   select *, case when length(oa) <= length(ob) then oa else ob end as s,
          case when length(oa) <= length(ob) then ob else oa end as l from parts),
@@ -200,7 +230,7 @@ def fuzzy(name: str, keys: str, source: str, threshold: int = 85) -> str:
 {name}_t as (
   select *, row_number() over (partition by {keys} order by size desc, lead) as top from {name}_m where rn = 1),
 {name} as (
-  select {keys}, coalesce(val, '') as consensus, coalesce(round_even(size::double / n, 3), 0.0) as confidence,
+  select {keys}, coalesce(val, '') as consensus, coalesce({round3('size::double / n')}, 0.0) as confidence,
          coalesce(n, 0)::bigint as n_responses
   from (select distinct {keys} from {name}_all) left join (select * from {name}_t where top = 1) using ({keys}))"""
 
@@ -272,6 +302,7 @@ ORACLES: dict[str, str] = {
         M, then="select image, octet_length(encode(html))::bigint as length from names join pages using (page_id) "
         "where image in (select image from manifest)"
     ),
+    "scan_csv_by_header": "select doc_id, text, case when lang <> 'en' then lang end as lang, source from documents",
     "union_by_name": "select doc_id, text, lang, source, n_chars, null::bigint as item_id from documents union all "
     "select null, text, null, null, null, item_id from benchmark",
     "filter_image_names": with_(M, then="select image from manifest"),
@@ -283,7 +314,8 @@ ORACLES: dict[str, str] = {
         exact("w", "doc_id, model", WITHIN),
         then=f"""select {q(_PROMPT)} as prompt, {q(', '.join(MODELS))} as models, {RUNS}::int as runs, 0.0::double as delay,
        true as within_on, 'exact' as within_mode, null::double as within_threshold, true as between_on,
-       'fuzzy' as between_mode, 85.0::double as between_threshold,
+       'fuzzy' as between_mode, 85.0::double as between_threshold, false as pooled_on, 'exact' as pooled_mode,
+       null::double as pooled_threshold, false as errors_vote,
        count(*) filter (confidence >= 0.7) as n_high,
        count(*) filter (confidence >= 0.4 and confidence < 0.7) as n_medium,
        count(*) filter (confidence < 0.4) as n_low from w""",
@@ -347,7 +379,7 @@ from (select doc_id, item, min(pos) as pos
     "consensus_fuzzy": with_(R, fuzzy("w", "doc_id, model", WITHIN), then=f"select doc_id, model, {RESULT} from w"),
     "consensus_exact_by_source": with_(R, exact("w", "source", BY_SOURCE), then=f"select source, {RESULT} from w"),
     "consensus_set_by_source": with_(R, set_("w", "source", BY_SOURCE), then=f"select source, {RESULT} from w"),
-    "consensus_fuzzy_by_source": with_(R, fuzzy("w", "source", BY_SOURCE), then=f"select source, {RESULT} from w"),
+    "consensus_fuzzy_by_source": with_(SHORT_R, fuzzy("w", "source", BY_SOURCE), then=f"select source, {RESULT} from w"),
     "consensus_words_by_source": with_(
         R, word_vote("w", "source", BY_SOURCE, words("response"), "response is not null"), then="select source, consensus, confidence from w"
     ),
@@ -391,7 +423,8 @@ from w_g g join w_g h on h.doc_id = g.doc_id and h.model = g.model and h.pos = g
     "low_confidence_review": with_(
         R,
         exact("w", "doc_id", POOLED),
-        then="select doc_id + 1 as row_number, doc_id as identifier, round(confidence * 100, 1) as percent from w where confidence < 0.4",
+        then="select row_number, doc_id as identifier, round(confidence * 100, 1) as percent "
+        "from (select *, row_number() over (order by doc_id) as row_number from w) where confidence < 0.4",
     ),
 }
 
@@ -404,10 +437,9 @@ for _mode, _vote in VOTES.items():
 
 def _renamed_helpers(ctes: str) -> str:
     """A second fuzzy vote in one statement needs its own names for the shared helper tables."""
-    for helper in ("pairs", "tok", "parts", "ordered", "lcs", "sized", "scored"):
-        ctes = ctes.replace(f"\n{helper} as (", f"\n{helper}2 as (").replace(f"from {helper})", f"from {helper}2)")
-        ctes = ctes.replace(f"from {helper}\n", f"from {helper}2\n").replace(f"join {helper} using", f"join {helper}2 using")
-    return ctes.replace("from pairs),", "from pairs2),").replace("from sized2)", "from sized2)")
+    for helper in ("pairs", "vals", "pid", "tok", "sides", "merged", "split", "parts", "ordered", "lcs", "sized", "scored"):
+        ctes = re.sub(rf"\b{helper}\b", f"{helper}2", ctes)
+    return ctes
 
 
 for _mode, _vote in VOTES.items():
@@ -449,8 +481,7 @@ ORACLES["abstract_presets"] = with_(
     f"""a as (
   select doc_id, theme, run, {answer('w1', 'w2', "'Error: No response'")} as response
   from (select *, {kind('doc_id', 'theme', 'run')} as k
-        from (select doc_id, replace(split_part(text, ' ', 1), chr(10), ' ') as w1,
-                     replace(split_part(text, ' ', 2), chr(10), ' ') as w2 from documents)
+        from (select doc_id, {both_ways("text")} from documents)
         cross join {_THEMES} cross join {_RUNS}))""",
     "n as (select doc_id, theme, "
     + ", ".join(f'max(response) filter (run = {r}) as "Response {r}"' for r in range(1, RUNS + 1))
@@ -476,3 +507,32 @@ ORACLES["single_model_analysis"] = with_(
     then="""select doc_id as "Identifier", text as "Content", n.* exclude (doc_id), consensus as "Consensus_Result",
        confidence as "Consensus_Confidence" from documents join n using (doc_id) join s using (doc_id)""",
 )
+
+_EVENTS = "select user_id, event_id as ord, event_type as response from events"
+_TURNS = "select conv_id, turn as ord, text as response from conversations"
+ORACLES["consensus_exact_events"] = "with " + exact("w", "user_id", _EVENTS) + f" select user_id, {RESULT} from w"
+ORACLES["consensus_set_turns"] = "with " + set_("w", "conv_id", _TURNS) + f" select conv_id, {RESULT} from w"
+ORACLES["consensus_words_turns"] = (
+    "with " + word_vote("w", "conv_id", _TURNS, words("response"), "response is not null") + " select conv_id, consensus, confidence from w"
+)
+for _mode in ("exact", "set"):
+    ORACLES[f"block_{_mode}"] = with_(
+        R,
+        VOTES[_mode]("p", "doc_id", POOLED),
+        then='select doc_id, consensus as "Aggregated_Consensus", confidence as "Aggregated_Consensus_Confidence" from p',
+    )
+ORACLES["block_between"] = with_(
+    R,
+    exact("w", "doc_id, model", WITHIN),
+    exact("b", "doc_id", BETWEEN),
+    then='select doc_id, consensus as "BetweenModel_Consensus", confidence as "BetweenModel_Consensus_Confidence" from b',
+)
+ORACLES["run_analysis"] = with_(
+    f"""r as (
+  select doc_id, model_idx, model, run, {clean(answer('w1', 'w2'))} as response
+  from (select *, {kind('doc_id', 'model', 'run')} as k
+        from (select doc_id, {both_ways('text')} from (select row_number() over (order by item_id) as doc_id, text from benchmark))
+        cross join {_MODELS} cross join {_RUNS}))""",
+    exact("w", "doc_id", POOLED),
+    then="select doc_id as row_number, doc_id as identifier, round(confidence * 100, 1) as percent from w where confidence < 0.4",
+)

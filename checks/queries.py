@@ -5,16 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import replay
+from checks import replay, workbook_files
 from checks.replay import MODELS, RUNS, table
 from replivote.functions import prompts, text, votes
 from replivote.operators import annotate as an
 from replivote.operators import consensus as con
-from replivote.operators import fuzzy, items, report, reshape, tasks
+from replivote.operators import block, fuzzy, items, report, reshape, tasks
 from replivote.plans import abstracts, analysis
 from replivote.plans.voting import Voting, add_votes, long_votes
 from replivote.session import fresh_path, spread
@@ -56,7 +55,7 @@ def scan_csv(spark, sf_dir):
 def scan_workbooks(spark, sf_dir):
     folder = fresh_path(spark, "workbooks")
     turns = table(spark, sf_dir, "conversations").repartition(4, "conv_id")
-    workbooks.write_workbooks(turns, folder)
+    workbook_files.write_workbooks(turns, folder)
     return workbooks.scan_workbooks(spark, folder, turns.schema, "Sheet1")
 
 
@@ -66,7 +65,7 @@ def scan_folder(spark, sf_dir):
     folder = fresh_path(spark, "folder")
     turns = table(spark, sf_dir, "conversations")
     tables.write_table(turns.where("role = 'user'"), folder, "csv")
-    workbooks.write_workbooks(turns.where("role <> 'user'").repartition(4, "conv_id"), folder)
+    workbook_files.write_workbooks(turns.where("role <> 'user'").repartition(4, "conv_id"), folder)
     return tables.scan_folder(spark, folder, turns.schema)
 
 
@@ -75,14 +74,13 @@ def union_by_name(spark, sf_dir):
     return tables.union_by_name([table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")])
 
 
-@query
-def scan_images(spark, sf_dir):
-    """The pages' bytes as files under the manifest's names, listed and measured."""
+def _image_files(spark, sf_dir) -> str:
+    """The pages' bytes as files under the manifest's names."""
     folder = fresh_path(spark, "images")
     pages = replay.images(spark, sf_dir).join(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
 
     def write(batches):
-        system, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        system, root = workbook_files.file_system(folder)
         system.create_dir(root)
         for batch in batches:
             for name, html in zip(*[c.to_pylist() for c in batch.columns]):
@@ -91,7 +89,23 @@ def scan_images(spark, sf_dir):
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
     pages.select("image", "html").mapInArrow(write, "n long").agg(F.sum("n")).first()
-    return img.scan_images(spark, folder).select("image", "length")
+    return folder
+
+
+@query
+def scan_images(spark, sf_dir):
+    """Files listed and measured."""
+    return img.scan_images(spark, _image_files(spark, sf_dir)).select("image", "length")
+
+
+@query
+def scan_csv_by_header(spark, sf_dir):
+    """Parts of one table with their columns in different orders, one with a column more."""
+    path = fresh_path(spark, "csv_by_header")
+    documents = table(spark, sf_dir, "documents")
+    tables.write_table(documents.where("lang = 'en'").select("text", "doc_id", "source"), f"{path}/a", "csv")
+    tables.write_table(documents.where("lang <> 'en'").select("doc_id", "lang", "source", "text"), f"{path}/b", "csv")
+    return tables.scan_csv(spark, f"{path}/*", "doc_id long, text string, lang string, source string")
 
 
 @query
@@ -244,9 +258,9 @@ def annotate_text(spark, sf_dir):
 
 @query
 def annotate_images(spark, sf_dir):
-    named = img.filter_image_names(replay.images(spark, sf_dir))
-    tasks_ = tasks.image_tasks(named, IMAGE_PROMPT, FOLDER)
-    answered = an.annotate(tasks_, MODELS, RUNS, replay.replay_images(), key="image", path="path")
+    """The files' bytes are read where the answers are made."""
+    found = img.scan_images(spark, _image_files(spark, sf_dir)).withColumn("prompt", F.lit(IMAGE_PROMPT))
+    answered = an.annotate(found, MODELS, RUNS, replay.replay_images(), key="image", path="path", content="content")
     return an.long_responses(answered, ["image"], MODELS)
 
 
@@ -306,7 +320,7 @@ def consensus_exact(spark, sf_dir):
 
 @query
 def consensus_set(spark, sf_dir):
-    return con.consensus_set(replay.responses(spark, sf_dir), KEY, max_votes=RUNS)
+    return con.consensus_set(replay.responses(spark, sf_dir), KEY)
 
 
 @query
@@ -329,9 +343,9 @@ def consensus_words_documented(spark, sf_dir):
     return con.consensus_words_documented(replay.responses(spark, sf_dir), KEY)
 
 
-def _by_source(spark, sf_dir):
+def _by_source(spark, sf_dir, short=False):
     """All documents of a source vote together; order = document, run, model."""
-    said = replay.responses(spark, sf_dir, "source")
+    said = replay.responses(spark, sf_dir, "source", short=short)
     return said.withColumn("order", F.struct("doc_id", "run", "model_idx"))
 
 
@@ -342,12 +356,13 @@ def consensus_exact_by_source(spark, sf_dir):
 
 @query
 def consensus_set_by_source(spark, sf_dir):
-    return con.consensus_set(_by_source(spark, sf_dir), ["source"], order="order", large_key=500)
+    return con.consensus_set(_by_source(spark, sf_dir), ["source"], order="order")
 
 
 @query
 def consensus_fuzzy_by_source(spark, sf_dir):
-    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir), ["source"], order="order", block=128)
+    """Two words chosen from each whole text, so that a source's answers can all be compared in SQL."""
+    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir, short=True), ["source"], order="order", block=128)
 
 
 @query
@@ -370,6 +385,68 @@ def greedy_groups(spark, sf_dir):
     return fuzzy.greedy_groups(replay.responses(spark, sf_dir), KEY, max_votes=RUNS)
 
 
+# --- votes over answers the tables hold as they are
+
+
+@query
+def consensus_exact_events(spark, sf_dir):
+    """Each user's most frequent kind of event."""
+    return con.consensus_exact(table(spark, sf_dir, "events"), ["user_id"], response="event_type", order="event_id")
+
+
+@query
+def consensus_words_turns(spark, sf_dir):
+    """Words that turns of one conversation share, whole turns."""
+    return con.consensus_words(table(spark, sf_dir, "conversations"), ["conv_id"], response="text", order="turn")
+
+
+@query
+def consensus_set_turns(spark, sf_dir):
+    return con.consensus_set(table(spark, sf_dir, "conversations"), ["conv_id"], response="text", order="turn")
+
+
+# --- votes over the columns of a finished wide table
+
+
+@query
+def block_exact(spark, sf_dir):
+    return block.pooled_consensus(_wide(spark, sf_dir), "exact").select("doc_id", "Aggregated_Consensus", "Aggregated_Consensus_Confidence")
+
+
+@query
+def block_set(spark, sf_dir):
+    return block.pooled_consensus(_wide(spark, sf_dir), "set").select("doc_id", "Aggregated_Consensus", "Aggregated_Consensus_Confidence")
+
+
+@query
+def block_between(spark, sf_dir):
+    """Votes per model over the table's columns, then between them."""
+    wide = _wide(spark, sf_dir)
+    for m in MODELS:
+        own = [reshape.label(r, m) for r in range(1, RUNS + 1)]
+        wide = block.consensus_for_block(wide, own, "exact", consensus=f"Consensus ({m})", confidence=f"Consensus_Confidence ({m})")
+    voted = block.between_consensus(wide, MODELS, "exact")
+    return voted.select("doc_id", "BetweenModel_Consensus", "BetweenModel_Consensus_Confidence")
+
+
+@query
+def run_analysis(spark, sf_dir):
+    """A stored run over a workbook without identifiers: numbered, asked, stored, and reviewed from the store."""
+    folder = fresh_path(spark, "texts")
+    workbook_files.write_workbooks(table(spark, sf_dir, "benchmark").orderBy("item_id").coalesce(1).select("text"), folder)
+    found = workbooks.scan_workbooks(spark, folder)
+    numbered = items.assign_identifier(found).withColumn("row_id", F.col("Identifier"))
+    voting = Voting(aggregate=True, errors_vote=True)
+    wide = analysis.text_analysis(
+        numbered, id_col="row_id", content_col="text", prompt=PROMPT, models=MODELS, runs=RUNS,
+        open_responder=replay.replay_texts(PROMPT), voting=voting,
+    )
+    done = analysis.run_analysis(
+        spark, wide, fresh_path(spark, "run"), identifier="Identifier", prompt=PROMPT, models=MODELS, runs=RUNS, voting=voting
+    )
+    return done.review.select("row_number", "identifier", "percent")
+
+
 # --- votes inside one row
 
 
@@ -412,7 +489,7 @@ def confidence_bands(spark, sf_dir):
 @query
 def low_confidence_review(spark, sf_dir):
     pooled = _struct(_voted(spark, sf_dir, within=False, aggregate=True, within_mode="exact"), "_pooled")
-    numbered = pooled.withColumn("row_id", F.col("doc_id") + 1)
+    numbered = items.number_in_order(pooled, ["doc_id"])
     return report.review_list(numbered, "row_id", "doc_id", "confidence").select("row_number", "identifier", "percent")
 
 
@@ -437,7 +514,7 @@ def text_analysis(spark, sf_dir):
 @query
 def image_analysis(spark, sf_dir):
     return analysis.image_analysis(
-        img.filter_image_names(replay.images(spark, sf_dir)),
+        img.scan_images(spark, _image_files(spark, sf_dir)),
         folder=FOLDER,
         prompt=IMAGE_PROMPT,
         models=MODELS,

@@ -1,7 +1,8 @@
 """Repeatable stand-in for model answers, as a Spark column and as an annotator.
 
-Ten kinds of answer are picked by a hash of item, model and run: blank, error,
-first word in several spellings, second word, both as a list in either order.
+Ten kinds of answer are picked by a hash of item, model and run: blank, error, the
+whole text in several spellings, the text with its lines turned round, both as a list
+in either order.
 """
 
 from __future__ import annotations
@@ -24,18 +25,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def word(text: Column, k: int) -> Column:
-    """The first or second blank-separated word; reading stops there, however long the text."""
-    start = F.substring_index(text, " ", k)
-    found = start if k == 1 else F.when(F.locate(" ", text) > 0, F.substring_index(start, " ", -1)).otherwise("")
-    return F.translate(found, "\n", " ")
+MARK = "variant"
 
 
-def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    """doc_id and the first two words, cut out before any fan-out, spread by doc_id."""
-    narrow = table(spark, sf_dir, "documents").select(
-        "doc_id", *more, word(F.col("text"), 1).alias("w1"), word(F.col("text"), 2).alias("w2")
-    )
+def whole(text: Column) -> Column:
+    """A whole text on one line."""
+    return F.translate(text, "\n", " ")
+
+
+def turned(text: Column) -> Column:
+    """A whole text with its lines in reverse order, the last one left out, and one word more."""
+    lines = F.split(text, "\n")
+    return F.concat_ws(" ", F.reverse(F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(1)))), F.lit(MARK))
+
+
+def longest(text: Column) -> Column:
+    """The longest word of a whole text, the last in order of those."""
+    pairs = F.transform(F.split(whole(text), " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    return F.array_max(pairs)["w"]
+
+
+def last_word(text: Column) -> Column:
+    """The word of a whole text that comes last in order."""
+    return F.array_max(F.split(whole(text), " "))
+
+
+def documents(spark: SparkSession, sf_dir: str, *more: str, short: bool = False) -> DataFrame:
+    """doc_id and two answers made of the whole text (or, short, chosen from all its words), spread by doc_id."""
+    first, second = (longest, last_word) if short else (whole, turned)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    narrow = table(spark, sf_dir, "documents").select("doc_id", *more, first(text).alias("w1"), second(text).alias("w2"))
     return spread(narrow, "doc_id")
 
 
@@ -64,9 +83,9 @@ def answer(kind_of: Column, w1: Column, w2: Column) -> Column:
     )
 
 
-def responses(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+def responses(spark: SparkSession, sf_dir: str, *more: str, short: bool = False) -> DataFrame:
     """Long replay answers: doc_id, model_idx, model, run, response, status."""
-    tasks = fan_out_runs(fan_out_models(documents(spark, sf_dir, *more), MODELS), RUNS)
+    tasks = fan_out_runs(fan_out_models(documents(spark, sf_dir, *more, short=short), MODELS), RUNS)
     kinds = tasks.withColumn("_k", kind(F.col("doc_id"), F.col("model"), F.col("run")))
     return kinds.select(
         "doc_id",
@@ -92,14 +111,14 @@ def rows(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     )
 
 
-def replay(words: Callable[[str, str], tuple[str, str]], raw_key: bool = True) -> Callable:
-    """An annotator that gives the replay answers; ``words(key, prompt)`` finds the two words."""
+def replay(words: Callable[[str, str | None, bytes | None], tuple[str, str]], raw_key: bool = True) -> Callable:
+    """An annotator that gives the replay answers; ``words(key, prompt, content)`` makes the two of an item."""
 
     def open_responder():
         def respond(model: str, run: int, batch: dict[str, list]) -> list:
             out = []
-            for key, prompt in zip(batch["key"], batch["prompt"]):
-                w1, w2 = words(str(key), prompt)
+            for key, prompt, content in zip(batch["key"], batch["prompt"], batch["content"]):
+                w1, w2 = words(str(key), prompt, content)
                 parts = [str(key), model, str(run)] if raw_key else [str(key), str(run)]
                 k = int(hashlib.md5("|".join(parts).encode()).hexdigest()[:8], 16) % 10
                 if k == 1:
@@ -115,30 +134,21 @@ def replay(words: Callable[[str, str], tuple[str, str]], raw_key: bool = True) -
     return open_responder
 
 
-def first_words(content: str) -> tuple[str, str]:
-    parts = content.split(" ", 2)
-    return parts[0].replace("\n", " "), (parts[1].replace("\n", " ") if len(parts) > 1 else "")
+def both_ways(content: str) -> tuple[str, str]:
+    lines = content.split("\n")
+    return content.replace("\n", " "), " ".join([*reversed(lines[: max(1, len(lines) - 1)]), MARK])
 
 
 def replay_texts(template: str) -> Callable:
     """Replay for prompts that are a known template, a space and the text."""
-    return replay(lambda key, prompt: first_words(prompt[len(template) + 1 :]))
+    return replay(lambda key, prompt, content: both_ways(prompt[len(template) + 1 :]))
 
 
 def replay_images() -> Callable:
-    """Replay for images: the words are the file's stem and its ending."""
-
-    def words(key: str, prompt: str) -> tuple[str, str]:
-        stem, _, ending = key.partition(".")
-        return stem, ending.lower()
-
-    return replay(words)
+    """Replay for images: the file's stem, and a digest of its bytes."""
+    return replay(lambda key, prompt, content: (key.partition(".")[0], hashlib.md5(content).hexdigest()))
 
 
 def replay_abstracts(templates: dict[str, str]) -> Callable:
     """Replay for keys ``id|theme`` and that theme's template."""
-
-    def words(key: str, prompt: str) -> tuple[str, str]:
-        return first_words(prompt[len(templates[key.split("|")[1]]) + 1 :])
-
-    return replay(words, raw_key=False)
+    return replay(lambda key, prompt, content: both_ways(prompt[len(templates[key.split("|")[1]]) + 1 :]), raw_key=False)

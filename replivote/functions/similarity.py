@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from typing import NamedTuple
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,6 +58,9 @@ def token_set_score(a: str, b: str) -> float:
     return score
 
 
+_BINS = 64  # letters are counted by code modulo this
+
+
 class _Profile(NamedTuple):
     """What is compared of one answer, worked out once."""
 
@@ -63,49 +68,76 @@ class _Profile(NamedTuple):
     words: frozenset[str]
     joined: str
     places: dict[str, int]
-    letters: int
+    letters: np.ndarray
+    mask: int
 
 
 def _profile(answer: str) -> _Profile:
     words = frozenset(answer.split())
     joined = " ".join(sorted(words))
-    letters = 0
-    for ch in joined:
-        letters |= 1 << ord(ch) % 64
-    return _Profile(answer, words, joined, _places(joined), letters)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    letters = np.bincount(codes % _BINS, minlength=_BINS).astype(np.int32)
+    mask = 0
+    for word in words:
+        mask |= 1 << crc32(word.encode("utf-8", "surrogatepass")) % 64
+    return _Profile(answer, words, joined, _places(joined), letters, mask)
 
 
 def _matches(a: _Profile, b: _Profile, threshold: float) -> bool:
-    """Whether the score reaches the threshold; most pairs are refused on two cheap bounds."""
+    """Whether the score reaches the threshold."""
     if a.words & b.words or not (a.words and b.words):
         return token_set_score(a.text, b.text) >= threshold
     length = len(a.joined) + len(b.joined)
-    # a letter found on one side only, and every letter of surplus length, must be edited
-    least = max(abs(len(a.joined) - len(b.joined)), (a.letters ^ b.letters).bit_count())
-    if _percent(least, length) < threshold:
-        return False
     return _percent(length - 2 * _common(a.places, len(a.joined), b.joined), length) >= threshold
 
 
-def _first_match(answer: _Profile, leaders: list[tuple[int, _Profile]], threshold: float) -> int | None:
-    for at, leader in leaders:
-        if _matches(leader, answer, threshold):
-            return at
-    return None
+class _Opened:
+    """Leaders in order, with what refuses most answers for all of them at once.
+
+    Without a common word, the common subsequence is no longer than the letters that
+    both have, counted by bins; a pair that cannot reach the threshold that way, and
+    whose word masks do not meet, is not looked at.
+    """
+
+    def __init__(self, threshold: float):
+        self.threshold = threshold
+        self.leaders: list[tuple[int, _Profile]] = []
+        self.letters = np.zeros((16, _BINS), dtype=np.int32)
+        self.masks = np.zeros(16, dtype=np.uint64)
+
+    def add(self, at: int, leader: _Profile) -> None:
+        n = len(self.leaders)
+        if n == len(self.masks):
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+            self.masks = np.concatenate([self.masks, np.zeros_like(self.masks)])
+        self.letters[n], self.masks[n] = leader.letters, leader.mask
+        self.leaders.append((at, leader))
+
+    def first_match(self, answer: _Profile) -> int | None:
+        n = len(self.leaders)
+        letters = self.letters[:n]
+        common = np.minimum(letters, answer.letters).sum(axis=1)
+        whole = letters.sum(axis=1) + len(answer.joined)
+        able = (200 * common >= (self.threshold - 1e-6) * whole) | ((self.masks[:n] & np.uint64(answer.mask)) != 0)
+        for i in np.flatnonzero(able) if answer.words else range(n):
+            at, leader = self.leaders[i]
+            if _matches(leader, answer, self.threshold):
+                return at
+        return None
 
 
 def _leaders(answers: list[str], threshold: float) -> list[int]:
     """For distinct answers in order, the position of each one's group's first member."""
     if len(answers) < 2:
         return [0] * len(answers)
-    opened: list[tuple[int, _Profile]] = []
+    opened = _Opened(threshold)
     picks = []
     for i, answer in enumerate(answers):
         profile = _profile(answer)
-        pick = _first_match(profile, opened, threshold)
+        pick = opened.first_match(profile)
         if pick is None:
             pick = i
-            opened.append((i, profile))
+            opened.add(i, profile)
         picks.append(pick)
     return picks
 
@@ -146,10 +178,13 @@ def group_leaders(answers: Column, threshold: float) -> Column:
 def group_answers(ballots: Column, threshold: float) -> Column:
     """Per array of answers: its distinct non-null answers, first seen first, as value, ct, leader.
 
-    Everything a vote needs comes back in one value. The function is declared
-    non-deterministic so that a vote on the outcome of other votes is planned as a
-    second step on finished columns, never folded into the first.
+    Everything a vote needs comes back in one value. Arrays of at most one distinct
+    answer are settled here and cross to Python as empty ones. The function is
+    declared non-deterministic so that a vote on the outcome of other votes is planned
+    as a second step on finished columns, never folded into the first.
     """
+    none = F.array().cast("array<string>")
+    spoken = F.transform(ballots, lambda a: F.filter(F.coalesce(a, none), lambda x: x.isNotNull()))
 
     def groups(answers: list[str | None]) -> list[dict]:
         counts: dict[str, int] = {}
@@ -165,7 +200,14 @@ def group_answers(ballots: Column, threshold: float) -> Column:
         out = [[groups(answers or []) for answers in row] for row in rows.to_pylist()]
         return pa.array(out, pa.list_(pa.list_(group)))
 
-    return grouped.asNondeterministic()(ballots)
+    several = F.transform(spoken, lambda a: F.when(F.size(F.array_distinct(a)) > 1, a).otherwise(none))
+    empty = F.array().cast("array<struct<value: string, ct: int, leader: int>>")
+
+    def settled(said: Column, groups: Column) -> Column:
+        alone = F.array(F.struct(said[0].alias("value"), F.size(said).alias("ct"), F.lit(0).alias("leader")))
+        return F.when(F.size(groups) > 0, groups).when(F.size(said) > 0, alone).otherwise(empty)
+
+    return F.zip_with(spoken, grouped.asNondeterministic()(several), settled)
 
 
 def first_matching(answer: Column, owner: Column, leaders: Column, threshold: float) -> Column:
@@ -176,12 +218,14 @@ def first_matching(answer: Column, owner: Column, leaders: Column, threshold: fl
 
     @F.arrow_udf("int")
     def match(answers: pa.Array, owners: pa.Array, leader_lists: pa.Array) -> pa.Array:
-        known: dict[str, list[tuple[int, _Profile]]] = {}
+        known: dict[str, _Opened] = {}
         found = []
         for i, (text, name) in enumerate(zip(answers.to_pylist(), owners.to_pylist())):
             if name not in known:
-                known[name] = [(at, _profile(x)) for at, x in enumerate(leader_lists[i].as_py())]
-            found.append(_first_match(_profile(text), known[name], threshold))
+                known[name] = _Opened(threshold)
+                for at, leader in enumerate(leader_lists[i].as_py()):
+                    known[name].add(at, _profile(leader))
+            found.append(known[name].first_match(_profile(text)))
         return pa.array(found, pa.int32())
 
     return match(answer, owner, leaders)

@@ -20,7 +20,7 @@ MODES = ("exact", "set", "fuzzy")
 
 def check_mode(mode: str) -> str:
     if mode not in MODES:
-        raise ValueError(f"Unknown consensus mode: {mode}")
+        raise ValueError(f"{mode!r} is no way to vote; choose one of {', '.join(MODES)}")
     return mode
 
 

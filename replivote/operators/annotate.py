@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replivote.functions.text import clean_response
+from replivote.operators.reshape import quoted
 
 # (model, run, batch) -> one answer, or one exception, per row of the batch; a batch
-# has key, prompt and path lists
+# has key, prompt, path and content lists
 Responder = Callable[[str, int, dict[str, list]], Sequence[str | Exception]]
 
 _ANSWERS = "struct<answers: array<string>, failed: array<boolean>>"
@@ -31,14 +32,18 @@ def annotate(
     key: str,
     prompt: str = "prompt",
     path: str | None = None,
+    content: str | None = None,
     error_text: str = "Error: {error}",
     clean: bool = True,
+    split_on_error: bool = False,
 ) -> DataFrame:
     """Add ``answers`` and ``failed`` arrays, run-major: position ``(run - 1) * models + model``.
 
-    ``open_responder`` is called once per partition. An exception returned for a row
-    becomes its answer text; when a whole call raises, the batch is halved until the
-    bad rows stand alone. Rows with a null prompt are not asked. Being declared
+    ``open_responder`` is called once per partition. ``content`` names a binary column, such
+    as an image's bytes, that is read by the task and handed over. An exception returned for a row
+    becomes its answer text. A whole call that raises fails for all its rows, and none is
+    asked again; with ``split_on_error`` the batch is halved instead, and asked again,
+    until the bad rows stand alone. Rows with a null prompt are not asked. Being declared
     non-deterministic, the call is never planned twice for one row.
     """
     models = list(models)
@@ -51,19 +56,19 @@ def annotate(
                 raise ValueError(f"{len(answers)} answers for {n} prompts")
             return answers
         except Exception as error:  # noqa: BLE001 - one bad row must not fail the others
-            if n == 1:
-                return [error]
+            if n == 1 or not split_on_error:
+                return [error] * n
         halves = ({k: v[: n // 2] for k, v in batch.items()}, {k: v[n // 2 :] for k, v in batch.items()})
         return [answer for half in halves for answer in ask(responder, model, run, half)]
 
     @F.arrow_udf(_ANSWERS)
-    def ask_all(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def ask_all(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         responder = open_responder()
-        for keys, prompts, paths in batches:
+        for keys, prompts, paths, contents in batches:
             asked = [i for i, p in enumerate(prompts.to_pylist()) if p is not None]
             batch = {
                 name: values.take(pa.array(asked, pa.int64())).to_pylist()
-                for name, values in (("key", keys), ("prompt", prompts), ("path", paths))
+                for name, values in (("key", keys), ("prompt", prompts), ("path", paths), ("content", contents))
             }
             answers = [[None] * (len(models) * runs) for _ in range(len(prompts))]
             failed = [[None] * (len(models) * runs) for _ in range(len(prompts))]
@@ -80,13 +85,15 @@ def annotate(
             )
 
     where = F.col(path) if path else F.lit(None).cast("string")
-    asked = tasks.withColumn("_a", ask_all.asNondeterministic()(F.col(key), F.col(prompt), where))
+    what = F.col(content) if content else F.lit(None).cast("binary")
+    asked = tasks.withColumn("_a", ask_all.asNondeterministic()(F.col(key), F.col(prompt), where, what))
     answers = F.col("_a.answers")
     if clean:
         answers = F.transform(
             answers, lambda a, i: F.when(F.col("_a.failed")[i], a).otherwise(clean_response(a))
         )
-    return asked.select(*tasks.columns, answers.alias("answers"), F.col("_a.failed").alias("failed"))
+    kept = [quoted(c) for c in tasks.columns if c != content]
+    return asked.select(*kept, answers.alias("answers"), F.col("_a.failed").alias("failed"))
 
 
 def status(answer: Column, failed: Column) -> Column:

@@ -17,12 +17,9 @@ from pyspark.sql.types import ByteType, IntegerType, ShortType
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
 from replivote.functions.votes import check_mode
-from replivote.operators.answers import answers_of, distinct_answers
+from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.operators.fuzzy import consensus_fuzzy
 
-LARGE_KEY = 10_000  # answers; above it a key's rare items are dropped before they are gathered
-_SALTS = 64
-
 
 def _modal_per_key(distinct: DataFrame, keys: Sequence[str], empty: str) -> DataFrame:
     counted = F.when(F.col("_value").isNotNull(), F.col("_ct"))
@@ -39,6 +36,7 @@ def _modal_per_key(distinct: DataFrame, keys: Sequence[str], empty: str) -> Data
     )
 
 
+@plain_keys
 def consensus_exact(
     votes: DataFrame, keys: Sequence[str], *, response="response", order="run", errors_vote=True
 ) -> DataFrame:
@@ -47,6 +45,7 @@ def consensus_exact(
     return _modal_per_key(distinct_answers(answers, keys, text.normalize(F.col("_said"))), keys, "")
 
 
+@plain_keys
 def consensus_simple(votes: DataFrame, keys: Sequence[str], *, response="response", order="run") -> DataFrame:
     """Most frequent lightly normalised answer per key; blanks vote, nulls do not."""
     answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
@@ -76,6 +75,7 @@ def _items(answers: DataFrame, keys: Sequence[str], parts: Column) -> DataFrame:
     )
 
 
+@plain_keys
 def consensus_set(
     votes: DataFrame,
     keys: Sequence[str],
@@ -84,43 +84,27 @@ def consensus_set(
     order="run",
     errors_vote=True,
     max_votes: int | None = None,
-    large_key: int = LARGE_KEY,
 ) -> DataFrame:
     """Items named by at least half of a key's answers, else its most named item.
 
-    ``max_votes`` states a known bound on answers per key. Without one, keys with
-    more than ``large_key`` answers have items below one half removed first, so the
-    gathered list holds a small key's items or a large key's result, nothing else.
+    Answers are counted per key first, and only items that reach one half are gathered:
+    no more than twice an answer's items, whatever the size of the key. ``max_votes``
+    is accepted for symmetry with the fuzzy vote and changes nothing.
     """
     answers = answers_of(votes, keys, response, order, errors_vote)
     parts = F.coalesce(text.split_set(F.col("_said")), F.array().cast("array<string>"))
     items = _items(answers, keys, parts)
     named = F.col("_item").isNotNull()
-    gathered = named
-    if max_votes is None or max_votes > large_key:
-        large = (
-            answers.where(F.col("_said").isNotNull())
-            .groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_large"))
-            .where(F.col("_large") > large_key)
-        )
-        # every side row is a large key: repeating it per salt is cheap and splits the key's items
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
-        items = _left_join(
-            items.withColumn("_salt", F.pmod(F.xxhash64("_item"), F.lit(_SALTS))),
-            large.withColumn("_salt", F.explode(salts)),
-            [*keys, "_salt"],
-        )
-        gathered = named & (F.col("_large").isNull() | (F.col("_ct") * 2 >= F.col("_large")))
     per_key = items.groupBy(*keys).agg(
         F.max(F.when(~named, F.col("_ct"))).alias("n_responses"),
         F.min_by("_item", F.when(named, F.struct(-F.col("_ct"), F.col("_first")))).alias("_top"),
         F.max(F.when(named, F.col("_ct"))).alias("_best"),
-        F.collect_list(F.when(gathered, F.struct("_first", "_item", "_ct"))).alias("_items"),
     )
-    frequent = F.sort_array(F.filter("_items", lambda t: t["_ct"] * 2 >= F.col("n_responses")))
-    chosen = per_key.withColumn("_chosen", frequent)
-    some = F.size("_chosen") > 0
+    # the left side may hold a hot key's items: the adaptive planner splits it
+    often = _left_join(items.where(named), per_key.select(*keys, "n_responses"), keys).where(F.col("_ct") * 2 >= F.col("n_responses"))
+    gathered = often.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_first", "_item", "_ct"))).alias("_chosen"))
+    chosen = _left_join(per_key, gathered, keys)
+    some = F.coalesce(F.size("_chosen") > 0, F.lit(False))
     total = F.aggregate("_chosen", F.lit(0).cast("long"), lambda acc, t: acc + t["_ct"])
     return chosen.select(
         *keys,
@@ -157,6 +141,7 @@ def _word_result(shared: Column, distinct: Column) -> tuple[Column, Column]:
     )
 
 
+@plain_keys
 def consensus_words(votes: DataFrame, keys: Sequence[str], *, response="response", order="run") -> DataFrame:
     """Words said more than once, in first-seen order; score = shared / distinct words, unrounded."""
     answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
@@ -168,6 +153,7 @@ def consensus_words(votes: DataFrame, keys: Sequence[str], *, response="response
     )
 
 
+@plain_keys
 def consensus_words_documented(votes: DataFrame, keys: Sequence[str], *, response="response", order="run") -> DataFrame:
     """The documented word vote: no empty words, a lone answer is certain, modal answer as fallback."""
     answers = answers_of(votes, keys, response, order, errors_vote=True)

@@ -12,7 +12,7 @@ from replivote.functions import text
 from replivote.functions.rounding import ratio3
 from replivote.functions.similarity import first_matching, group_leaders, token_set_ratio
 from replivote.functions.votes import group_weight, vote_groups
-from replivote.operators.answers import answers_of, distinct_answers
+from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.session import checkpointed
 
 BLOCK = 512  # distinct answers of one key that a single task groups at a time
@@ -150,6 +150,7 @@ def _split_by_size(distinct: DataFrame, keys: Sequence[str], max_votes: int | No
     return small, spoken.join(many, _same_key(spoken, many, keys), "left_semi")
 
 
+@plain_keys
 def greedy_groups(
     votes: DataFrame,
     keys: Sequence[str],
@@ -177,6 +178,7 @@ def greedy_groups(
     )
 
 
+@plain_keys
 def consensus_fuzzy(
     votes: DataFrame,
     keys: Sequence[str],

@@ -32,8 +32,8 @@ def confidence_bands(results: DataFrame, confidence: str) -> DataFrame:
 
 
 def review_list(results: DataFrame, row: str, identifier: str, confidence: str) -> DataFrame:
-    """Rows in the low band: row number, identifier, per cent, ready-made line."""
-    low = results.where(F.col(f"`{confidence}`") < MEDIUM)
+    """Rows in the low band in row order: row number, identifier, per cent, ready-made line."""
+    low = results.where(F.col(f"`{confidence}`") < MEDIUM).orderBy(F.col(f"`{row}`").cast("long"))
     percent = F.round(F.col(f"`{confidence}`") * 100, 1)
     line = F.format_string("Row %d: %s (confidence: %.1f%%)", F.col(row).cast("long"), F.col(f"`{identifier}`").cast("string"), percent)
     return low.select(
@@ -65,11 +65,17 @@ def run_metadata(
     between: bool = True,
     between_mode: str | None = None,
     between_threshold: float | None = None,
+    pooled: bool = False,
+    pooled_mode: str | None = None,
+    pooled_threshold: float | None = None,
+    errors_vote: bool = False,
     duration_s: float | None = None,
 ) -> DataFrame:
     """One row describing a run; thresholds only where the mode is fuzzy."""
     between_mode = between_mode or within_mode
     between_threshold = within_threshold if between_threshold is None else between_threshold
+    pooled_mode = pooled_mode or within_mode
+    pooled_threshold = within_threshold if pooled_threshold is None else pooled_threshold
 
     def threshold(mode: str, value: float) -> Column:
         return F.lit(float(value) if mode == "fuzzy" else None).cast("double")
@@ -90,6 +96,10 @@ def run_metadata(
         F.lit(between).alias("between_on"),
         F.lit(between_mode).alias("between_mode"),
         threshold(between_mode, between_threshold).alias("between_threshold"),
+        F.lit(pooled).alias("pooled_on"),
+        F.lit(pooled_mode).alias("pooled_mode"),
+        threshold(pooled_mode, pooled_threshold).alias("pooled_threshold"),
+        F.lit(errors_vote).alias("errors_vote"),
         "n_high",
         "n_medium",
         "n_low",

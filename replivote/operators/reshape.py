@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from replivote.operators.tasks import fan_out_models, fan_out_runs
 
 NO_RESPONSE = "Error: No response"
-HOT_ROWS = 1_000_000  # rows of one identifier above which a join splits them
-_SALTS = 256
 
 _LABEL = re.compile(r"^response[_ ](\d+)(?: \((.*)\))?$", re.IGNORECASE)
 
@@ -92,61 +90,52 @@ def reorder_columns(wide: DataFrame, first: Sequence[str], models: Sequence[str]
     return wide.select(*[quoted(c) for c in [*leading, *[c for c in wide.columns if c not in leading]]])
 
 
-def left_join_responses(master: DataFrame, answers: DataFrame, on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def left_join_responses(master: DataFrame, answers: DataFrame, on: str) -> DataFrame:
     """Attach answers, one row per identifier; null identifiers match each other.
 
-    Master rows of an identifier with more than ``hot_rows`` rows are dealt out over
-    salts, and only that identifier's answers are repeated per salt. The salt is a
-    hash of the row, so a task that runs again deals the same way.
+    One left join: its skewed side is the master table, whose large partitions the
+    adaptive planner splits, repeating only the few answers that meet them.
     """
-    key = quoted(on)
-    # one long and one key per hot identifier: at most a millionth of the rows by default
-    hot = master.groupBy(key.alias("_hot")).count().where(F.col("count") > hot_rows).select("_hot", F.lit(True).alias("_is_hot"))
-    hot = F.broadcast(hot)
-    row_salt = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*[quoted(c) for c in master.columns]), F.lit(_SALTS))).otherwise(0)
-    left = master.join(hot, key.eqNullSafe(F.col("_hot")), "left").withColumn("_salt", row_salt).drop("_hot", "_is_hot")
     right = answers.withColumnRenamed(on, "_right_key")
-    copies = F.when(F.col("_is_hot"), _SALTS - 1).otherwise(0).cast("long")
-    right = (
-        right.join(hot, F.col("_right_key").eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies)))
-        .drop("_hot", "_is_hot")
-    )
-    met = key.eqNullSafe(F.col("_right_key")) & (F.col("_salt") == F.col("_right_salt"))
-    return left.join(right, met, "left").drop("_right_key", "_salt", "_right_salt")
+    return master.join(right, quoted(on).eqNullSafe(F.col("_right_key")), "left").drop("_right_key")
 
 
 def dedupe_identifier(table: DataFrame, identifier: str, order: str) -> DataFrame:
-    """First row of every identifier by ``order`` (unique).
+    """First row of every identifier by ``order`` (unique; nulls come last).
 
     Only the two key columns are aggregated, combined map-side, so a hot identifier
-    costs one row per task; the payload joins back on the unique order column.
+    costs one row per task; the payload joins back on the unique order column. An
+    identifier whose order is null in every row keeps one of them.
     """
-    firsts = table.groupBy(quoted(identifier)).agg(F.min(quoted(order)).alias("_first")).select("_first")
-    return table.join(firsts, table[order] == firsts["_first"], "left_semi")
+    firsts = table.groupBy(quoted(identifier).alias("_id")).agg(F.min(quoted(order)).alias("_first"))
+    known = table.join(firsts.where("_first is not null").select("_first"), quoted(order) == F.col("_first"), "left_semi")
+    never = firsts.where("_first is null").select("_id")
+    rest = table.where(quoted(order).isNull()).join(never, quoted(identifier).eqNullSafe(F.col("_id")), "left_semi")
+    one = rest.groupBy(quoted(identifier)).agg(F.first(F.struct(*[quoted(c) for c in table.columns])).alias("_row"))
+    return known.unionByName(one.select("_row.*"))
 
 
-def shared_identifier_answers(
-    table: DataFrame, answers: DataFrame, identifier: str, order: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def shared_identifier_answers(table: DataFrame, answers: DataFrame, identifier: str, order: str) -> DataFrame:
     """Give all rows with one identifier the answers of its first row.
 
     ``answers`` is keyed by ``order``. First rows pick up their answers before the
     join on the identifier, which then has one row per identifier on its right.
     """
-    firsts = table.groupBy(quoted(identifier)).agg(F.min(quoted(order)).alias(order))
-    ready = firsts.join(answers, order).drop(order)
-    return left_join_responses(table, ready, identifier, hot_rows)
+    firsts = table.groupBy(quoted(identifier)).agg(F.min(quoted(order)).alias("_first"))
+    keyed = answers.withColumnRenamed(order, "_order")
+    ready = firsts.join(keyed, F.col("_first") == F.col("_order")).drop("_first", "_order")
+    return left_join_responses(table, ready, identifier)
 
 
 def pad_missing(items: DataFrame, responses: DataFrame, key: str, models: Sequence[str], runs: int) -> DataFrame:
     """Every item x model x run; absent answers read 'Error: No response'.
 
-    ``key`` is unique in ``items``, key, model and run in ``responses``, so one key's
-    answers are few: they are gathered before the join, and the grid is laid out
-    after it. Neither the grid nor the answers are matched row by row.
+    ``key`` is unique in ``items``. Of several answers to one key, model and run the
+    smallest counts, so one key's answers are few: they are gathered before the join,
+    and the grid is laid out after it.
     """
-    held = responses.groupBy(key).agg(F.collect_list(F.struct("model", "run", "response")).alias("_held"))
+    single = responses.groupBy(key, "model", "run").agg(F.min("response").alias("response"))
+    held = single.groupBy(key).agg(F.collect_list(F.struct("model", "run", "response")).alias("_held"))
     grid = fan_out_runs(fan_out_models(items.select(key).join(held, key, "left"), models), runs)
     own = F.filter("_held", lambda h: (h["model"] == F.col("model")) & (h["run"] == F.col("run")))
     found = F.get(own, F.lit(0))["response"]

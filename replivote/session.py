@@ -15,12 +15,11 @@ def shared_folder(spark: SparkSession) -> str:
     driver and executors are one process, falls back to a temporary folder.
     """
     sc = spark.sparkContext
+    if sc.getCheckpointDir():  # with its scheme, as Spark itself resolves it
+        return sc.getCheckpointDir()
     folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(folder)
-        return folder
-    if sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -39,6 +38,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read from there: the planner then knows their size."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread the rows of a narrow file scan over the cluster before a fan-out.
 

@@ -1,4 +1,4 @@
-"""XLSX workbooks: one Spark task per file for reading, one file per partition for writing."""
+"""XLSX workbooks as tables, one Spark task per file."""
 
 from __future__ import annotations
 
@@ -8,44 +8,16 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 from io import BytesIO
 from xml.etree import ElementTree
-from xml.sax.saxutils import escape
 
 import pyarrow as pa
-from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 # Names the file format prescribes.
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-_TYPES = (
-    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-    '<Override PartName="/xl/workbook.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-    '<Override PartName="/xl/worksheets/sheet1.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>'
-)
-_ROOT_RELS = (
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
-    'Target="xl/workbook.xml"/></Relationships>'
-)
-_BOOK = (
-    '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
-    '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
-)
-_BOOK_RELS = (
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
-    'Target="worksheets/sheet1.xml"/></Relationships>'
-)
-_MAX_ROWS = 1_048_575  # data rows a sheet can hold under its header
-_MAX_CELL = 32_767  # characters a cell can hold
 _DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
 
@@ -53,11 +25,6 @@ def _unescape(value: str) -> str:
     return re.sub(r"_x([0-9A-Fa-f]{4})_", lambda m: chr(int(m[1], 16)), value)
 
 
-def _escape(value: str) -> str:
-    value = re.sub(r"_(?=x[0-9A-Fa-f]{4}_)", "_x005F_", value)
-    return escape(re.sub("[\x00-\x08\x0b-\x0d\x0e-\x1f\ufffe\uffff]", lambda m: f"_x{ord(m[0]):04X}_", value))
-
-
 def _text(node) -> str:
     """Text of a string item, rich runs joined, phonetic hints left out."""
     own = node.findall(f"{_MAIN}t") + node.findall(f"{_MAIN}r/{_MAIN}t")
@@ -137,23 +104,86 @@ def read_workbook(content: bytes, sheet: str | None = None) -> Iterator[list]:
 
 
 def _as_type(value, kind: str):
+    """A cell as a column's type; null where it is no such value, as in a CSV file.
+
+    Integer columns take whole numbers only, number columns also numbers written as text.
+    """
     if value is None:
         return None
     if kind == "string":
         return str(value)
-    if kind in ("bigint", "int", "smallint"):
-        return int(value) if isinstance(value, int) else int(float(value))
-    return float(value) if kind in ("double", "float") else value
+    try:
+        if kind in ("bigint", "int", "smallint"):
+            return int(value) if isinstance(value, (bool, int)) or float(value).is_integer() else None
+        if kind in ("double", "float"):
+            return float(value)
+    except (TypeError, ValueError):
+        return None
+    if kind == "boolean":
+        return value if isinstance(value, bool) else None
+    return value if isinstance(value, datetime) else None
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(folder).select("content")
+
+
+def workbook_schema(spark: SparkSession, folder: str, sheet: str | None = None) -> StructType:
+    """The columns of all workbooks of a folder: every header, and the narrowest type that holds its cells.
+
+    Whole numbers are longs, other numbers doubles, truth values booleans, dates timestamps;
+    a column of several kinds holds strings. Headers come in the order of the first file
+    that has them; only distinct headers and kinds leave the tasks.
+    """
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                rows = read_workbook(content.as_py(), sheet)
+                header = [str(name) if name is not None else None for name in next(rows, [])]
+                seen: dict[tuple[int, str, str | None], None] = {(i, n, None): None for i, n in enumerate(header) if n}
+                for row in rows:
+                    seen.update(((i, n, _kind(v)), None) for i, (n, v) in enumerate(zip(header, row)) if n and v is not None)
+                places, names, found = zip(*seen) if seen else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(places, pa.int32()), pa.array(names, pa.string()), pa.array(found, pa.string())], ["place", "name", "kind"]
+                )
 
+    met = _files(spark, folder).mapInArrow(kinds, "place int, name string, kind string")
+    columns = met.groupBy("name").agg(F.min("place").alias("place"), F.collect_set("kind").alias("kinds")).orderBy("place", "name")
+    return StructType([StructField(r["name"], _TYPES[_widest(set(r["kinds"]))]) for r in columns.collect()])
 
-def scan_workbooks(spark: SparkSession, folder: str, schema: StructType | str, sheet: str | None = None) -> DataFrame:
+
+_TYPES = {"long": LongType(), "double": DoubleType(), "boolean": BooleanType(), "timestamp": TimestampType(), "string": StringType()}
+
+
+def _kind(value) -> str:
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, int):
+        return "long"
+    return "double" if isinstance(value, float) else "timestamp" if isinstance(value, datetime) else "string"
+
+
+def _widest(kinds: set[str]) -> str:
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    return "double" if kinds == {"long", "double"} else "string"
+
+
+def scan_workbooks(
+    spark: SparkSession, folder: str, schema: StructType | str | None = None, sheet: str | None = None
+) -> DataFrame:
     """All ``.xlsx`` files of a folder as one table, columns matched by header name.
 
-    The first sheet is read unless one is named. Files are read in parallel, rows
-    leave each task in batches.
+    The first sheet is read unless one is named. Without a schema the files are read
+    once more to find one. A cell that is no value of its column's type is null. Files
+    are read in parallel, rows leave each task in batches.
     """
+    if schema is None:
+        schema = workbook_schema(spark, folder, sheet)
     schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(folder).select("content")
+    files = _files(spark, folder)
     columns = [(f.name, f.dataType.simpleString()) for f in schema]
     target = to_arrow_schema(schema)
 
@@ -186,70 +216,3 @@ def _batches(rows: Iterator[list], columns: list[tuple[str, str]], target: pa.Sc
             held = []
     if held:
         yield batch()
-
-
-def _letters(index: int) -> str:
-    name = ""
-    index += 1
-    while index:
-        index, rest = divmod(index - 1, 26)
-        name = chr(ord("A") + rest) + name
-    return name
-
-
-def _xml_row(number: int, values) -> str:
-    cells = []
-    for i, value in enumerate(values):
-        if value is None or value != value:
-            continue
-        at = f'r="{_letters(i)}{number}"'
-        if isinstance(value, bool):
-            cells.append(f'<c {at} t="b"><v>{int(value)}</v></c>')
-        elif isinstance(value, (int, float)):
-            cells.append(f"<c {at}><v>{value!r}</v></c>")
-        else:
-            text = str(value)
-            if len(text) > _MAX_CELL:
-                raise ValueError(f"a workbook cell holds at most {_MAX_CELL} characters; write Parquet or CSV instead")
-            cells.append(f'<c {at} t="inlineStr"><is><t xml:space="preserve">{_escape(text)}</t></is></c>')
-    return f'<row r="{number}">{"".join(cells)}</row>'
-
-
-def write_workbooks(table: DataFrame, folder: str) -> int:
-    """Write one workbook per partition into a shared folder; returns the number of rows.
-
-    File names come from the partition number, and a file appears under its name in
-    one move, so a repeated task replaces its own files and adds none.
-    """
-    names = table.columns
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-        system, root = fs.FileSystem.from_uri(uri)
-        system.create_dir(root)
-        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
-        row = next(rows, None)
-        number = 0
-        while row is not None:
-            name = f"{root}/part-{context.partitionId():05d}-{number}"
-            partial = f"{name}.{context.taskAttemptId()}.tmp"
-            with system.open_output_stream(partial) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-                book.writestr("[Content_Types].xml", _TYPES)
-                book.writestr("_rels/.rels", _ROOT_RELS)
-                book.writestr("xl/workbook.xml", _BOOK)
-                book.writestr("xl/_rels/workbook.xml.rels", _BOOK_RELS)
-                with book.open("xl/worksheets/sheet1.xml", "w") as part:
-                    part.write(f'<worksheet xmlns="{_MAIN[1:-1]}"><sheetData>'.encode())
-                    part.write(_xml_row(1, names).encode())
-                    written = 0
-                    while row is not None and written < _MAX_ROWS:
-                        written += 1
-                        part.write(_xml_row(written + 1, row).encode())
-                        row = next(rows, None)
-                    part.write(b"</sheetData></worksheet>")
-            system.move(partial, f"{name}.xlsx")
-            number += 1
-            yield pa.RecordBatch.from_pydict({"n_rows": [written]})
-
-    return table.mapInArrow(write, "n_rows long").agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]

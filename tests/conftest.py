@@ -20,10 +20,11 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from checks import replay
+    from checks import replay, workbook_files
     from tests import plain
 
     cloudpickle.register_pickle_by_value(replay)
+    cloudpickle.register_pickle_by_value(workbook_files)
     cloudpickle.register_pickle_by_value(plain)
     yield session
     session.stop()

@@ -38,16 +38,16 @@ def test_annotate_isolates_errors_and_skips_null_prompts(spark):
 
     prompts = ["a", "bad", "odd", None, "b", "bad", "c"]
     df = spark.createDataFrame(list(enumerate(prompts)), "id long, prompt string").coalesce(1)
-    got = an.annotate(df, ["m"], 1, open_responder, key="id").orderBy("id").collect()
+    got = an.annotate(df, ["m"], 1, open_responder, key="id", split_on_error=True).orderBy("id").collect()
     assert [r["answers"][0] for r in got] == ["A", "Error: boom", "Error: odd", None, "B", "Error: boom", "C"]
-    states = an.long_responses(an.annotate(df, ["m"], 1, open_responder, key="id"), ["id"], ["m"]).orderBy("id")
+    states = an.long_responses(an.annotate(df, ["m"], 1, open_responder, key="id", split_on_error=True), ["id"], ["m"]).orderBy("id")
     assert [r.status for r in states.collect()] == ["ok", "error", "error", "missing", "ok", "error", "ok"]
 
 
 def test_annotate_rejects_wrong_answer_counts(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, prompt string").coalesce(1)
     got = an.annotate(df, ["m"], 1, lambda: lambda model, run, batch: ["x", "y", "z"], key="id").collect()
-    assert all(r["failed"] == [True] and "answers for 1 prompts" in r["answers"][0] for r in got)
+    assert all(r["failed"] == [True] and "answers for 2 prompts" in r["answers"][0] for r in got)
 
 
 def test_annotator_opens_once_per_partition(spark):
@@ -85,7 +85,7 @@ def test_identifier_column_and_missing_content(spark):
     df = spark.createDataFrame([("x", 5)], "`a.id` string, text int")
     assert items.assign_identifier(df, "a.id").first()["Identifier"] == "x"
     assert items.project_content(df, "text").first()["Content"] == "5"
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="no content column"):
         items.project_content(df, "nothing")
 
 
@@ -118,12 +118,11 @@ def test_column_order(spark):
     assert got == ["id", *wide(spark).columns[1:], f"Consensus ({m})", "extra"]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, reshape.HOT_ROWS])
-def test_join_of_a_hot_identifier(spark, hot_rows):
+def test_join_of_a_hot_identifier(spark):
     keys = ["hot"] * 500 + [None] * 100 + [f"k{i}" for i in range(50)]
     master = spark.createDataFrame(list(enumerate(keys)), "row int, key string").repartition(3)
     answers = spark.createDataFrame([(k, f"r-{k}") for k in dict.fromkeys(keys) if k != "k7"], "key string, r string")
-    got = reshape.left_join_responses(master, answers, "key", hot_rows).collect()
+    got = reshape.left_join_responses(master, answers, "key").collect()
     assert sorted((r.row, r.r) for r in got if r.r) == [(i, f"r-{k}") for i, k in enumerate(keys) if k != "k7"]
     assert len(got) == len(keys)
 
@@ -169,3 +168,51 @@ def test_reports(spark):
     run = report.run_metadata(df, "c", prompt="p", models=["m"], runs=2, within_mode="fuzzy", between=False, duration_s=61).first()
     assert (run.n_high, run.n_medium, run.n_low, run.within_threshold, run.between_mode) == (1, 1, 2, 85.0, "fuzzy")
     assert run.duration == "0h 1m 1.0s"
+
+
+def test_numbering_any_table(spark):
+    df = spark.range(500).repartition(6).union(spark.range(500, 520))
+    got = items.assign_identifier(df).collect()
+    assert sorted(r["Identifier"] for r in got) == list(range(1, 521)) and len({r["id"] for r in got}) == 520
+
+
+def test_joins_take_any_row(spark):
+    """Equal rows of a hot key, map columns, dotted names, orders that are null."""
+    master = spark.createDataFrame([("a", {"x": 1})] * 300 + [("b", {"y": 2})], "`k.1` string, m map<string,int>")
+    answers = spark.createDataFrame([("a", "A")], "`k.1` string, r string")
+    planned = reshape.left_join_responses(master, answers, "k.1")._jdf.queryExecution().executedPlan().toString()
+    assert planned.count("Exchange hashpartitioning") <= 2
+    joined = reshape.left_join_responses(master, answers, "k.1")
+    assert sorted((r["k.1"], r["r"]) for r in joined.collect()) == [("a", "A")] * 300 + [("b", None)]
+    table = spark.createDataFrame([("a", None, 1), ("a", 3, 2), ("b", None, 3), ("b", None, 3)], "`i.d` string, `o.r` int, v int")
+    assert sorted(tuple(r) for r in reshape.dedupe_identifier(table, "i.d", "o.r").collect()) == [("a", 3, 2), ("b", None, 3)]
+
+
+def test_padding_takes_the_smallest_of_several_answers(spark):
+    said = spark.createDataFrame([(1, "m", 1, "y"), (1, "m", 1, "x")], "id int, model string, run int, response string")
+    got = reshape.pad_missing(spark.createDataFrame([(1,)], "id int"), said, "id", ["m"], 1).collect()
+    assert [r["response"] for r in got] == ["x"]
+
+
+def test_a_failed_call_is_not_asked_again(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def open_responder():
+        def respond(model, run, batch):
+            calls.add(len(batch["key"]))
+            raise RuntimeError("down")
+
+        return respond
+
+    df = spark.createDataFrame([(i, "p") for i in range(9)], "id long, prompt string").coalesce(1)
+    got = an.annotate(df, ["m"], 2, open_responder, key="id").collect()
+    assert calls.value == 18 and all(r["failed"] == [True, True] for r in got)
+
+
+@pytest.mark.parametrize("vote", ["consensus_exact", "consensus_set", "consensus_fuzzy", "consensus_words", "consensus_simple"])
+def test_votes_take_keys_of_any_name(spark, vote):
+    from replivote.operators import consensus
+
+    said = spark.createDataFrame([("k", i, "a b" if i else "a, b") for i in range(5)], "`my.key` string, run int, response string")
+    got = getattr(consensus, vote)(said, ["my.key"]).collect()
+    assert len(got) == 1 and got[0]["my.key"] == "k"

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import workbook_files
 from replivote.sources import images, tables, workbooks
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -82,19 +83,19 @@ def test_foreign_workbook(spark, tmp_path):
 def test_workbook_roundtrip(spark, tmp_path):
     rows = [(1, "a <b> & \"c\"\r\n\tü\x01_x0041_", 1.5, True), (2, None, None, False), (3, " spaces ", 1e300, None)]
     df = spark.createDataFrame(rows, "n long, s string, d double, b boolean").repartition(2, "n")
-    assert workbooks.write_workbooks(df, str(tmp_path / "w")) == 3
-    assert workbooks.write_workbooks(df, str(tmp_path / "w")) == 3  # a repeat replaces its own files
+    assert workbook_files.write_workbooks(df, str(tmp_path / "w")) == 3
+    assert workbook_files.write_workbooks(df, str(tmp_path / "w")) == 3  # a repeat replaces its own files
     got = workbooks.scan_workbooks(spark, str(tmp_path / "w"), df.schema).orderBy("n").collect()
     assert [tuple(r) for r in got] == rows
     with pytest.raises(Exception, match="32767"):
-        workbooks.write_workbooks(spark.createDataFrame([("x" * 40000,)], "s string"), str(tmp_path / "too_long"))
+        workbook_files.write_workbooks(spark.createDataFrame([("x" * 40000,)], "s string"), str(tmp_path / "too_long"))
 
 
 def test_folder_reads_all_tables(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,text\n1,x\n")
     (tmp_path / "b.csv").write_text("id,text\n2,y\n")
     (tmp_path / "c.txt").write_text("id,text\n3,z\n")
-    workbooks.write_workbooks(spark.createDataFrame([(4, "w")], "id int, text string"), str(tmp_path))
+    workbook_files.write_workbooks(spark.createDataFrame([(4, "w")], "id int, text string"), str(tmp_path))
     got = tables.scan_folder(spark, str(tmp_path), "id int, text string")
     assert sorted((r.id, r.text) for r in got.collect()) == [(1, "x"), (2, "y"), (4, "w")]
 
@@ -118,3 +119,33 @@ def test_bucketed_answers_vote_without_a_shuffle(spark, tmp_path):
     plan = voted._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and voted.count() == 100
     spark.sql("drop table bucketed_answers")
+
+
+def test_csv_columns_go_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,x\n")
+    (tmp_path / "b.csv").write_text("text,id\ny,2\n")
+    (tmp_path / "c.csv").write_text('id,more,text\n3,zzz,"a\nb"\n')
+    (tmp_path / "d.csv").write_text("id\nnone\n")
+    want = [(None, None), (1, "x"), (2, "y"), (3, "a\nb")]
+    got = tables.scan_csv(spark, str(tmp_path), "id long, text string")
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0] or 0) == want
+    found = tables.scan_csv(spark, str(tmp_path))
+    assert sorted(found.columns) == ["id", "more", "text"] and found.where("more = 'zzz'").first()["id"] == "3"
+    (tmp_path / "empty").mkdir()
+    assert tables.scan_csv(spark, str(tmp_path / "empty"), "id long").count() == 0
+
+
+def test_workbook_columns_and_types_are_found(spark, tmp_path):
+    workbook_files.write_workbooks(spark.createDataFrame([(1, "a", 1.5), (2, "b", 2.0)], "id long, text string, v double").coalesce(1), str(tmp_path))
+    workbook_files.write_workbooks(spark.createDataFrame([("x", 7)], "text string, extra long").coalesce(1), str(tmp_path / "more"))
+    (tmp_path / "more" / "part-00000-0.xlsx").rename(tmp_path / "second.xlsx")
+    got = workbooks.scan_workbooks(spark, str(tmp_path))
+    assert dict(got.dtypes) == {"id": "bigint", "text": "string", "v": "double", "extra": "bigint"}
+    assert got.where("extra = 7").first()["text"] == "x" and got.count() == 3
+
+
+def test_cells_of_another_type_are_null(spark, tmp_path):
+    df = spark.createDataFrame([("1.7", 1.7, 3), ("text", 2.0, 4)], "a string, b double, c long").coalesce(1)
+    workbook_files.write_workbooks(df, str(tmp_path))
+    got = workbooks.scan_workbooks(spark, str(tmp_path), "a double, b long, c string").collect()
+    assert sorted(map(tuple, got), key=str) == [(1.7, None, "3"), (None, 2, "4")]
