@@ -498,6 +498,19 @@ ORACLES["aggregate_outputs"] = with_(
     + " from f group by doc_id, model)",
     then='select n.*, consensus as "Consensus Result", confidence as "Consensus over Total" from n join w using (doc_id, model)',
 )
+ORACLES["aggregate_folder"] = with_(
+    f"""r as (
+  select doc_id, model_idx, model, run, {answer('w1', 'w2')} as response
+  from (select *, {kind('doc_id', 'model', 'run')} as k
+        from (select item_id as doc_id, {both_ways('text')} from benchmark)
+        cross join {_MODELS} cross join {_RUNS}))""",
+    "f as (select * from r where model = 'm1' or (model = 'm2' and run <= 3))",
+    word_vote("w", "doc_id, model", "select doc_id, model, run as ord, response from f", words("response")),
+    "n as (select doc_id, model, "
+    + ", ".join(f'max(response) filter (run = {r}) as "Response {r}"' for r in range(1, RUNS + 1))
+    + " from f group by doc_id, model)",
+    then='select n.*, consensus as "Consensus Result", confidence as "Consensus over Total" from n join w using (doc_id, model)',
+)
 ORACLES["single_model_analysis"] = with_(
     R,
     f"c as (select doc_id, model, run, case when status = 'ok' then {clean('response')} else 'Error occurred' end as response "

@@ -550,14 +550,25 @@ def abstract_presets(spark, sf_dir):
 def aggregate_outputs(spark, sf_dir):
     """Finished tables of two models, one with fewer runs, stacked and put to the word vote."""
     rows = replay.rows(spark, sf_dir)
+    return abstracts.aggregate_outputs([_finished(rows, "m1", RUNS), _finished(rows, "m2", 3)])
 
-    def finished(model: str, runs: int) -> DataFrame:
-        own = votes.of_model(F.col("answers"), len(MODELS), MODELS.index(model))
-        return rows.withColumn("own", own).select(
-            "doc_id", F.lit(model).alias("model"), *reshape.wide_answers(F.col("own"), [None], runs, " ")
-        )
 
-    return abstracts.aggregate_outputs([finished("m1", RUNS), finished("m2", 3)])
+def _finished(rows: DataFrame, model: str, runs: int) -> DataFrame:
+    """One model's finished table."""
+    own = votes.of_model(F.col("answers"), len(MODELS), MODELS.index(model))
+    return rows.withColumn("own", own).select(
+        "doc_id", F.lit(model).alias("model"), *reshape.wide_answers(F.col("own"), [None], runs, " ")
+    )
+
+
+@query
+def aggregate_folder(spark, sf_dir):
+    """Finished tables as workbooks with different columns, found, stacked and put to the word vote."""
+    folder = fresh_path(spark, "finished")
+    rows = replay.rows(spark, sf_dir, name="benchmark", key="item_id")
+    for model, runs in (("m1", RUNS), ("m2", 3)):
+        workbook_files.write_workbooks(_finished(rows, model, runs).coalesce(1), f"{folder}/{model}")
+    return abstracts.aggregate_folder(spark, f"{folder}/*")
 
 
 @query

@@ -50,11 +50,13 @@ def last_word(text: Column) -> Column:
     return F.array_max(F.split(whole(text), " "))
 
 
-def documents(spark: SparkSession, sf_dir: str, *more: str, short: bool = False) -> DataFrame:
+def documents(
+    spark: SparkSession, sf_dir: str, *more: str, short: bool = False, name: str = "documents", key: str = "doc_id"
+) -> DataFrame:
     """doc_id and two answers made of the whole text (or, short, chosen from all its words), spread by doc_id."""
     first, second = (longest, last_word) if short else (whole, turned)
     text = F.coalesce(F.col("text"), F.lit(""))
-    narrow = table(spark, sf_dir, "documents").select("doc_id", *more, first(text).alias("w1"), second(text).alias("w2"))
+    narrow = table(spark, sf_dir, name).select(F.col(key).alias("doc_id"), *more, first(text).alias("w1"), second(text).alias("w2"))
     return spread(narrow, "doc_id")
 
 
@@ -98,9 +100,9 @@ def responses(spark: SparkSession, sf_dir: str, *more: str, short: bool = False)
     )
 
 
-def rows(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+def rows(spark: SparkSession, sf_dir: str, *more: str, **items_of: str) -> DataFrame:
     """The same answers as one run-major array per document: doc_id, answers, failed."""
-    items = documents(spark, sf_dir, *more)
+    items = documents(spark, sf_dir, *more, **items_of)
     slots = [(m, r) for r in range(1, RUNS + 1) for m in MODELS]
     kinds = items.withColumn("_k", F.array(*[kind(F.col("doc_id"), F.lit(m), F.lit(r)) for m, r in slots]))
     return kinds.select(

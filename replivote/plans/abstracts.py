@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replivote.functions.prompts import ABSTRACT_PROMPTS
@@ -14,7 +14,7 @@ from replivote.operators.items import assign_identifier, project_content
 from replivote.operators.once import with_computed
 from replivote.operators.reshape import NO_RESPONSE, discover_responses, quoted, wide_answers
 from replivote.operators.tasks import apply_prompt_library, text_tasks
-from replivote.sources.tables import select_by_position, union_by_name
+from replivote.sources.tables import scan_folder, select_by_position, union_by_name
 
 # Where a bibliographic export holds the four fields, counted from 0.
 EXPORT_POSITIONS = {2: "Publication Date", 3: "Author", 4: "Title", 10: "Abstract"}
@@ -63,6 +63,11 @@ def aggregate_outputs(tables: Sequence[DataFrame]) -> DataFrame:
     )
 
 
+def aggregate_folder(spark: SparkSession, folder: str, sheet: str | None = None) -> DataFrame:
+    """The word vote over every finished table of a folder, CSV or workbook, whatever columns each has."""
+    return aggregate_outputs([scan_folder(spark, folder, None, sheet)])
+
+
 def single_model_analysis(
     table: DataFrame,
     *,
