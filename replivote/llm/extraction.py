@@ -35,6 +35,8 @@ INLINE = {
     "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 VOID = {"input"}
+#: Elements that are the article or hold it, whatever they are called.
+WHOLE = {"html", "body", "main", "article"}
 
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -94,7 +96,7 @@ def parse(page: str | None) -> Node:
                 attributes = m["attributes"]
                 names = sorted({w for g in _NAME.findall(attributes) for w in "".join(g).lower().split()}) if "=" in attributes else []
                 inside = any(n.tag == "article" for n in stack)
-                skip = stack[-1].skipped or (tag in SKIPPED and not (tag == "header" and inside)) or any(NAMED.search(w) for w in names)
+                skip = stack[-1].skipped or (tag in SKIPPED and not (tag == "header" and inside)) or tag not in WHOLE and any(NAMED.search(w) for w in names)
                 path = f"{stack[-1].path}/{tag}" + "".join("." + _NUMBER.sub("#", w) for w in names)
                 node = Node(tag, path, skip)
                 stack[-1].parts.append(node)
