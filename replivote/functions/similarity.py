@@ -67,7 +67,6 @@ class _Profile(NamedTuple):
     text: str
     words: frozenset[str]
     joined: str
-    places: dict[str, int]
     letters: np.ndarray
     mask: int
 
@@ -80,7 +79,7 @@ def _profile(answer: str) -> _Profile:
     mask = 0
     for word in words:
         mask |= 1 << crc32(word.encode("utf-8", "surrogatepass")) % 64
-    return _Profile(answer, words, joined, _places(joined), letters, mask)
+    return _Profile(answer, words, joined, letters, mask)
 
 
 def _matches(a: _Profile, b: _Profile, threshold: float) -> bool:
@@ -88,7 +87,7 @@ def _matches(a: _Profile, b: _Profile, threshold: float) -> bool:
     if a.words & b.words or not (a.words and b.words):
         return token_set_score(a.text, b.text) >= threshold
     length = len(a.joined) + len(b.joined)
-    return _percent(length - 2 * _common(a.places, len(a.joined), b.joined), length) >= threshold
+    return _percent(length - 2 * common_subsequence(a.joined, b.joined), length) >= threshold
 
 
 class _Opened:
