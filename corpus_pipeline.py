@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from replivote.llm import pii
 from replivote.llm import toxicity as toxic
-from replivote.llm.common import stored, table
+from replivote.llm.common import quoted, stored, table
 from replivote.llm.contamination import decontaminate
 from replivote.llm.minhash import deduplicated
 from replivote.llm.mixing import mix
@@ -23,7 +23,7 @@ from replivote.llm.queries import toxicity_chain
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain of classifiers does not find toxic."""
     chain = toxicity_chain(docs, table(spark, sf_dir, "labels"))
-    return toxic.judged(docs, chain).where("p_toxic < 0.5").select(*docs.columns)
+    return toxic.judged(docs, chain).where("p_toxic < 0.5").select(*[quoted(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked and their length counted anew."""
     model = pii.fit(pii.labelled_parts(docs))
-    return pii.masked(docs, model).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    masked = pii.masked(docs, model).withColumn("n_chars", F.length("text").cast("long"))
+    return masked.select(*[quoted(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replivote.llm.common import ascii_lower, stored, words
+from replivote.llm.common import ascii_lower, quoted, stored, words
 
 
 def shingled(rows: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -85,4 +85,4 @@ def contaminated(
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 5, containment: float = 0.8) -> DataFrame:
     """``docs`` without the documents that hold an item; rows with a null key stay."""
     hits = contaminated(docs, items, width, containment).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    return docs.join(hits, "doc_id", "left_anti").select(*[quoted(c) for c in docs.columns])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replivote.llm.common import chunks, stored
+from replivote.llm.common import chunks, quoted, stored
 from replivote.llm.components import components
 from replivote.llm.shingles import mixed, shingle_sets
 
@@ -297,5 +297,4 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, key: str =
     """
     found = near_duplicates(docs, width, percent, key)
     drop = found.where("not kept").select(key).distinct()
-    left = docs.join(drop, key, "left_anti").select(*[docs[c] for c in docs.columns])
-    return left
+    return docs.join(drop, key, "left_anti").select(*[quoted(c) for c in docs.columns])

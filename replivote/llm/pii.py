@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replivote.llm.common import chunks, per_row
+from replivote.llm.common import chunks, per_row, quoted
 
 #: Kinds, in the order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -378,4 +378,4 @@ def masked(docs: DataFrame, model: Crf, text: str = "text") -> DataFrame:
         return {text: [one(t, base + more) for t, (base, more) in zip(texts, find(texts, model))]}
 
     done = per_row(docs, [text], T.StructType([T.StructField(text, T.StringType())]), run)
-    return done.select(*docs.columns)
+    return done.select(*[quoted(c) for c in docs.columns])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replivote.llm.common import per_row, stored
+from replivote.llm.common import per_row, quoted, stored
 
 KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -194,7 +194,7 @@ def secrets(docs: DataFrame, text: str = "text", rate: float = 0.01) -> DataFram
                 [batch.column("row"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["row", *names]
             )
 
-    kept = [c for c in found.columns if c not in ("base", "tokens") and c.lower() not in names]
+    kept = [quoted(c) for c in found.columns if c not in ("base", "tokens") and c.lower() not in names]
     packed = found.select(F.struct(*kept).alias("row"), "base", "tokens")
     schema = T.StructType([packed.schema["row"], *fields])
     return packed.mapInArrow(run, schema).select("row.*", *names)

@@ -440,3 +440,16 @@ def test_chain_without_labels(spark):
     assert chain.probabilities(["x"]).tolist() == [[0.5, 0.5]]
     one = spark.createDataFrame([(1, "x", 1, None), (2, "y y", 0, 1), (3, None, 1, 1)], "doc_id long, text string, a int, b int")
     assert toxicity.train_chain(one, ["a", "b"]).probabilities([None, "z"]).shape == (2, 2)
+
+
+def test_extra_columns_of_any_name(spark, model):
+    """Columns that clash with results or inner names, or hold dots, neither break an operator nor get lost."""
+    schema = "doc_id long, text string, source string, `a.b` string, id long, spans string, p_toxic string, row string, html string, url string, base string"
+    rows = [(1, "x y z", "s", "d", 7, "sp", "p", "r", "<p>hi</p>", None, "b"), (2, None, None, None, None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    items = spark.createDataFrame([(1, "nothing of the kind is here")], "item_id long, text string")
+    chain = toxicity.Chain(["toxic"], [{"x": 0}], [np.array([0.0, 0.0, 1.0])])
+    for out in (minhash.deduplicated(df), contamination.decontaminate(df, items), pii.masked(df, model), mixing.mix(df)):
+        assert out.columns == df.columns and out.where("doc_id = 1").first()["a.b"] == "d"
+    for out in (pii.personal_data(df, model), randomness.secrets(df.drop("base")), toxicity.judged(df, chain), extraction.main_text(df)):
+        assert out.where("doc_id = 1").first()["a.b"] == "d" and out.count() == 2
