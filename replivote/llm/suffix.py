@@ -24,7 +24,7 @@ from replivote.llm.shingles import mixed
 
 GRAM = 16
 #: Bytes of text handled at once, of a group of documents, and of text per bucket of anchors.
-PIECE, GROUP, BUCKET = 2 << 20, 4 << 20, 8 << 20
+PIECE, GROUP, BUCKET = 2 << 20, 4 << 20, 2 << 20
 #: Bytes of stretches above which a bucket is dealt anew, string by string.
 LARGE = 64 << 20
 
@@ -72,6 +72,17 @@ def grams(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return out
 
 
+def _first_ranks(symbols: np.ndarray, least: int) -> tuple[np.ndarray, int]:
+    """Ranks by as many symbols as fit into one number, and how many these are."""
+    bits = int(symbols.max() + 1).bit_length()
+    reach = max(1, min(least, 62 // bits))
+    packed = np.zeros(len(symbols), dtype=np.int64)
+    for k in range(reach):  # past the end counts as smallest
+        packed <<= bits
+        packed[: max(0, len(symbols) - k)] += symbols[k:] + 1
+    return np.unique(packed, return_inverse=True)[1].astype(np.int64), reach
+
+
 def common_prefixes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order of ``text`` by ``least`` symbols, and the common prefix of each suffix with the one before.
 
@@ -83,8 +94,7 @@ def common_prefixes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarra
         return text, text
     text = np.append(text, text.min() - 1)  # an end mark of its own, the smallest suffix
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    reach = 1
+    rank, reach = _first_ranks(np.unique(text, return_inverse=True)[1].astype(np.int64), least)
     while reach < least:  # ranks by doubled prefixes; past the end counts as smallest
         step = min(reach, least - reach)
         nxt = np.zeros(n, dtype=np.int64)
@@ -153,25 +163,60 @@ def _loaded(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, n
     return batch.column("id").to_numpy(), np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw])
 
 
-def _split(keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
-    """Values by key, as bytes."""
+def _split(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Places by key."""
     order = np.argsort(keys, kind="stable")
     if len(order):
         cuts = np.flatnonzero(np.diff(keys[order])) + 1
         for part in np.split(order, cuts):
-            yield int(keys[part[0]]), [v[part].tobytes() for v in values]
+            yield int(keys[part[0]]), part
+
+
+def _range_rows(key: np.ndarray, start: np.ndarray, end: np.ndarray, groups: int) -> list[tuple]:
+    """Ranges by group of documents."""
+    return [
+        (k, _packed(key[part]), start[part].astype(np.int32).tobytes(), end[part].astype(np.int32).tobytes())
+        for k, part in _split(_group(key, groups))
+    ]
 
 
 def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
 
+KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Document keys as their smallest, a mark of the width, and distances of 4 bytes where they fit."""
+    base = int(keys.min()) if len(keys) else 0
+    narrow = not len(keys) or int(keys.max()) - base < 1 << 32
+    return np.array([base, narrow], dtype=np.int64).tobytes() + (keys - base).astype(np.uint32 if narrow else np.int64).tobytes()
+
+
+def _keys(column: pa.ChunkedArray | list[bytes]) -> np.ndarray:
+    """Document keys of packed rows, end to end."""
+    parts = [np.zeros(0, dtype=np.int64)]
+    for raw in column.to_pylist() if hasattr(column, "to_pylist") else column:
+        base, narrow = np.frombuffer(raw[:16], dtype=np.int64)
+        parts.append(np.frombuffer(raw, dtype=np.uint32 if narrow else np.int64, offset=16).astype(np.int64) + base)
+    return np.concatenate(parts)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    return pa.table([pa.array(c, KINDS[k]) for c, k in zip(columns, kinds)], names=list(names))
+
+
 MET = "kind int, key long, keys binary, grams binary"
+MARKS = "key long, keys binary, grams binary"
+RANGES = "key long, keys binary, starts binary, ends binary"
 
 
-def _met(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["kind", "key", "keys", "grams"])
+def _tag(gram: np.ndarray, buckets: int) -> np.ndarray:
+    """What is kept of an anchor's hash: its upper half, and its bucket."""
+    return (gram >> np.uint64(32) << np.uint64(32)) | (gram % np.uint64(buckets))
 
 
 def met(docs: DataFrame, least: int, groups: int, buckets: int) -> DataFrame:
@@ -193,10 +238,12 @@ def met(docs: DataFrame, least: int, groups: int, buckets: int) -> DataFrame:
                 head[1:] = gram[1:] != gram[:-1]
                 runs = np.diff(np.append(np.flatnonzero(head), len(gram)))
                 twice = np.repeat(runs > 1, runs)
-                rows = [(0, k, *v) for k, v in _split((gram[head] % np.uint64(buckets)).astype(np.int64), key[head], (gram[head] >> np.uint64(32)).astype(np.uint32))]
-                tag = (gram >> np.uint64(32) << np.uint64(32)) | (gram % np.uint64(buckets))
-                rows += [(1, k, *v) for k, v in _split(_group(key[twice], groups), key[twice], tag[twice])]
-                yield _met(rows)
+                first, short = key[head], (gram[head] >> np.uint64(32)).astype(np.uint32)
+                parts = _split((gram[head] % np.uint64(buckets)).astype(np.int64))
+                rows = [(0, k, _packed(first[part]), short[part].tobytes()) for k, part in parts]
+                key, tag = key[twice], _tag(gram[twice], buckets)
+                rows += [(1, k, _packed(key[part]), tag[part].tobytes()) for k, part in _split(_group(key, groups))]
+                yield from _table(rows, MET).to_batches()
 
     return docs.mapInArrow(run, MET)
 
@@ -209,7 +256,7 @@ def repeated(found: DataFrame, groups: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("key")[0].as_py()
-        key, gram = _joined(table.column("keys"), np.int64), _joined(table.column("grams"), np.uint32)
+        key, gram = _keys(table.column("keys")), _joined(table.column("grams"), np.uint32)
         order = np.lexsort((key, gram))
         key, gram = key[order], gram[order]
         head = np.ones(len(gram), dtype=bool)
@@ -218,12 +265,10 @@ def repeated(found: DataFrame, groups: int) -> DataFrame:
         runs = np.diff(np.append(first, len(gram)))
         several = key[first] != key[np.append(first[1:], len(gram)) - 1]
         take = np.repeat(several, runs)
-        tag = (gram.astype(np.uint64) << np.uint64(32)) | np.uint64(bucket)
-        rows = [(k, *v) for k, v in _split(_group(key[take], groups), key[take], tag[take])]
-        columns = list(zip(*rows)) if rows else [()] * 3
-        return pa.table({"key": pa.array(columns[0], pa.int64()), "keys": pa.array(columns[1], pa.binary()), "grams": pa.array(columns[2], pa.binary())})
+        key, tag = key[take], ((gram.astype(np.uint64) << np.uint64(32)) | np.uint64(bucket))[take]
+        return _table([(k, _packed(key[part]), tag[part].tobytes()) for k, part in _split(_group(key, groups))], MARKS)
 
-    across = found.where("kind = 0").groupBy("key").applyInArrow(run, "key long, keys binary, grams binary")
+    across = found.where("kind = 0").groupBy("key").applyInArrow(run, MARKS)
     return across.union(found.where("kind = 1").select("key", "keys", "grams"))
 
 
@@ -255,13 +300,9 @@ def _classes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-SENT = "kind int, key long, keys binary, starts binary, ends binary, anchors binary, bytes binary"
-
-
-def _sent(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [()] * 7
-    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
-    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in SENT.split(", ")])
+SENT = "kind int, key long, keys binary, starts binary, ends binary, sizes binary, offsets binary, bytes binary"
+#: Offset of a string that is dealt by itself.
+SINGLE = -1
 
 
 def stretches(docs: DataFrame, marks: DataFrame, least: int, groups: int, buckets: int) -> DataFrame:
@@ -273,58 +314,86 @@ def stretches(docs: DataFrame, marks: DataFrame, least: int, groups: int, bucket
     width = 2 * least - GRAM
 
     def run(texts: pa.Table, marked: pa.Table) -> pa.Table:
-        wanted = _joined(marked.column("grams"), np.uint64)
-        owner = _joined(marked.column("keys"), np.int64)
-        known = np.unique(wanted ^ mixed(owner.view(np.uint64)))
+        known = np.unique(_joined(marked.column("grams"), np.uint64) ^ mixed(_keys(marked.column("keys")).view(np.uint64)))
         rows: list[tuple] = []
-        if not len(known):
-            return _sent(rows)
-        for batch in texts.to_batches():
+        for batch in texts.to_batches() if len(known) else ():
             for piece in chunks([batch], "text", PIECE):
                 ids, data, ends = _loaded(piece)
                 place, start, count = anchors(data, ends, least)
                 doc = np.searchsorted(ends, place, side="right")
                 gram = grams(data, place)
-                tag = (gram >> np.uint64(32) << np.uint64(32)) | (gram % np.uint64(buckets))
-                take = np.isin(tag ^ mixed(ids[doc].view(np.uint64)), known)
+                take = np.isin(_tag(gram, buckets) ^ mixed(ids[doc].view(np.uint64)), known)
                 place, start, count, doc, gram = (v[take] for v in (place, start, count, doc, gram))
                 size = count + least - 1
                 text = _rows_of(data, start, size, width)
-                a, b = _digest(text, size)
-                key = ids[doc]
-                first = ends[doc] - np.diff(ends, prepend=0)[doc]
-                same = _classes(a, b)
-                lowest = np.full(same.max(initial=-1) + 1, np.iinfo(np.int64).max)
-                np.minimum.at(lowest, same, key)
-                later = key > lowest[same]
-                begin = start - first
-                for k, v in _split(_group(key[later], groups), key[later], begin[later], (begin + size)[later]):
-                    rows.append((1, k, *v, None, None))
-                bucket = (gram % np.uint64(buckets)).astype(np.int64)
-                for k, v in _split(np.where(later, -1, bucket), np.arange(len(key))):
-                    if k >= 0:
-                        part = np.frombuffer(v[0], dtype=np.int64)
-                        inside = np.arange(width)[None] < size[part][:, None]
-                        rows.append((0, k, key[part].tobytes(), begin[part].tobytes(), (begin + size)[part].tobytes(), gram[part].tobytes(), text[part][inside].tobytes()))
-        return _sent(rows)
+                key, begin = ids[doc], start - (ends[doc] - np.diff(ends, prepend=0)[doc])
+                later = _later(key, *_digest(text, size))
+                rows += [(1, k, *v, None, None, None) for k, *v in _range_rows(key[later], begin[later], (begin + size)[later], groups)]
+                bucket = np.where(later, -1, (gram % np.uint64(buckets)).astype(np.int64))
+                rows += _stretch_rows(bucket, key, begin, size, place - start, text)
+        return _table(rows, SENT)
 
     return docs.groupBy("key").cogroup(marks.groupBy("key")).applyInArrow(run, SENT)
 
 
-def judged(key: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray, data: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+def _later(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the same stretch is also in a document with a smaller key."""
+    same = _classes(a, b)
+    lowest = np.full(same.max(initial=-1) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(lowest, same, key)
+    return key > lowest[same]
+
+
+def _stretch_rows(bucket: np.ndarray, key: np.ndarray, begin: np.ndarray, size: np.ndarray, offset: np.ndarray, text: np.ndarray) -> list[tuple]:
+    """Stretches by bucket; those without one (-1) are left out."""
+    rows = []
+    for k, part in _split(bucket):
+        if k >= 0:
+            inside = np.arange(text.shape[1])[None] < size[part][:, None]
+            starts, sizes, offsets = begin[part].astype(np.int32), size[part].astype(np.int32), offset[part].astype(np.int32)
+            rows.append((0, k, _packed(key[part]), starts.tobytes(), None, _small(sizes), _small(offsets), text[part][inside].tobytes()))
+    return rows
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Numbers in a byte each where all are from 0 to 255, which usual sizes and offsets are."""
+    return (b"\1" + values.astype(np.uint8).tobytes()) if values.min(initial=0) >= 0 and values.max(initial=0) < 256 else b"\4" + values.tobytes()
+
+
+def _numbers(column: list[bytes]) -> np.ndarray:
+    parts = [np.frombuffer(v, np.uint8 if v[:1] == b"\1" else np.int32, offset=1).astype(np.int64) for v in column]
+    return np.concatenate([np.zeros(0, dtype=np.int64), *parts])
+
+
+def _near_another(text: np.ndarray, size: np.ndarray, offset: np.ndarray, least: int) -> np.ndarray:
+    """Whether another of these different stretches agrees next to the anchor.
+
+    A common string holds the anchor and ``least - GRAM`` bytes around it, so one half of
+    that many agree on one side at least.
+    """
+    half = -(-(least - GRAM) // 2)
+    near = np.zeros(len(size), dtype=bool)
+    at = np.arange(GRAM + half)[None]
+    for begin in (offset, offset - half):
+        whole = np.flatnonzero((begin >= 0) & (begin + GRAM + half <= size))
+        if len(whole):
+            side = np.take_along_axis(text[whole], begin[whole][:, None] + at, axis=1)
+            same = _classes(*_digest(side, np.full(len(whole), GRAM + half)))
+            near[whole] |= np.bincount(same)[same] > 1
+    return near
+
+
+def judged(key: np.ndarray, start: np.ndarray, size: np.ndarray, offset: np.ndarray, data: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """Ranges (key, start, end) of stretches that repeat strings of smaller documents among these stretches."""
     width = int(size.max(initial=least))
-    offset = np.cumsum(size) - size
-    text = _rows_of(data, offset, size, width)
-    a, b = _digest(text, size)
-    same = _classes(a, b)
+    text = _rows_of(data, np.cumsum(size) - size, size, width)
+    same = _classes(*_digest(text, size))
     kinds = same.max(initial=-1) + 1
     lowest = np.full(kinds, np.iinfo(np.int64).max)
     np.minimum.at(lowest, same, key)
     sample = np.zeros(kinds, dtype=np.int64)
     sample[same] = np.arange(len(same))
-    groups = _classes(anchor[sample], np.zeros(kinds, dtype=np.uint64))
-    several = np.bincount(groups, minlength=1)[groups] > 1 if kinds else np.zeros(0, dtype=bool)
+    several = _near_another(text[sample], size[sample], offset[sample], least)
     plain = ~several[same] & (key > lowest[same])
     out = [(key[plain], start[plain], (start + size)[plain])]
     mixed_kinds = np.flatnonzero(several)
@@ -350,34 +419,28 @@ def judged(key: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndar
     return tuple(np.concatenate(v) for v in zip(*out))
 
 
-def dealt_anew(large: DataFrame, least: int) -> DataFrame:
+def dealt_anew(large: DataFrame, least: int, groups: int) -> DataFrame:
     """Stretches of large buckets cut into their strings, which are dealt by themselves.
 
     The parts of a bucket are in proportion to its size. Equal strings of one row travel once, with
-    their first document; the others' ranges come out as rows of kind 1, keyed as their bucket.
+    their first document; the others' ranges come out as rows of kind 1.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                key, start, end = (np.frombuffer(row[c], np.int64) for c in ("keys", "starts", "ends"))
-                size = end - start
+                key, start, size = _keys([row["keys"]]), np.frombuffer(row["starts"], np.int32).astype(np.int64), _numbers([row["sizes"]])
                 many = size - least + 1
                 again = np.repeat(np.arange(len(size)), many)
                 step = np.arange(len(again)) - np.repeat(np.cumsum(many) - many, many)
-                text = _rows_of(np.frombuffer(row["bytes"], np.uint8), (np.cumsum(size) - size)[again] + step, np.full(len(again), least), least)
-                a, b = _digest(text, np.full(len(again), least))
+                full = np.full(len(again), least)
+                text = _rows_of(np.frombuffer(row["bytes"], np.uint8), (np.cumsum(size) - size)[again] + step, full, least)
+                a, b = _digest(text, full)
                 key, start = key[again], start[again] + step
-                same = _classes(a, b)
-                lowest = np.full(same.max(initial=-1) + 1, np.iinfo(np.int64).max)
-                np.minimum.at(lowest, same, key)
-                later = key > lowest[same]
-                rows = [(1, row["key"], key[later].tobytes(), start[later].tobytes(), (start[later] + least).tobytes(), None, None)]
-                for part, v in _split(np.where(later, -1, (a % np.uint64(row["parts"])).astype(np.int64)), np.arange(len(key))):
-                    if part >= 0:
-                        at = np.frombuffer(v[0], dtype=np.int64)
-                        rows.append((0, part, key[at].tobytes(), start[at].tobytes(), (start[at] + least).tobytes(), a[at].tobytes(), text[at].tobytes()))
-                yield from _sent(rows).to_batches()
+                later = _later(key, a, b)
+                rows = [(1, k, *v, None, None, None) for k, *v in _range_rows(key[later], start[later], start[later] + least, groups)]
+                part = np.where(later, -1, (a % np.uint64(row["parts"])).astype(np.int64))
+                yield from _table(rows + _stretch_rows(part, key, start, full, np.full(len(again), SINGLE), text), SENT).to_batches()
 
     return large.mapInArrow(run, SENT)
 
@@ -385,35 +448,23 @@ def dealt_anew(large: DataFrame, least: int) -> DataFrame:
 def ranges(sent: DataFrame, least: int, groups: int, large: int) -> DataFrame:
     """``key, keys, starts, ends``: repeated ranges by group of documents."""
 
-    def regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = [np.frombuffer(row[c], np.int64) for c in ("keys", "starts", "ends")]
-                rows = [(k, *v) for k, v in _split(_group(found[0], groups), *found)]
-                columns = list(zip(*rows)) if rows else [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int64()) for i, c in enumerate(columns)], ["key", "keys", "starts", "ends"])
-
     def run(table: pa.Table) -> pa.Table:
-        key, start, end = (_joined(table.column(c), np.int64) for c in ("keys", "starts", "ends"))
-        anchor, data = _joined(table.column("anchors"), np.uint64), _joined(table.column("bytes"), np.uint8)
-        found = judged(key, start, end - start, anchor, data, least)
-        rows = [(k, *v) for k, v in _split(_group(found[0], groups), *found)]
-        columns = list(zip(*rows)) if rows else [()] * 4
-        return pa.table([pa.array(c, pa.binary() if i else pa.int64()) for i, c in enumerate(columns)], names=["key", "keys", "starts", "ends"])
-
-    schema = "key long, keys binary, starts binary, ends binary"
+        key, start = _keys(table.column("keys")), _joined(table.column("starts"), np.int32).astype(np.int64)
+        size, offset = (_numbers(table.column(c).to_pylist()) for c in ("sizes", "offsets"))
+        found = judged(key, start, size, offset, _joined(table.column("bytes"), np.uint8), least)
+        return _table(_range_rows(*found, groups), RANGES)
+
     open_ = sent.where("kind = 0")
+    settled = lambda rows: rows.where("kind = 1").select("key", "keys", "starts", "ends")
     sizes = open_.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("n")).where(F.col("n") > large)
     sizes = stored(sizes.select("key", (F.ceil(F.col("n") / large) * (2 * least)).cast("long").alias("parts")), "large")
-    across = open_.join(sizes, "key", "left_anti").groupBy("key").applyInArrow(run, schema)
-    done = across.union(sent.where("kind = 1").select("key", "keys", "starts", "ends"))
+    across = open_.join(sizes, "key", "left_anti").groupBy("key").applyInArrow(run, RANGES)
+    done = across.union(settled(sent))
     if sizes.isEmpty():
         return done
     # parts of different large buckets may share a number: their strings differ, so nothing meets that should not
-    single = stored(dealt_anew(open_.join(sizes, "key"), least), "strings")
-    apart = single.where("kind = 0").groupBy("key").applyInArrow(run, schema)
-    known = single.where("kind = 1").mapInArrow(regrouped, schema)
-    return done.union(apart).union(known)
+    single = stored(dealt_anew(open_.join(sizes, "key"), least, groups), "strings")
+    return done.union(single.where("kind = 0").groupBy("key").applyInArrow(run, RANGES)).union(settled(single))
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -433,7 +484,7 @@ def cut(docs: DataFrame, repeats: DataFrame, with_text: bool) -> DataFrame:
     """Every document without its repeated ranges; ``kept`` is null unless asked for."""
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        key, start, end = (_joined(found.column(c), np.int64) for c in ("keys", "starts", "ends"))
+        key, start, end = _keys(found.column("keys")), *(_joined(found.column(c), np.int32).astype(np.int64) for c in ("starts", "ends"))
         order = np.argsort(key, kind="stable")
         key, start, end = key[order], start[order], end[order]
         rows = []
