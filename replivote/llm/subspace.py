@@ -18,7 +18,7 @@ from replivote.llm.common import stored
 from replivote.llm.components import components
 
 #: Coordinates of a block, vectors that one task compares at most, and rows of one product.
-BLOCK, CHUNK, TILE = 8, 8192, 1024
+BLOCK, CHUNK, TILE = 16, 8192, 1024
 
 
 def rotation(size: int) -> np.ndarray:
@@ -101,17 +101,20 @@ def compare(table: pa.Table, cosine: float) -> tuple[np.ndarray, np.ndarray, np.
     n = table.column("n").to_numpy()[order]
     unit, turned = _vectors(table.column("vec").take(pa.array(order)).combine_chunks())
     parts, budget = blocks(size), budgets(size, cosine)
-    own = np.ascontiguousarray(turned[:, parts[block]])
-    length = (own * own).sum(axis=1)
+    own = turned[:, parts[block]]
+    length = (own * own).sum(axis=1, keepdims=True)
+    one = np.ones_like(length)
+    # squared distances as one product in single precision, which refuses; what is left is looked at in double
+    ahead, behind = (np.hstack(v).astype(np.float32) for v in ((-2 * own, length, one), (own, one, length)))
+    limit = np.float32(budget[block] + 1e-5)
     links, labels = np.zeros(len(reps), dtype=np.int64), np.arange(len(reps))
     left_end = len(reps) if alone else int((~right).sum())
     for i in range(0, left_end, TILE):
         i_end = min(i + TILE, left_end)
         for j in range(i if alone else left_end, len(reps), TILE):
             j_end = min(j + TILE, len(reps))
-            far = length[i:i_end, None] + length[None, j:j_end] - 2 * (own[i:i_end] @ own[j:j_end].T)
-            a, b = np.nonzero(far <= budget[block] + 1e-9)
-            a, b = a + i, b + j
+            near = np.flatnonzero(ahead[i:i_end] @ behind[j:j_end].T <= limit)
+            a, b = near // (j_end - j) + i, near % (j_end - j) + j
             if alone and i == j:
                 a, b = a[a < b], b[a < b]
             for k in range(0, len(a), 1 << 17):
