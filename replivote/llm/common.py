@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from replivote.session import fresh_path
 
 #: Bytes of text that one task of a Python step handles at a time.
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
