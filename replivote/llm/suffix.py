@@ -209,7 +209,6 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table([pa.array(c, KINDS[k]) for c, k in zip(columns, kinds)], names=list(names))
 
 
-MET = "kind int, key long, keys binary, grams binary"
 MARKS = "key long, keys binary, grams binary"
 RANGES = "key long, keys binary, starts binary, ends binary"
 
@@ -219,9 +218,12 @@ def _tag(gram: np.ndarray, buckets: int) -> np.ndarray:
     return (gram >> np.uint64(32) << np.uint64(32)) | (gram % np.uint64(buckets))
 
 
-def met(docs: DataFrame, least: int, groups: int, buckets: int) -> DataFrame:
-    """Anchors by bucket (kind 0: each once per piece, with its first document) and, by group of
-    documents, those that a piece alone shows to be in two documents (kind 1)."""
+def met(docs: DataFrame, least: int, groups: int, buckets: int, alone: bool) -> DataFrame:
+    """``key, keys, grams``: anchors by bucket, each once per piece with its first document; or,
+    ``alone``, by group of documents those that a piece alone shows to be in two documents.
+
+    Both come from the texts: finding the anchors again costs less than storing them all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,18 +239,19 @@ def met(docs: DataFrame, least: int, groups: int, buckets: int) -> DataFrame:
                 head = np.ones(len(gram), dtype=bool)
                 head[1:] = gram[1:] != gram[:-1]
                 runs = np.diff(np.append(np.flatnonzero(head), len(gram)))
-                twice = np.repeat(runs > 1, runs)
-                first, short = key[head], (gram[head] >> np.uint64(32)).astype(np.uint32)
-                parts = _split((gram[head] % np.uint64(buckets)).astype(np.int64))
-                rows = [(0, k, _packed(first[part]), short[part].tobytes()) for k, part in parts]
-                key, tag = key[twice], _tag(gram[twice], buckets)
-                rows += [(1, k, _packed(key[part]), tag[part].tobytes()) for k, part in _split(_group(key, groups))]
-                yield from _table(rows, MET).to_batches()
+                if alone:
+                    twice = np.repeat(runs > 1, runs)
+                    key, value = key[twice], _tag(gram[twice], buckets)
+                    parts = _split(_group(key, groups))
+                else:
+                    key, value = key[head], (gram[head] >> np.uint64(32)).astype(np.uint32)
+                    parts = _split((gram[head] % np.uint64(buckets)).astype(np.int64))
+                yield from _table([(k, _packed(key[part]), value[part].tobytes()) for k, part in parts], MARKS).to_batches()
 
-    return docs.mapInArrow(run, MET)
+    return docs.mapInArrow(run, MARKS)
 
 
-def repeated(found: DataFrame, groups: int) -> DataFrame:
+def repeated(docs: DataFrame, least: int, groups: int, buckets: int) -> DataFrame:
     """``key, keys, grams``: by group of documents, their anchors that occur in other documents too.
 
     An anchor adds one entry per piece of text that holds it, however often it does.
@@ -268,8 +271,8 @@ def repeated(found: DataFrame, groups: int) -> DataFrame:
         key, tag = key[take], ((gram.astype(np.uint64) << np.uint64(32)) | np.uint64(bucket))[take]
         return _table([(k, _packed(key[part]), tag[part].tobytes()) for k, part in _split(_group(key, groups))], MARKS)
 
-    across = found.where("kind = 0").groupBy("key").applyInArrow(run, MARKS)
-    return across.union(found.where("kind = 1").select("key", "keys", "grams"))
+    across = met(docs, least, groups, buckets, alone=False).groupBy("key").applyInArrow(run, MARKS)
+    return across.union(met(docs, least, groups, buckets, alone=True))
 
 
 def _rows_of(data: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
@@ -525,8 +528,7 @@ def without_repeats(docs: DataFrame, least: int = 50, key: str = "doc_id", with_
     groups, buckets = total // GROUP + 1, total // BUCKET + 1
     kept = rows.where("id is not null").join(copies.select("id"), "id", "left_anti")
     keyed = kept.withColumn("key", group_of(F.col("id"), groups))
-    found = stored(met(kept, least, groups, buckets), "anchors")
-    sent = stored(stretches(keyed, repeated(found, groups), least, groups, buckets), "stretches")
+    sent = stored(stretches(keyed, repeated(kept, least, groups, buckets), least, groups, buckets), "stretches")
     done = cut(keyed, ranges(sent, least, groups, large), with_text)
     empty = sha256(b"").hexdigest()
     whole = F.col("n") >= least
