@@ -16,18 +16,25 @@ from replivote.llm.common import chunks, quoted, stored
 
 #: Elements that never belong to the article.
 SKIPPED = {
-    "aside", "audio", "button", "canvas", "dialog", "footer", "form", "head", "header", "iframe", "input", "menu", "nav",
+    "aside", "audio", "button", "canvas", "dialog", "footer", "head", "header", "iframe", "input", "menu", "nav",
     "noscript", "object", "option", "select", "svg", "template", "textarea", "video",
 }
-#: Words of a class or id that name what is not the article.
-NAMED = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|sidebar|side|menu|nav\w*"
+_WORDS = (
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|sidebar|side|menu|nav\w*"
     r"|breadcrumbs?|footer|masthead|comments?|replies|disqus|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login"
-    r"|pagination|pager|toolbar|widget)(?:$|[-_\s])"
+    r"|pagination|pager|toolbar|widget"
 )
+#: A class or id that names what is not the article; it skips a container.
+NAMED = re.compile(_WORDS)
+#: A class or id with such a word as a part, as in ``cookie-notice`` and ``side-effects``; it only lowers the score.
+HINTED = re.compile(rf"(?:^|[-_])(?:{_WORDS})(?:$|[-_])")
+#: What text in a container of such a name counts.
+LOW = 0.1
+#: Share of a page's unlinked text with which a container is neither skipped nor lowered, whatever its name.
+MOST = 0.7
 #: Elements whose place is part of a path.
 CONTAINERS = {
-    "html", "body", "main", "article", "section", "div", "ul", "ol", "dl", "table", "tbody", "tr", "td", "figure", "blockquote", "center", "details",
+    "html", "body", "main", "article", "section", "div", "ul", "ol", "dl", "table", "tbody", "tr", "td", "figure", "blockquote", "center", "details", "form",
 } | SKIPPED
 #: Elements that do not break a line of text.
 INLINE = {
@@ -45,7 +52,7 @@ _MARK = re.compile(
     r"|<(?:/?[a-z]|[!?/])[^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAME = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAME = re.compile(r"(?<![\w-])(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NUMBER = re.compile(r"\d+")
 
 
@@ -59,6 +66,8 @@ class Node:
     parts: list = field(default_factory=list)  # texts, None for a break, and containers
     plain: int = 0
     linked: int = 0
+    doubt: int = 0  # by name: 2 if it is to be skipped, 1 if its score is to be lowered
+    weight: float = 1.0
 
 
 def parse(page: str | None) -> Node:
@@ -94,18 +103,45 @@ def parse(page: str | None) -> Node:
                         break
             elif not (tag in ("html", "body") and any(n.tag == tag for n in stack)):
                 attributes = m["attributes"]
-                names = sorted({w for g in _NAME.findall(attributes) for w in "".join(g).lower().split()}) if "=" in attributes else []
+                found = _NAME.findall(attributes) if "=" in attributes else []
+                classes, ids = ({w for kind, *g in found if kind.lower() == k for w in "".join(g).lower().split()} for k in ("class", "id"))
                 inside = any(n.tag == "article" for n in stack)
-                skip = stack[-1].skipped or (tag in SKIPPED and not (tag == "header" and inside)) or tag not in WHOLE and any(NAMED.search(w) for w in names)
-                path = f"{stack[-1].path}/{tag}" + "".join("." + _NUMBER.sub("#", w) for w in names)
+                skip = stack[-1].skipped or tag in SKIPPED and not (tag == "header" and inside)
+                ids = set() if inside or tag in ("article", "section") else ids  # those name headings
+                path = f"{stack[-1].path}/{tag}" + "".join("." + _NUMBER.sub("#", w) for w in sorted(classes | ids))
                 node = Node(tag, path, skip)
+                if tag not in WHOLE and (classes or ids or tag == "form"):
+                    out = tag == "form" or any(NAMED.fullmatch(w) for w in classes | ids)
+                    node.doubt = 2 if out else int(any(HINTED.search(w) for w in classes | ids))
                 stack[-1].parts.append(node)
                 if not attributes.endswith("/"):
                     stack.append(node)
     put(text[at:])
+    settle(top)
     return top
 
 
+def settle(top: Node) -> None:
+    """Skip or lower containers by name, but none that holds an article, or most of the page's unlinked text."""
+    order = list(nodes(top))
+    held, whole = {id(n): 0 if n.skipped else n.plain for n in order}, {id(n): n.tag in ("main", "article") for n in order}
+    for node in reversed(order):  # what is inside comes after
+        for part in node.parts:
+            if isinstance(part, Node) and not part.skipped:
+                held[id(node)] += held[id(part)]
+                whole[id(node)] |= whole[id(part)]
+    for node in order:
+        if node.doubt and held[id(node)] < MOST * held[id(top)]:
+            if node.doubt == 2 and not whole[id(node)]:
+                node.skipped = True
+            else:
+                node.weight = LOW
+        for part in node.parts:
+            if isinstance(part, Node):
+                part.skipped |= node.skipped
+                part.weight = 1.0 if part.tag in ("main", "article") else node.weight
+
+
 def nodes(top: Node) -> Iterator[Node]:
     todo = [top]
     while todo:
@@ -118,7 +154,7 @@ def scores(top: Node) -> dict[str, float]:
     """Share of each path in a page's article-like text: what a container holds itself, less twice its links."""
     found: dict[str, float] = {}
     for node in nodes(top):
-        worth = node.plain - 2 * node.linked
+        worth = node.weight * (node.plain - 2 * node.linked)
         if not node.skipped and worth > 0:
             found[node.path] = found.get(node.path, 0.0) + worth
     total = sum(found.values())
@@ -189,6 +225,9 @@ def winners(pages: DataFrame, least: float = 0.4) -> DataFrame:
 def main_text(pages: DataFrame, least: float = 0.4) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars``, by their hosts' winning paths.
 
+    A name skips a container only as a whole class word (outside an article, also a whole id), and none
+    that holds an article or most of the page's unlinked text.
+
     Null html or a page without article text gives an empty text of 0 characters; pages
     without a host vote together. Every row is returned; input columns ``text`` and
     ``n_chars`` are replaced.
