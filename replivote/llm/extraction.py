@@ -32,6 +32,8 @@ HINTED = re.compile(rf"(?:^|[-_])(?:{_WORDS})(?:$|[-_])")
 LOW = 0.1
 #: Share of a page's unlinked text with which a container is neither skipped nor lowered, whatever its name.
 MOST = 0.7
+#: Share of a page's article-like text that counts as nearly all.
+NEARLY = 0.9
 #: Elements whose place is part of a path.
 CONTAINERS = {
     "html", "body", "main", "article", "section", "div", "ul", "ol", "dl", "table", "tbody", "tr", "td", "figure", "blockquote", "center", "details", "form",
@@ -54,6 +56,7 @@ _MARK = re.compile(
 )
 _NAME = re.compile(r"(?<![\w-])(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NUMBER = re.compile(r"\d+")
+_MARKS = re.compile("[/.]")  # these part a path
 
 
 @dataclass
@@ -66,6 +69,7 @@ class Node:
     parts: list = field(default_factory=list)  # texts, None for a break, and containers
     plain: int = 0
     linked: int = 0
+    titled: bool = False  # holds a heading of the first order itself
     doubt: int = 0  # by name: 2 if it is to be skipped, 1 if its score is to be lowered
     weight: float = 1.0
 
@@ -89,6 +93,8 @@ def parse(page: str | None) -> Node:
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
+        if tag == "h1":
+            stack[-1].titled = True
         if tag == "a":
             link = 0 if m["end"] else 1
         if tag not in INLINE:
@@ -108,7 +114,8 @@ def parse(page: str | None) -> Node:
                 inside = any(n.tag == "article" for n in stack)
                 skip = stack[-1].skipped or tag in SKIPPED and not (tag == "header" and inside)
                 ids = set() if inside or tag in ("article", "section") else ids  # those name headings
-                path = f"{stack[-1].path}/{tag}" + "".join("." + _NUMBER.sub("#", w) for w in sorted(classes | ids))
+                # an id is often a page's own, so that it tells paths apart only where no class does
+                path = f"{stack[-1].path}/{tag}" + "".join("." + _NUMBER.sub("#", _MARKS.sub("_", w)) for w in sorted(classes or ids))
                 node = Node(tag, path, skip)
                 if tag not in WHOLE and (classes or ids or tag == "form"):
                     out = tag == "form" or any(NAMED.fullmatch(w) for w in classes | ids)
@@ -150,15 +157,57 @@ def nodes(top: Node) -> Iterator[Node]:
         todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
 
 
-def scores(top: Node) -> dict[str, float]:
-    """Share of each path in a page's article-like text: what a container holds itself, less twice its links."""
-    found: dict[str, float] = {}
-    for node in nodes(top):
-        worth = node.weight * (node.plain - 2 * node.linked)
-        if not node.skipped and worth > 0:
-            found[node.path] = found.get(node.path, 0.0) + worth
-    total = sum(found.values())
-    return {path: worth / total for path, worth in found.items()}
+def _above(path: str) -> Iterator[str]:
+    """The paths around a path, the nearest first, the page itself last."""
+    while path:
+        path = path[: path.rindex("/")]
+        yield path
+
+
+def credits(top: Node, others: set[str] = frozenset()) -> dict[str, float]:
+    """Article-like text inside each path of a page: its letters less twice those in links, container by container.
+
+    Every path that is not skipped is in it. What is on paths of ``others`` counts nothing.
+    """
+    order = [n for n in nodes(top) if not n.skipped]
+    held, beside, found = {}, set(), {}
+    for node in order:
+        if node.path in others or id(node) in beside:
+            beside.update([id(node), *(id(p) for p in node.parts if isinstance(p, Node))])
+        held[id(node)] = 0.0 if id(node) in beside else max(0.0, node.weight * (node.plain - 2 * node.linked))
+    for node in reversed(order):  # what is inside comes after
+        held[id(node)] += sum(held[id(p)] for p in node.parts if isinstance(p, Node) and not p.skipped)
+        found[node.path] = found.get(node.path, 0.0) + held[id(node)]
+    return found
+
+
+def choice(top: Node, held: dict[str, float], least: float = 0.4) -> list[str]:
+    """The paths of a page's article: its ``article`` elements, or the smallest container that holds nearly all and the title."""
+    total = held[""]
+    whole = [p for p in held if _tag(p) == "article" and not any(_tag(a) == "article" for a in _above(p))]
+    if total <= 0:
+        return whole or [p for p in held if _tag(p) == "main"]
+    if sum(held[p] for p in whole) >= total / 2:
+        most = max(held[p] for p in whole)
+        return sorted(p for p in whole if held[p] >= least * most)
+    best = max((p for p in held if held[p] >= NEARLY * total), key=lambda p: (p.count("/"), p))
+    mains = [p for p in held if _tag(p) == "main" and held[p] >= total / 2]
+    if mains and not any(a in mains for a in (best, *_above(best))):
+        best = min(mains, key=lambda p: (p.count("/"), p))
+    titled = {n.path for n in nodes(top) if n.titled and not n.skipped}
+    if not any(_inside(t, best) for t in titled):
+        around = next((a for a in _above(best) if any(_inside(t, a) for t in titled)), best)
+        if held[around] > held[best]:
+            best = around
+    return [best]
+
+
+def _tag(path: str) -> str:
+    return path[path.rfind("/") + 1 :].partition(".")[0]
+
+
+def _inside(path: str, outer: str) -> bool:
+    return path == outer or path.startswith(outer + "/")
 
 
 def text_of(top: Node, paths: list[str]) -> str:
@@ -180,33 +229,47 @@ def text_of(top: Node, paths: list[str]) -> str:
     return " ".join("".join(out).split())
 
 
-def extract(page: str | None, paths: list[str] | None) -> str:
-    """The text on a host's winning paths, or on the page's own best path where it has none of them."""
+def extract(page: str | None, paths: list[str] | None, others: list[str] | None = None) -> str:
+    """The text on a host's winning paths, wherever a page has them.
+
+    Of winners inside each other the one with more votes counts. A page whose winners are missing, or hold
+    less text, links included, than half of what is article-like and not on the host's ``others``, gives the
+    text on its own best paths.
+    """
     top = parse(page)
-    own = scores(top)
-    present = [p for p in paths or [] if p in own]
-    if not present and own:
-        present = [max(sorted(own), key=own.__getitem__)]
-    return text_of(top, present)
+    held = credits(top, set(others or ()))
+    present: list[str] = []
+    for path in paths or []:
+        if path in held and not any(_inside(path, p) or _inside(p, path) for p in present):
+            present.append(path)
+    text = text_of(top, present)
+    if not present or len(text) - text.count(" ") < held[""] / 2:
+        text = text_of(top, choice(top, held) or present)
+    return text
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """``host, path, share``: per page the paths of its containers and their share of its text."""
+    """``host, path, pages, votes``: how many pages have a path, and how many have their article there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks([whole], "html"):
-                ballots: dict[tuple[str, str], float] = {}
+                ballots: dict[tuple[str, str], list[int]] = {}
                 for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                    for path, share in scores(parse(page)).items():
-                        ballots[host, path] = ballots.get((host, path), 0.0) + share
+                    top = parse(page)
+                    held = credits(top)
+                    chosen = choice(top, held)
+                    for path in held:
+                        count = ballots.setdefault((host, path), [0, 0])
+                        count[0] += 1
+                        count[1] += path in chosen
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in ballots], pa.string()), pa.array([k[1] for k in ballots], pa.string()),
-                     pa.array(list(ballots.values()), pa.float64())],
-                    ["host", "path", "share"],
+                     pa.array([n for n, _ in ballots.values()], pa.int64()), pa.array([v for _, v in ballots.values()], pa.int64())],
+                    ["host", "path", "pages", "votes"],
                 )
 
-    return pages.select("host", "html").mapInArrow(run, "host string, path string, share double")
+    return pages.select("host", "html").mapInArrow(run, "host string, path string, pages long, votes long")
 
 
 def host(url: str) -> Column:
@@ -215,11 +278,25 @@ def host(url: str) -> Column:
 
 
 def winners(pages: DataFrame, least: float = 0.4) -> DataFrame:
-    """``host, paths``: the path with most votes of a host, and those with ``least`` times as many."""
-    counted = stored(votes(pages).groupBy("host", "path").agg(F.sum(F.round("share", 9)).alias("votes")), "votes")
-    best = counted.groupBy("host").agg(F.max("votes").alias("best"))
-    near = counted.join(best, "host").where(F.col("votes") >= F.lit(least) * F.col("best"))
-    return near.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("paths"))  # at most 1 / least per host and page kind
+    """``host, paths, others``: the path with most votes of a host and those with ``least`` times as many, most votes first;
+    and the paths beside them that at least half of the host's pages have."""
+    counted = stored(votes(pages).groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("votes").alias("votes")), "votes")
+    best = counted.groupBy("host").agg(F.max("votes").alias("best"), F.max("pages").alias("all"))  # every page has the empty path
+    joined = counted.join(best, "host")
+    # a path of its own on every page wins nothing for the others: at most 20 / least paths per host
+    won = (F.col("votes") > 0) & (F.col("votes") >= F.lit(least) * F.col("best")) & (20 * F.col("votes") >= F.col("all"))
+    common = 2 * F.col("pages") >= F.col("all")  # as many as two usual pages have
+    named = joined.where(won | common).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.when(won, F.struct((-F.col("votes")).alias("n"), "path")))).alias("won"),
+        F.array_sort(F.collect_list(F.when(common & ~won, F.col("path")))).alias("common"),
+    )
+    paths = F.col("won")["path"]
+    beside = F.filter("common", lambda c: ~F.exists(paths, lambda w: _holds(w, c) | _holds(c, w)))
+    return named.select("host", paths.alias("paths"), beside.alias("others"))
+
+
+def _holds(outer: Column, path: Column) -> Column:
+    return F.startswith(path, F.concat(outer, F.lit("/")))
 
 
 def main_text(pages: DataFrame, least: float = 0.4) -> DataFrame:
@@ -236,12 +313,12 @@ def main_text(pages: DataFrame, least: float = 0.4) -> DataFrame:
     row = F.struct(*[F.col(quoted(c)) for c in kept]).alias("row")
     hosted = pages.select(row, F.col("html").alias("html"), host("url").alias("host"))
     chosen = stored(winners(hosted, least), "paths")
-    both = hosted.join(chosen, "host", "left").select("row", "html", "paths")
+    both = hosted.join(chosen, "host", "left").select("row", "html", "paths", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks([whole], "html"):
-                texts = [extract(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())]
+                texts = [extract(*columns) for columns in zip(*[batch.column(c).to_pylist() for c in ("html", "paths", "others")])]
                 sizes = pa.array([len(t) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), sizes], ["row", "text", "n_chars"])
 

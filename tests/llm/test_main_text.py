@@ -34,6 +34,55 @@ def test_no_section_of_an_article_is_skipped_by_a_part_of_its_name():
     assert not any(n.skipped for n in extraction.nodes(extraction.parse(page)))
 
 
+def test_sections_of_an_article_whatever_they_are_called(spark):
+    names = ["id=side-effects", "class=related-work", "id=social-history", "id=ad-hoc", "id=related", "id=notice"]
+    sections = "".join(f"<section {n}><p>{'kept ' * 40}{n[-4:]}</p></section>" for n in names)
+    (text,) = texts(spark, [("http://h/", f"<body><article>{sections}<div class=share>Share this</div></article></body>")])
+    assert [w for w in text.split() if w != "kept"] == [n[-4:] for n in names]
+
+
 def test_a_name_still_skips_what_is_not_the_article():
     page = f"<body><div class=post>{STORY}<div class='box ads'>Buy!</div></div><div id=comments>so true</div><form>Search</form></body>"
     assert sum(n.skipped for n in extraction.nodes(extraction.parse(page))) == 3
+
+
+# the vote and the winners
+
+
+def test_an_article_full_of_links_stays_on_its_hosts_path(spark):
+    links = "<p>plain " + "<a href=/x>a linked word</a> " * 30 + "</p>"
+    page = "<body><div class=story>{}</div><div class=box><p>" + "box " * 10 + "</p></div></body>"
+    got = texts(spark, [("http://h/", page.format(STORY))] * 5 + [("http://h/", page.format(links)), ("http://alone/", f"<article>{links}</article>")])
+    assert all(t == "plain " + " ".join(["a linked word"] * 30) for t in got[5:])
+    assert all("box" not in t for t in got)
+
+
+def test_title_and_small_sections_are_not_lost(spark):
+    titled = f"<body><article><h1>The title</h1><div class=body>{STORY}</div></article></body>"
+    plain = f"<body><div class=post><h1>The title</h1><div class=body>{STORY}</div></div><footer>foot</footer></body>"
+    parts = "".join(f"<section class={c}><p>{c} {'word ' * n}</p></section>" for c, n in (("intro", 20), ("main", 60), ("end", 20)))
+    got = texts(spark, [("http://a/", titled)] * 3 + [("http://b/", plain)] * 3 + [("http://c/", f"<body><div class=all>{parts}</div></body>")] * 3)
+    assert all(t.startswith("The title story") for t in got[:6])
+    assert all({"intro", "main", "end"} <= set(t.split()) for t in got[6:])
+
+
+def test_ids_of_headings_do_not_split_the_vote(spark):
+    page = "<body><div class=story>{}</div><div class=legal><p>{}</p></div></body>"
+    heads = [(f"part {k} " + "word " * 20) for k in "abcdefgh"]
+    body = "".join(f"<section id={h.split()[1]}-{{n}}><p>{h}</p></section>" for h in heads)
+    pages = [("http://h/", page.format(body.replace("{n}", c), "small print")) for c in "pqrst"] + [("http://h/", page.format("<p>short</p>", "small print " * 50))]
+    got = texts(spark, pages)
+    assert all(t == " ".join(" ".join(heads).split()) for t in got[:5]) and got[5] == "short"
+
+
+def test_a_page_unlike_its_host_gives_its_own_article(spark):
+    usual = f"<body><div class=story>{STORY}</div></body>"
+    other = f"<body><div class=story><p>teaser</p></div><div class=special><p>{'special text ' * 30}</p></div></body>"
+    got = texts(spark, [("http://h/", usual)] * 9 + [("http://h/", other)])
+    assert got[9] == " ".join(["special text"] * 30)
+
+
+def test_class_words_with_path_marks_and_deep_pages():
+    page = f"<body><div class='w-1/2 a.b'>{STORY}</div></body>"
+    assert extraction.extract(page, None).startswith("story text")
+    assert extraction.extract("<div>" * 2000 + STORY, None).startswith("story text")
