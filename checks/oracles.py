@@ -528,7 +528,7 @@ ORACLES["consensus_set_turns"] = "with " + set_("w", "conv_id", _TURNS) + f" sel
 ORACLES["consensus_words_turns"] = (
     "with " + word_vote("w", "conv_id", _TURNS, words("response"), "response is not null") + " select conv_id, consensus, confidence from w"
 )
-for _mode in ("exact", "set"):
+for _mode in VOTES:
     ORACLES[f"block_{_mode}"] = with_(
         R,
         VOTES[_mode]("p", "doc_id", POOLED),

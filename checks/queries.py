@@ -22,6 +22,8 @@ from replivote.sources import tables, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Queries whose answers SQL cannot compare in any useful time; tests compare them with plain Python.
+WHOLE: dict[str, Query] = {}
 
 PROMPT = prompts.text_prompt()
 IMAGE_PROMPT = prompts.image_prompt()
@@ -365,6 +367,14 @@ def consensus_fuzzy_by_source(spark, sf_dir):
     return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir, short=True), ["source"], order="order", block=128)
 
 
+def consensus_fuzzy_by_source_texts(spark, sf_dir):
+    """All whole-text answers of a source, in rounds."""
+    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir), ["source"], order="order", block=128)
+
+
+WHOLE["consensus_fuzzy_by_source_texts"] = consensus_fuzzy_by_source_texts
+
+
 @query
 def consensus_words_by_source(spark, sf_dir):
     return con.consensus_words(_by_source(spark, sf_dir), ["source"], order="order")
@@ -418,6 +428,11 @@ def block_set(spark, sf_dir):
     return block.pooled_consensus(_wide(spark, sf_dir), "set").select("doc_id", "Aggregated_Consensus", "Aggregated_Consensus_Confidence")
 
 
+@query
+def block_fuzzy(spark, sf_dir):
+    return block.pooled_consensus(_wide(spark, sf_dir), "fuzzy").select("doc_id", "Aggregated_Consensus", "Aggregated_Consensus_Confidence")
+
+
 @query
 def block_between(spark, sf_dir):
     """Votes per model over the table's columns, then between them."""
