@@ -255,7 +255,8 @@ def labelled_parts(docs: DataFrame, key: str = "doc_id", text: str = "text", sam
 
     Parts are those of ``islands``, drawn in the order of a hash over all documents; their
     spans are what the fixed patterns accept. A part with a match that fails its test
-    (a number of 16 digits with a wrong check digit) says nothing and is left out.
+    (a number of 16 digits with a wrong check digit) says nothing and is left out. Copies of a
+    part count once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +275,8 @@ def labelled_parts(docs: DataFrame, key: str = "doc_id", text: str = "text", sam
                 )
 
     parts = docs.select(F.col(text).alias("text")).mapInArrow(run, "text string, spans array<array<int>>")
-    return parts.orderBy(F.xxhash64(F.lit(5), "text"), "text").limit(sample)
+    once = parts.groupBy("text").agg(F.first("spans").alias("spans"))  # equal texts have equal spans
+    return once.orderBy(F.xxhash64(F.lit(5), "text"), "text").limit(sample)
 
 
 def fit(labelled: DataFrame, sample: int = 2000) -> Crf:
