@@ -49,9 +49,9 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, n_item, n_shared``: items of which a document holds enough shingles.
 
-    Shingles are ``width`` words (blank-separated, A-Z folded). Sketches are cut by part
-    at their largest place, and a document gives only the shingles below the largest
-    cut: the MinHash side of the search. What meets an item's sketch is a candidate, and
+    Shingles are ``width`` words (blank-separated, A-Z folded). The part of an item only
+    sets the length of its sketch; a document gives the shingles below the largest place of all
+    sketches, the MinHash side of the search, which a short item can raise to nearly all of them. What meets an item's sketch is a candidate, and
     candidates are confirmed on the full shingle sets of both. Null or empty texts,
     null keys and items shorter than ``width`` words give nothing; rows that repeat a key
     count as one text each and are reported once.
