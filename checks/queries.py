@@ -446,9 +446,10 @@ def block_between(spark, sf_dir):
 
 @query
 def run_analysis(spark, sf_dir):
-    """A stored run over a workbook without identifiers: numbered, asked, stored, and reviewed from the store."""
+    """A stored run over workbooks without identifiers: numbered, asked, stored, and reviewed from the store."""
     folder = fresh_path(spark, "texts")
-    workbook_files.write_workbooks(table(spark, sf_dir, "benchmark").orderBy("item_id").coalesce(1).select("text"), folder)
+    asked = table(spark, sf_dir, "benchmark").repartitionByRange(4, "item_id").sortWithinPartitions("item_id")
+    workbook_files.write_workbooks(asked.select("text"), folder)  # file names follow the partitions
     found = workbooks.scan_workbooks(spark, folder)
     numbered = items.assign_identifier(found).withColumn("row_id", F.col("Identifier"))
     voting = Voting(aggregate=True, errors_vote=True)
@@ -582,7 +583,7 @@ def aggregate_folder(spark, sf_dir):
     folder = fresh_path(spark, "finished")
     rows = replay.rows(spark, sf_dir, name="benchmark", key="item_id")
     for model, runs in (("m1", RUNS), ("m2", 3)):
-        workbook_files.write_workbooks(_finished(rows, model, runs).coalesce(1), f"{folder}/{model}")
+        workbook_files.write_workbooks(_finished(rows, model, runs).repartitionByRange(4, "doc_id"), f"{folder}/{model}")
     return abstracts.aggregate_folder(spark, f"{folder}/*")
 
 

@@ -3,7 +3,7 @@
 import random
 
 import __spark_entry__ as entry
-from checks import replay
+from checks import replay, workbook_files
 from tests import plain
 
 
@@ -23,3 +23,17 @@ def test_fuzzy_votes_of_a_hot_source(spark, tmp_path):
 
 def test_every_registered_table_vote():
     assert {f"block_{mode}" for mode in ("exact", "set", "fuzzy")} <= set(entry.oracle_sql())
+
+
+def test_workbooks_of_a_run_are_several(spark, monkeypatch):
+    """A multi-file numbered run keeps item order; its SQL is in test_queries."""
+    made, write = [], workbook_files.write_workbooks
+
+    def counted(df, folder):
+        made.append(df.rdd.getNumPartitions())
+        return write(df, folder)
+
+    monkeypatch.setattr(workbook_files, "write_workbooks", counted)
+    for name in ("run_analysis", "aggregate_folder"):
+        entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert len(made) == 3 and min(made) > 1
