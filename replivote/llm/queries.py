@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replivote.llm import archives, contamination, extraction, minhash, mixing, pii, randomness, subspace, suffix, toxicity
+from replivote.llm import (
+    alignment,
+    archives,
+    codes,
+    contamination,
+    extraction,
+    minhash,
+    mixing,
+    pii,
+    randomness,
+    subspace,
+    suffix,
+    toxicity,
+    trust,
+)
 from replivote.llm.common import table
 
 
@@ -64,11 +78,30 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspace.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = trust.judged_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+#: Where the public tokenizers are installed.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.scored_alignment(docs, f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", codes.hex_code().alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_personal_data, op2_main_text, op3_toxicity, op4_mixing, op5_minhash, op6_suffix,
-        op7_warc, op8_contamination, op9_secrets, op10_vectors,
+        op7_warc, op8_contamination, op9_secrets, op10_vectors, op11_trust, op12_alignment, op13_vector_codes,
     )
 }
 
@@ -89,7 +122,72 @@ def _grams(table: str, key: str, width: int, short: bool) -> str:
     )
 
 
+def _rules_sql() -> tuple[str, str]:
+    """Rule and verdict of the longest rule that fits, as CASE expressions over ``host, path``."""
+    rules = sorted(trust.RULES, key=lambda r: -len(r.host + r.path))
+    fits = [f"WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') THEN " for r in rules]
+    return tuple(f"CASE {' '.join(f + repr(v) for f, v in zip(fits, values))} END" for values in ([r.host + r.path for r in rules], [r.verdict for r in rules]))
+
+
+def _trust_sql(rounds: int = 20) -> str:
+    rule, verdict = _rules_sql()
+    fold = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+    link = trust.LINK.replace("'", "''")
+    chain = "".join(
+        f"""
+m{i} AS MATERIALIZED (SELECT kind, host, sum(mass)::BIGINT AS mass FROM (SELECT s.kind, s.into_host AS host,
+  floor(mass::DOUBLE * 0.85e0 * weight::DOUBLE / total::DOUBLE)::BIGINT AS mass
+  FROM m{i - 1} m JOIN s ON s.kind = m.kind AND s.frm = m.host) GROUP BY 1, 2 HAVING sum(mass) > 0),"""
+        for i in range(1, rounds + 1)
+    )
+    every = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(rounds + 1))
+    return f"""
+WITH r AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, html, {fold("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+d AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS ruled FROM p),
+l AS (SELECT host AS src, unnest(list_distinct(list_transform(regexp_extract_all(html, '{link}', 1), lambda h: {fold("h")}))) AS dst
+  FROM d WHERE host <> '' AND html IS NOT NULL),
+e AS (SELECT src, dst, count(*) AS weight FROM l WHERE src <> dst GROUP BY 1, 2),
+b AS (SELECT 'trust' AS kind, src AS frm, dst AS into_host, weight FROM e UNION ALL SELECT 'distrust', dst, src, weight FROM e),
+s AS MATERIALIZED (SELECT *, sum(weight) OVER (PARTITION BY kind, frm)::BIGINT AS total FROM b),
+h AS (SELECT host, floor(1e12 * count(*) FILTER (ruled = 'allow') / count(*))::BIGINT AS t,
+  floor(1e12 * count(*) FILTER (ruled = 'block') / count(*))::BIGINT AS u FROM d WHERE host <> '' GROUP BY host),
+m0 AS MATERIALIZED (SELECT 'trust' AS kind, host, t AS mass FROM h WHERE t > 0 UNION ALL SELECT 'distrust', host, u FROM h WHERE u > 0),{chain}
+g AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0)::BIGINT AS t, coalesce(sum(mass) FILTER (kind = 'distrust'), 0)::BIGINT AS u
+  FROM ({every}) GROUP BY host),
+j AS (SELECT page_id, d.host, path, rule, ruled, coalesce(t, 0) AS t, coalesce(u, 0) AS u FROM d LEFT JOIN g ON g.host = d.host)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN u > t * 1e0 AND u >= 0.05e0 * 1e12 THEN 'block' ELSE 'allow' END) AS verdict,
+  t / 1e12 AS trust, u / 1e12 AS distrust FROM j"""
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    def nearest(i: int) -> str:
+        return f"""
+a{i} AS MATERIALIZED (SELECT k, c.p, c.v, min(list_sum(list_transform(list_zip(c.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * {entries} + e) AS de
+  FROM c JOIN b{i} b ON b.p = c.p GROUP BY ALL)"""
+
+    def moved(i: int) -> str:
+        return f"""
+s{i} AS (SELECT p, de % {entries} AS e, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM a{i}) GROUP BY 1, 2, 3),
+n{i} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{i} GROUP BY 1, 2),
+b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.v, b.v) AS v FROM b{i} b LEFT JOIN n{i} n ON n.p = b.p AND n.e = b.e)"""
+
+    steps = ",".join(f"{nearest(i)},{moved(i)}" for i in range(rounds)) + f",{nearest(rounds)}"
+    return f"""
+WITH x AS (SELECT vec_id, label, row_number() OVER () AS k, list_transform(embedding, lambda v: floor(256 * v::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+c AS MATERIALIZED (SELECT k, vec_id, p, list_slice(x, p * len(x) // {parts} + 1, (p + 1) * len(x) // {parts}) AS v
+  FROM (SELECT *, unnest(range({parts})) AS p FROM x)),
+f AS (SELECT k, row_number() OVER (ORDER BY vec_id, x) - 1 AS e FROM x WHERE vec_id IS NOT NULL ORDER BY e LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT p, e, v FROM c JOIN f USING (k)),{steps},
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+o AS (SELECT k, string_agg(format('{{:02x}}', de % {entries}), '' ORDER BY p) AS code, sum(de // {entries})::BIGINT AS error FROM a{rounds} GROUP BY k)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM o JOIN x USING (k), h"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_trust": _trust_sql(),
+    "op13_vector_codes": _codes_sql(),
     "op4_mixing": f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
