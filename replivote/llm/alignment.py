@@ -16,15 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replivote.llm.common import CHUNK, chunks, quoted
+from replivote.llm.common import chunks, quoted
 from replivote.session import fresh_path
 
 #: Bytes of text whose id pairs are counted together before they are shuffled.
-PART = 8 << 20
+PART = 4 << 20
 #: Bytes of a tokenizer's file that may be sent to every executor.
 LARGEST_FILE = 64 << 20
 #: Characters of learned words kept by one task's tokenizer before it starts anew.
-LEARNED = 16 << 20
+LEARNED = 2 << 20
+#: Bytes of text that are aligned at a time.
+BATCH = 256 << 10
 #: What Unicode calls white space.
 _BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A space that does not follow a non-blank, or that ends the text.
@@ -55,9 +57,9 @@ class ByteLevel:
         self.pieces = [b""] * self.model.get_vocab_size()
         for token, i in self.model.get_vocab(with_added_tokens=False).items():
             self.pieces[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-        spec = json.loads(file)
-        pre = spec.get("pre_tokenizer") or {}
-        self.apart = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+        pre = json.loads(self.model.pre_tokenizer.__getstate__()) if self.model.pre_tokenizer else {}
+        usual = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+        self.apart = bool(usual and self.model.normalizer is None)
 
     def encode(self, texts: list[str]) -> Iterator[Sequence[int]]:
         """Ids of a space and each text."""
@@ -275,6 +277,14 @@ class Aligner:
         return [sha256("".join(names[s:e])[:-1].encode()).hexdigest() if e > s else "" for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
+def _aligner(files: Sequence[tuple[str, Broadcast]]) -> Aligner:
+    """The aligner of a worker process, opened once and kept with the first broadcast it was sent in."""
+    held = files[0][1].__dict__
+    if "aligner" not in held:  # each call sends its two files anew, so the first stands for both
+        held["aligner"] = Aligner(*files)
+    return held["aligner"]
+
+
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(quoted(text)).alias("_text"), F.col(quoted(key)).alias("_key"))
 
@@ -297,8 +307,8 @@ def alignment(docs: DataFrame, first: str, second: str, *, key: str = "doc_id",
     kind = T.StructType([named.schema["_key"]] + [T.StructField(n, ints) for n in ("a_ids", "b_ids", "a_cuts", "b_cuts")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*files)
-        for batch in chunks(batches, "_text", CHUNK):
+        aligner = _aligner(files)
+        for batch in chunks(batches, "_text", BATCH):
             done = aligner.align(batch.column(0).to_pylist())
             texts = np.repeat(np.arange(batch.num_rows), np.diff(done.cuts_from))
             cuts = [_lists(c - f[texts], done.cuts_from) for c, f in ((done.a_cuts, done.a_from), (done.b_cuts, done.b_from))]
@@ -376,8 +386,8 @@ def _encoded(docs: DataFrame, first: str, second: str, key: str, text: str) -> t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        aligner, part, number = Aligner(*files), _Part(), TaskContext.get().partitionId() << 32
-        for batch in chunks(batches, "_text", CHUNK):
+        aligner, part, number = _aligner(files), _Part(), TaskContext.get().partitionId() << 32
+        for batch in chunks(batches, "_text", BATCH):
             done = aligner.align(batch.column(0).to_pylist())
             part.add(batch.column(1), done, aligner.digests(done), aligner.width)
             part.size += batch.column(0).nbytes
