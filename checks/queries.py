@@ -369,7 +369,7 @@ def consensus_fuzzy_by_source(spark, sf_dir):
 
 def consensus_fuzzy_by_source_texts(spark, sf_dir):
     """All whole-text answers of a source, in rounds."""
-    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir), ["source"], order="order", block=128)
+    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir), ["source"], order="order")
 
 
 WHOLE["consensus_fuzzy_by_source_texts"] = consensus_fuzzy_by_source_texts

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
+from itertools import repeat
 from typing import NamedTuple
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 def _places(text: str) -> dict[str, int]:
     """For each letter, its positions as the bits of a number."""
     places: dict[str, int] = {}
+    if len(text) > 256:  # letter by letter of the alphabet is then cheaper than by place
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        for code in np.unique(codes):
+            places[chr(code)] = int.from_bytes(np.packbits(codes == code, bitorder="little").tobytes(), "little")
+        return places
     for i, ch in enumerate(text):
         places[ch] = places.get(ch, 0) | (1 << i)
     return places
@@ -58,17 +64,50 @@ def token_set_score(a: str, b: str) -> float:
     return score
 
 
+def _within(a: str, b: str, length: int, threshold: float) -> bool:
+    """Whether the insertions and deletions between two strings leave ``threshold`` per cent of ``length``.
+
+    An alignment that does so strays from the diagonal by no more letters than it may
+    leave out, so of ``a`` only the part within reach is looked at; and it ends as soon
+    as the letters of ``b`` to come could not make up for those left out.
+    """
+    if len(a) > len(b):
+        a, b = b, a
+    most = int((100 - threshold) * length / 100)
+    while _percent(most + 1, length) >= threshold:
+        most += 1
+    while most >= 0 and _percent(most, length) < threshold:
+        most -= 1
+    need = (len(a) + len(b) - most + 1) // 2
+    if most < 0 or need > len(a):
+        return False
+    places, spare = _places(a), len(a) - need
+    width, state, full, matched = 0, 0, 0, 0
+    for start in range(0, len(b), _STRIDE):
+        part = b[start : start + _STRIDE]
+        reach = min(len(a), start + len(part) + spare)
+        full = (1 << reach) - 1
+        state |= full ^ ((1 << width) - 1)
+        width = reach
+        for at in map(places.get, part, repeat(0)):
+            hit = state & at
+            state = ((state + hit) | (state - hit)) & full
+        matched = width - state.bit_count()
+        if matched + len(b) - start - len(part) < need:
+            return False
+    return matched >= need
+
+
+_STRIDE = 128  # letters between two looks at what is still possible
 _BINS = 64  # letters are counted by code modulo this
 
 
 class _Profile(NamedTuple):
     """What is compared of one answer, worked out once."""
 
-    text: str
     words: frozenset[str]
     joined: str
     letters: np.ndarray
-    mask: int
 
 
 def _profile(answer: str) -> _Profile:
@@ -76,56 +115,69 @@ def _profile(answer: str) -> _Profile:
     joined = " ".join(sorted(words))
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     letters = np.bincount(codes % _BINS, minlength=_BINS).astype(np.int32)
-    mask = 0
-    for word in words:
-        mask |= 1 << crc32(word.encode("utf-8", "surrogatepass")) % 64
-    return _Profile(answer, words, joined, letters, mask)
-
-
-def _matches(a: _Profile, b: _Profile, threshold: float) -> bool:
-    """Whether the score reaches the threshold."""
-    if a.words & b.words or not (a.words and b.words):
-        return token_set_score(a.text, b.text) >= threshold
-    length = len(a.joined) + len(b.joined)
-    return _percent(length - 2 * common_subsequence(a.joined, b.joined), length) >= threshold
+    return _Profile(words, joined, letters)
 
 
 class _Opened:
-    """Leaders in order, with what refuses most answers for all of them at once.
+    """Leaders in order, with an index of their words, and bounds that decide most pairs at once.
 
-    Without a common word, the common subsequence is no longer than the letters that
-    both have, counted by bins; a pair that cannot reach the threshold that way, and
-    whose word masks do not meet, is not looked at.
+    The index gives the length of the words that an answer shares with every leader, and with
+    it the length of the words that differ: enough to work out two of the three similarities
+    that a score is the largest of. The third compares the differing words letter by letter;
+    it needs lengths and letter counts that are close, which is checked for all leaders
+    together. Only pairs that pass are compared.
     """
 
     def __init__(self, threshold: float):
         self.threshold = threshold
         self.leaders: list[tuple[int, _Profile]] = []
         self.letters = np.zeros((16, _BINS), dtype=np.int32)
-        self.masks = np.zeros(16, dtype=np.uint64)
+        self.lengths = np.zeros(16, dtype=np.int64)
+        self.postings: dict[str, array] = {}
 
     def add(self, at: int, leader: _Profile) -> None:
         n = len(self.leaders)
-        if n == len(self.masks):
+        if n == len(self.lengths):
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-            self.masks = np.concatenate([self.masks, np.zeros_like(self.masks)])
-        self.letters[n], self.masks[n] = leader.letters, leader.mask
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        self.letters[n], self.lengths[n] = leader.letters, len(leader.joined) + 1
+        for word in leader.words:
+            self.postings.setdefault(word, array("i")).append(n)
         self.leaders.append((at, leader))
 
     def first_match(self, answer: _Profile) -> int | None:
         n = len(self.leaders)
-        letters = self.letters[:n]
-        common = np.minimum(letters, answer.letters).sum(axis=1)
-        whole = letters.sum(axis=1) + len(answer.joined)
-        able = (200 * common >= (self.threshold - 1e-6) * whole) | ((self.masks[:n] & np.uint64(answer.mask)) != 0)
-        for i in np.flatnonzero(able) if answer.words else range(n):
+        if not n or not answer.words:
+            # no word scores 0 against everything
+            return self.leaders[0][0] if n and self.threshold <= 0 else None
+        shared = np.zeros(n, dtype=np.int64)  # of common words, each with one blank
+        for word in answer.words:
+            if word in self.postings:
+                shared[np.array(self.postings[word])] += len(word) + 1
+        some = shared > 0
+        common = np.where(some, shared - 1, 0)
+        theirs, mine = np.maximum(self.lengths[:n] - shared - 1, 0), np.maximum(len(answer.joined) - shared, 0)
+        whole = 2 * (common + some) + theirs + mine
+        sure = some & ((theirs == 0) | (mine == 0)) & (self.threshold <= 100)
+        for rest in (theirs, mine):
+            sure |= some & (100 - 100 * (1 + rest) / (2 * common + 1 + rest) >= self.threshold)
+        sure |= 100 - 100 * (theirs + mine) / np.maximum(whole, 1) >= self.threshold
+        apart = np.maximum(np.abs(theirs - mine), np.abs(self.letters[:n] - answer.letters).sum(axis=1) - 2)
+        able = 100 - 100 * apart / np.maximum(whole, 1) >= self.threshold - 1e-6
+        for i in np.flatnonzero(sure | able):
             at, leader = self.leaders[i]
-            if _matches(leader, answer, self.threshold):
+            if sure[i] or self._alike(leader, answer, int(whole[i])):
                 return at
         return None
 
+    def _alike(self, leader: _Profile, answer: _Profile, whole: int) -> bool:
+        if not leader.words:
+            return self.threshold <= 0
+        a, b = (" ".join(sorted(x)) for x in (leader.words - answer.words, answer.words - leader.words))
+        return _within(a, b, whole, self.threshold)
 
-def _leaders(answers: list[str], threshold: float) -> list[int]:
+
+def ordered_leaders(answers: list[str], threshold: float) -> list[int]:
     """For distinct answers in order, the position of each one's group's first member."""
     if len(answers) < 2:
         return [0] * len(answers)
@@ -169,7 +221,7 @@ def group_leaders(answers: Column, threshold: float) -> Column:
 
     @F.arrow_udf("array<int>")
     def leaders_of(rows: pa.Array) -> pa.Array:
-        return pa.array([None if row is None else _leaders(row, threshold) for row in rows.to_pylist()], pa.list_(pa.int32()))
+        return pa.array([None if row is None else ordered_leaders(row, threshold) for row in rows.to_pylist()], pa.list_(pa.int32()))
 
     return leaders_of(answers)
 
@@ -190,7 +242,7 @@ def group_answers(ballots: Column, threshold: float) -> Column:
         for answer in answers:
             if answer is not None:
                 counts[answer] = counts.get(answer, 0) + 1
-        leaders = _leaders(list(counts), threshold)
+        leaders = ordered_leaders(list(counts), threshold)
         return [{"value": v, "ct": n, "leader": at} for (v, n), at in zip(counts.items(), leaders)]
 
     @F.arrow_udf("array<array<struct<value: string, ct: int, leader: int>>>")
@@ -209,22 +261,9 @@ def group_answers(ballots: Column, threshold: float) -> Column:
     return F.zip_with(spoken, grouped.asNondeterministic()(several), settled)
 
 
-def first_matching(answer: Column, owner: Column, leaders: Column, threshold: float) -> Column:
-    """Index of the first leader in the array that scores at least ``threshold``, or null.
-
-    Rows of one ``owner`` (a string) carry the same leaders; each batch reads them once.
-    """
-
-    @F.arrow_udf("int")
-    def match(answers: pa.Array, owners: pa.Array, leader_lists: pa.Array) -> pa.Array:
-        known: dict[str, _Opened] = {}
-        found = []
-        for i, (text, name) in enumerate(zip(answers.to_pylist(), owners.to_pylist())):
-            if name not in known:
-                known[name] = _Opened(threshold)
-                for at, leader in enumerate(leader_lists[i].as_py()):
-                    known[name].add(at, _profile(leader))
-            found.append(known[name].first_match(_profile(text)))
-        return pa.array(found, pa.int32())
-
-    return match(answer, owner, leaders)
+def first_leaders(leaders: list[str], answers: list[str], threshold: float) -> list[int | None]:
+    """For each answer, the index of the first leader that scores at least ``threshold``."""
+    opened = _Opened(threshold)
+    for at, leader in enumerate(leaders):
+        opened.add(at, _profile(leader))
+    return [opened.first_match(_profile(answer)) for answer in answers]

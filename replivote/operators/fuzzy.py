@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
-from replivote.functions.similarity import first_matching, group_leaders, token_set_ratio
+from replivote.functions.similarity import first_leaders, group_leaders, ordered_leaders, token_set_ratio
 from replivote.functions.votes import group_weight, vote_groups
 from replivote.operators.answers import answers_of, distinct_answers, plain_keys
-from replivote.session import checkpointed
+from replivote.session import checkpointed, written
 
 BLOCK = 512  # distinct answers of one key that a single task groups at a time
 _SALTS = 256
-_BROADCAST_BYTES = 64 * 1024 * 1024  # measured size of the leaders above which they are not broadcast
 
 
 def pair_similarity(pairs: DataFrame, left: str, right: str, score: str = "score") -> DataFrame:
@@ -62,12 +64,12 @@ def _block_consensus(distinct: DataFrame, keys: Sequence[str], threshold: float)
 
 
 def _first_block(rows: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
-    """The first ``block`` answers of every key, cut in two steps so no task sees a whole key."""
-    by_salt = Window.partitionBy(*keys, "_salt").orderBy("_first", "_value")
-    by_key = Window.partitionBy(*keys).orderBy("_first", "_value")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(_SALTS)))
+    """The first ``block`` sets of every key, by narrow columns and cut in two steps, so no task sees a whole key."""
+    by_salt = Window.partitionBy(*keys, "_salt").orderBy("_at", "_sid")
+    by_key = Window.partitionBy(*keys).orderBy("_at", "_sid")
+    salted = rows.select(*keys, "_at", "_sid").withColumn("_salt", F.pmod(F.xxhash64("_sid"), F.lit(_SALTS)))
     part = salted.withColumn("_n", F.row_number().over(by_salt)).where(F.col("_n") <= block).drop("_n", "_salt")
-    return part.withColumn("_n", F.row_number().over(by_key)).where(F.col("_n") <= block).drop("_n")
+    return part.withColumn("_n", F.row_number().over(by_key)).where(F.col("_n") <= block).select(*keys, "_sid")
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -78,58 +80,91 @@ def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in df.columns if c not in keys])
 
 
+def _word_sets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_sid, _at, _set`` per key: answers of one set of words, which score alike against all others.
+
+    ``_at`` is the place of its first answer. The id is a digest of 256 bits.
+    """
+    sets = F.array_join(F.array_sort(F.array_distinct(F.split("_value", " "))), " ")
+    named = rows.select(*keys, F.sha2(sets, 256).alias("_sid"), sets.alias("_set"), F.struct("_first", "_value").alias("_at"))
+    # the set itself is not moved for every answer: the first answer spells it, too
+    first = named.groupBy(*keys, "_sid").agg(F.min("_at").alias("_at"))
+    again = F.array_join(F.array_sort(F.array_distinct(F.split("_at._value", " "))), " ")
+    return first.select(*keys, "_sid", "_at", again.alias("_set"))
+
+
 def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block: int) -> DataFrame:
     """Group keys of any size, a block of possible leaders per round.
 
-    The first block of each key is grouped as it stands; all other answers of the
-    key, spread over every task, join the first of the block's leaders they match.
-    What matches none of them starts the next round. No leader of a later round
-    can precede these, so the result equals one pass in answer order. Each round
-    is checkpointed in the shared folder.
+    What is grouped are sets of words. The first block of each key is grouped as it
+    stands; all other sets of the key are dealt over slots of ``block`` sets, each of which meets
+    the block's leaders once, and join the first that they match. What matches none starts the
+    next round. No leader of a later round can precede these, so the result equals
+    one pass in answer order. Each round is written to the shared folder; sets that have found
+    their leader do not travel again.
     """
+    if threshold > 100:  # not even equal sets of words are alike
+        return rows.select(*keys, "_value", "_ct", "_first", F.col("_value").alias("_leader"), F.col("_first").alias("_leader_first"))
     spark = rows.sparkSession
+    rows = written(rows, "answers")
     # stated numbers: these rows are few bytes but much work, so they must not be merged
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    done: DataFrame | None = None
-    while not rows.isEmpty():
-        block_rows = _first_block(rows, keys, block).repartition(tasks, *keys)
-        head = checkpointed(_block_groups(block_rows, keys, threshold))
-        leaders = (
-            head.where(F.col("_value") == F.col("_leader"))
-            .groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("_first", "_value"))).alias("_leaders"))
-        )
-        seen = _renamed(head.select(*keys, "_value"), keys).withColumnRenamed("_value", "_r_value")
-        left = rows.join(seen, [*_same_key(rows, seen, keys), rows["_value"] == seen["_r_value"]], "left_anti")
-        left = left.repartition(tasks, *keys, "_value").withColumn("_salt", F.lit(0).cast("long"))
-        known = leaders.withColumn("_salt", F.lit(0).cast("long"))
-        if head.agg(F.sum(F.octet_length("_value") + 64)).first()[0] <= _BROADCAST_BYTES:
-            known = F.broadcast(_renamed(known, keys))
-        else:  # every key here is large, so each is split over the salts
-            left = left.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(_SALTS)))
-            salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
-            known = _renamed(leaders.withColumn("_salt", F.explode(salts)), keys)
-        known = known.withColumnRenamed("_salt", "_r_salt")
-        here = [*_same_key(left, known, keys), left["_salt"] == known["_r_salt"]]
-        tried = left.join(known, here, "left").drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
-        owner = F.to_json(F.struct(*keys))
-        texts = F.transform("_leaders", lambda l: l["_value"])
-        tried = tried.withColumn("_hit", first_matching(F.col("_value"), owner, texts, threshold))
-        hit = F.col("_leaders")[F.col("_hit")]
-        tried = checkpointed(
-            tried.select(
-                *keys,
-                "_value",
-                "_ct",
-                "_first",
-                hit["_value"].alias("_leader"),
-                hit["_first"].alias("_leader_first"),
-            )
-        )
-        settled = head.unionByName(tried.where(F.col("_leader").isNotNull()))
-        done = settled if done is None else done.unionByName(settled)
-        rows = tried.where(F.col("_leader").isNull()).select(*keys, "_value", "_ct", "_first")
-    return done
+    left = written(_word_sets(rows, keys), "sets")
+    kind = {f.name: f.dataType for f in left.schema.fields}
+    out = T.StructType([T.StructField(k, kind[k]) for k in (*keys, "_sid")]).add("_leader", T.StringType())
+    pieces: list[DataFrame] = []
+
+    def head(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("_n", "ascending")])
+        ids, sets = group.column("_sid").to_pylist(), group.column("_set").to_pylist()
+        leaders = [ids[i] for i in ordered_leaders(sets, threshold)]
+        return group.select([*keys, "_sid"]).append_column("_leader", pa.array(leaders, pa.string()))
+
+    def others(group: pa.Table, block_of: pa.Table) -> pa.Table:
+        block_of = block_of.sort_by([("_n", "ascending")])
+        ids = block_of.column("_sid").to_pylist()
+        found = first_leaders(block_of.column("_set").to_pylist(), group.column("_set").to_pylist(), threshold)
+        leaders = pa.array([None if i is None else ids[i] for i in found], pa.string())
+        return group.select([*keys, "_sid"]).append_column("_leader", leaders)
+
+    while not left.isEmpty():
+        mine = _renamed(written(_first_block(left, keys, block), "first"), keys)
+        here = [*_same_key(left, mine, keys), left["_sid"] == mine["_sid"]]
+        block_rows = left.join(mine, here, "left_semi")
+        order = F.row_number().over(Window.partitionBy(*keys).orderBy("_at", "_sid"))
+        block_rows = written(block_rows.withColumn("_n", order).select(*keys, "_sid", "_set", "_n"), "block")
+        grouped = written(block_rows.repartition(tasks, *keys).groupBy(*keys).applyInArrow(head, out), "heads")
+        pieces.append(grouped)
+        rest = left.join(mine, here, "left_anti")
+        slots = rest.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("long").alias("_slots"))
+        slots = _renamed(written(slots, "slots"), keys)
+        if slots.isEmpty():
+            break
+        leads = _renamed(grouped.where("_sid = _leader"), keys).select(*[f"_r_{k}" for k in keys], F.col("_sid").alias("_q_sid"))
+        leaders = block_rows.join(leads, [*_same_key(block_rows, leads, keys), block_rows["_sid"] == leads["_q_sid"]], "left_semi")
+        dealt = leaders.join(slots, _same_key(leaders, slots, keys)).drop(*[f"_r_{k}" for k in keys])
+        dealt = dealt.withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1))).drop("_slots")
+        spread_out = rest.join(slots, _same_key(rest, slots, keys)).drop(*[f"_r_{k}" for k in keys])
+        spread_out = spread_out.withColumn("_slot", F.pmod(F.xxhash64("_sid"), F.col("_slots"))).select(*keys, "_slot", "_sid", "_set")
+        dealt = dealt.select(*keys, "_slot", "_sid", "_set", "_n")
+        both = [df.repartition(tasks, *keys, "_slot").groupBy(*keys, "_slot") for df in (spread_out, dealt)]
+        tried = written(both[0].cogroup(both[1]).applyInArrow(others, out), "tried")
+        pieces.append(tried.where(F.col("_leader").isNotNull()))
+        open_ids = _renamed(tried.where(F.col("_leader").isNull()).select(*keys, "_sid"), keys)
+        left = written(left.join(open_ids, [*_same_key(left, open_ids, keys), left["_sid"] == open_ids["_sid"]], "left_semi"), "sets")
+    return _with_leaders(rows, pieces, keys)
+
+
+def _with_leaders(rows: DataFrame, pieces: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Every answer with the first answer of its leader's set of words."""
+    sets = F.array_join(F.array_sort(F.array_distinct(F.split("_value", " "))), " ")
+    named = rows.withColumn("_sid", F.sha2(sets, 256))
+    leader_of = _renamed(reduce(DataFrame.unionByName, pieces), keys).withColumnRenamed("_sid", "_q_sid")
+    owned = named.join(leader_of, [*_same_key(named, leader_of, keys), named["_sid"] == leader_of["_q_sid"]]).select(*rows.columns, "_leader")
+    firsts = named.groupBy(*keys, F.col("_sid").alias("_q_sid")).agg(F.min(F.struct("_first", "_value")).alias("_lead"))
+    firsts = _renamed(firsts, keys)
+    done = owned.join(firsts, [*_same_key(owned, firsts, keys), owned["_leader"] == firsts["_q_sid"]])
+    return done.select(*keys, "_value", "_ct", "_first", F.col("_lead._value").alias("_leader"), F.col("_lead._first").alias("_leader_first"))
 
 
 def _split_by_size(distinct: DataFrame, keys: Sequence[str], max_votes: int | None, block: int):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from replivote.functions import votes
+from replivote.functions import similarity
 from replivote.operators import consensus as con
 from replivote.operators import fuzzy
 from replivote.operators.block import between_consensus, consensus_for_block, pooled_consensus
@@ -88,11 +89,35 @@ def test_fuzzy_groups_of_a_hot_key(spark, block):
     assert got == {k: plain.vote(a, "fuzzy", 80) for k, a in by_key.items()}
 
 
-def test_leaders_too_large_to_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(fuzzy, "_BROADCAST_BYTES", 0)
-    df, by_key = hot(spark)
-    got = found(fuzzy.consensus_fuzzy(df, ["id"], threshold=80, block=40))
-    assert got == {k: plain.vote(a, "fuzzy", 80) for k, a in by_key.items()}
+def one_by_one(answers, threshold):
+    """Leader of each distinct answer, every pair scored in full."""
+    leaders, of = [], {}
+    for a in answers:
+        hit = next((x for x in leaders if similarity.token_set_score(x, a) >= threshold), None)
+        if hit is None:
+            leaders.append(a)
+        of[a] = hit or a
+    return of
+
+
+def test_groups_of_two_thousand_answers(spark):
+    """Long and short answers, word orders and near copies of one key, in rounds."""
+    local = random.Random(11)
+    stems = ["".join(local.choice("aeioubdgklmnprst") for _ in range(local.randint(2, 7))) for _ in range(900)]
+    base = [local.sample(stems, local.choice([1, 2, 5, 12, 40])) for _ in range(700)]
+
+    def near(words):
+        words = list(words)
+        local.shuffle(words)
+        at = local.randrange(len(words))
+        words[at] += local.choice(["", "s", "en", "x"])
+        return " ".join(words + local.choice([[], [], [local.choice(stems)]]))
+
+    answers = list(dict.fromkeys(" ".join(w) if i < 700 else near(w) for i, w in enumerate(base * 3)))
+    assert len(answers) > 1900
+    df = spark.createDataFrame([("hot", i, a) for i, a in enumerate(answers)], "id string, run int, response string").repartition(5)
+    got = {r["answer"]: r["leader"] for r in fuzzy.greedy_groups(df, ["id"], block=400).collect()}
+    assert got == one_by_one(answers, 85)
 
 
 def test_greedy_groups_in_rounds_equal_one_pass(spark):
