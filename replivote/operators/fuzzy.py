@@ -97,7 +97,7 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
     """Group keys of any size, a block of possible leaders per round.
 
     What is grouped are sets of words. The first block of each key is grouped as it
-    stands; all other sets of the key are dealt over slots of ``block`` sets, each of which meets
+    stands; all other sets of the key are dealt over slots of half a ``block``, each of which meets
     the block's leaders once, and join the first that they match. What matches none starts the
     next round. No leader of a later round can precede these, so the result equals
     one pass in answer order. Each round is written to the shared folder; sets that have found
@@ -107,8 +107,9 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
         return rows.select(*keys, "_value", "_ct", "_first", F.col("_value").alias("_leader"), F.col("_first").alias("_leader_first"))
     spark = rows.sparkSession
     rows = written(rows, "answers")
-    # stated numbers: these rows are few bytes but much work, so they must not be merged
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # stated numbers: these rows are few bytes but much work, so they must not be merged;
+    # several groups a core, as some hold much longer texts than others
+    tasks = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     left = written(_word_sets(rows, keys), "sets")
     kind = {f.name: f.dataType for f in left.schema.fields}
     out = T.StructType([T.StructField(k, kind[k]) for k in (*keys, "_sid")]).add("_leader", T.StringType())
@@ -136,7 +137,7 @@ def _group_large(rows: DataFrame, keys: Sequence[str], threshold: float, block:
         grouped = written(block_rows.repartition(tasks, *keys).groupBy(*keys).applyInArrow(head, out), "heads")
         pieces.append(grouped)
         rest = left.join(mine, here, "left_anti")
-        slots = rest.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("long").alias("_slots"))
+        slots = rest.groupBy(*keys).agg(F.ceil(2 * F.count("*") / block).cast("long").alias("_slots"))
         slots = _renamed(written(slots, "slots"), keys)
         if slots.isEmpty():
             break
