@@ -6,6 +6,7 @@ import re
 
 from checks.replay import MARK, MODELS, RUNS
 from replivote.functions import prompts
+from replivote.operators import grading
 
 WS = r"[\s\p{Z}\x{85}\x{0b}\x{1c}-\x{1f}]"
 
@@ -549,3 +550,75 @@ ORACLES["run_analysis"] = with_(
     exact("w", "doc_id", POOLED),
     then="select doc_id as row_number, doc_id as identifier, round(confidence * 100, 1) as percent from w where confidence < 0.4",
 )
+
+# --- words as values, digit codes, grades
+
+_QUALITY = """
+v as (select lang, source, quality::double as x from labels join documents using (doc_id)),
+m as (select {keys} count(*) as n, avg(x) as mean, var_pop(x) * count(*) as m2 from v group by {groups})"""
+
+
+def _totals(over: str) -> str:
+    return f"""
+a as (select *, sum(n) over ({over}) as nn, sum(n * mean) over ({over}) / sum(n) over ({over}) as mm from m),
+t as (select *, sum(n * (mean - mm) * (mean - mm)) over ({over}) as between_, sum(m2) over ({over}) as within_ from a)"""
+
+
+ORACLES["lookup_values"] = with_(
+    "w as (select doc_id, unnest(list_distinct([x for x in [source, lang] if x is not null])) as word from documents)",
+    "l as (select distinct lang as word, ascii(lang)::double as value from documents where lang is not null)",
+    then="select doc_id, word, value from w left join l using (word)",
+)
+ORACLES["lookup_anova"] = with_(
+    _QUALITY.format(keys="lang, source,", groups="1, 2"),
+    _totals("partition by lang"),
+    "s as (select lang, sum(n)::bigint as n, count(*) as groups, max(between_) as b, max(within_) as w from t group by lang)",
+    then="""select lang, n, groups, groups - 1 as df_between, n - groups as df_within,
+  case when groups > 1 and n > groups and w > 0 then round((b / (groups - 1)) / (w / (n - groups)), 6) end as f from s""",
+)
+ORACLES["lookup_t_tests"] = with_(
+    _QUALITY.format(keys="source,", groups="1"),
+    _totals(""),
+    "r as (select *, (nn - n)::bigint as rest_n, case when nn > n then (nn * mm - n * mean) / (nn - n) end as rest_mean from t)",
+    """d as (select *, greatest(0, between_ + within_ - m2 - (mean - rest_mean) * (mean - rest_mean) * n * rest_n / nn) as rest_m2 from r),
+u as (select *, case when n > 1 and rest_n > 1 then m2 / (n - 1) / n end as va, case when n > 1 and rest_n > 1 then rest_m2 / (rest_n - 1) / rest_n end as vb from d)""",
+    then="""select source, n, rest_n, round(mean, 6) as mean, round(rest_mean, 6) as rest_mean,
+  case when va + vb > 0 then round((mean - rest_mean) / sqrt(va + vb), 6) end as t,
+  case when va + vb > 0 then round((va + vb) * (va + vb) / (va * va / (n - 1) + vb * vb / (rest_n - 1)), 6) end as df from u""",
+)
+ORACLES["digit_codes"] = with_(
+    """d as (select doc_id, lang, source, case when length(text) < 500 then 'short' when length(text) < 3000 then 'middle' else 'endless' end as size from documents),
+p as (select *, coalesce(list_position(['en', 'fr', 'de'], lang), 0) as a,
+  coalesce(list_position(list_transform(range(20), lambda i: 'src' || i), source), 0) as b, coalesce(list_position(['short', 'middle', 'long'], size), 0) as c from d)""",
+    then="""select doc_id, (a * 1000 + b * 10 + c)::bigint as code,
+  concat_ws(',', case when a = 0 and lang is not null then 'lang' end, case when b = 0 and source is not null then 'source' end, case when c = 0 then 'size' end) as unknown,
+  case when a > 0 then lang end as lang, case when b > 0 then source end as source, case when c > 0 then size end as size from p""",
+)
+_JUDGE = f"{grading.TEMPLATE}\n\nPrompt: {prompts.text_prompt()}\n\nResponse: "
+_GRADES = (
+    R,
+    f"""h as (select doc_id, model, ('0x' || substr(md5({q(_JUDGE)} || response), 1, 8))::bigint as h from r where status = 'ok' and trim(response) <> ''),
+g as (select doc_id, model, avg(h % 10 + 1) as grade from h where h % 23 <> 0 group by 1, 2),
+c as (select *, count(*) over (partition by doc_id) as of_all from g),
+k as (select doc_id, model, grade, rank() over (partition by doc_id order by grade) + (count(*) over (partition by doc_id, grade) - 1) / 2 as place,
+  count(*) over (partition by doc_id, grade) as same from c where of_all = {len(MODELS)}),
+ranks as (select doc_id, model, grade, place, same * same - 1 as ties from k)""",
+)
+ORACLES["judge_grades"] = with_(*_GRADES, then="select * from ranks")
+ORACLES["judge_friedman"] = with_(
+    *_GRADES,
+    """p as (select model, count(*) as n, sum(place) as r, sum(ties) as ties from ranks group by model),
+s as (select max(n)::double as n, count(*)::double as k, sum(r * r) as r2, sum(ties) as ties from p),
+f as (select *, (12 * r2 / (n * k * (k + 1)) - 3 * n * (k + 1)) / (1 - ties / (n * k * (k * k - 1))) as x from s)""",
+    then="""select n::bigint as items, k::bigint as models, round(x, 6) as chi_squared, round((n - 1) * x / (n * (k - 1) - x), 6) as f,
+  k - 1 as df_between, (k - 1) * (n - 1) as df_within from f""",
+)
+ORACLES["judge_bootstrap"] = with_(
+    *_GRADES,
+    f"""e as (select doc_id, a.model, a.grade - b.grade as d from ranks a join ranks b using (doc_id) where b.model = '{MODELS[0]}' and a.model <> '{MODELS[0]}'),
+x as (select *, ('0x' || substr(md5(concat_ws('|', '7', doc_id, draw)), 1, 8))::bigint / 4294967296e0 as u from e cross join range(1, 41) s(draw)),
+y as (select *, {' + '.join(f'(u >= {p!r})::int' for p in grading.POISSON)} as w from x),
+z as (select model, draw, sum(w * d) / sum(w) as m from y group by 1, 2)""",
+    then="""select z.model, round(any_value(o.difference), 6) as difference, round(quantile_cont(m, 0.025), 6) as low, round(quantile_cont(m, 0.975), 6) as high
+from z join (select model, avg(d) as difference from e group by 1) o on o.model = z.model group by 1""",
+)

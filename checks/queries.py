@@ -13,10 +13,10 @@ from checks.replay import MODELS, RUNS, table
 from replivote.functions import prompts, text, votes
 from replivote.operators import annotate as an
 from replivote.operators import consensus as con
-from replivote.operators import block, fuzzy, items, report, reshape, tasks
+from replivote.operators import block, digits, fuzzy, grading, inference, items, report, reshape, tasks
 from replivote.plans import abstracts, analysis
 from replivote.plans.voting import Voting, add_votes, long_votes
-from replivote.session import fresh_path, spread
+from replivote.session import fresh_path, spread, written
 from replivote.sources import images as img
 from replivote.sources import tables, workbooks
 
@@ -600,3 +600,76 @@ def single_model_analysis(spark, sf_dir):
         errors_vote=True,
     )
 
+
+
+# --- words as values, digit codes, grades
+
+
+@query
+def lookup_values(spark, sf_dir):
+    """Language and source of each document as words, the languages with a value."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(", ", "source", "lang").alias("words"))
+    langs = table(spark, sf_dir, "documents").where("lang is not null").select("lang").distinct()
+    lookup = langs.select(F.col("lang").alias("word"), F.ascii("lang").cast("double").alias("value"))
+    return inference.looked_up(docs, "words", lookup).select("doc_id", "word", "value")
+
+
+def _quality(spark, sf_dir):
+    """Labelled documents, their quality as a word looked up in a table of two."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "Good").otherwise("poor.").alias("said"))
+    lookup = spark.createDataFrame([("good", 1.0), ("poor", 0.0)], "word string, value double")
+    valued = inference.looked_up(labels, "said", lookup)
+    return valued.join(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "doc_id")
+
+
+@query
+def lookup_anova(spark, sf_dir):
+    """Does quality differ between sources, language by language? The tail chance is tested apart from SQL."""
+    tested = inference.one_way_anova(_quality(spark, sf_dir), "source", "value", ["lang"])
+    return tested.select("lang", "n", "groups", "df_between", "df_within", F.round("f", 6).alias("f"))
+
+
+@query
+def lookup_t_tests(spark, sf_dir):
+    """Quality of each source against all others."""
+    tested = inference.against_the_rest(_quality(spark, sf_dir), "source", "value")
+    rounded = [F.round(c, 6).alias(c) for c in ("mean", "rest_mean", "t", "df")]
+    return tested.select("source", "n", "rest_n", *rounded)
+
+
+#: Criteria of the registered query; languages and sizes that are not here stay unknown.
+DIGITS = {"lang": ["en", "fr", "de"], "source": [f"src{i}" for i in range(20)], "size": ["short", "middle", "long"]}
+
+
+@query
+def digit_codes(spark, sf_dir):
+    """Language, source and size of each document as one number, and back."""
+    size = F.when(F.length("text") < 500, "short").when(F.length("text") < 3000, "middle").otherwise("endless")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", size.alias("size"))
+    coded = digits.with_digits(docs, DIGITS).select("doc_id", "code", F.array_join("unknown", ",").alias("unknown"))
+    return digits.decoded(coded, DIGITS)
+
+
+def _grades(spark, sf_dir):
+    """Every replay answer, graded by a replayed judge."""
+    said = replay.responses(spark, sf_dir).withColumn("key", F.concat_ws("|", "doc_id", "model", "run"))
+    graded = grading.graded(said, F.lit(PROMPT), "judge", replay.replay_judge, key="key")
+    return written(graded.select("doc_id", "model", "grade"), "grades")  # a judge is asked once
+
+
+@query
+def judge_grades(spark, sf_dir):
+    return grading.ranked_grades(_grades(spark, sf_dir), "doc_id")
+
+
+@query
+def judge_friedman(spark, sf_dir):
+    found = grading.friedman(grading.ranked_grades(_grades(spark, sf_dir), "doc_id"))
+    return found.select("items", "models", *[F.round(c, 6).alias(c) for c in ("chi_squared", "f")], "df_between", "df_within")
+
+
+@query
+def judge_bootstrap(spark, sf_dir):
+    ranks = grading.ranked_grades(_grades(spark, sf_dir), "doc_id")
+    found = grading.bootstrap_differences(ranks, MODELS[0], "doc_id", draws=40)
+    return found.select("model", *[F.round(c, 6).alias(c) for c in ("difference", "low", "high")])

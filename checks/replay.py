@@ -146,6 +146,16 @@ def replay_texts(template: str) -> Callable:
     return replay(lambda key, prompt, content: both_ways(prompt[len(template) + 1 :]))
 
 
+def replay_judge() -> Callable:
+    """A judge whose grade hangs on a hash of its whole prompt; now and then it says no number."""
+
+    def respond(model: str, run: int, batch: dict[str, list]) -> list[str]:
+        hashes = [int(hashlib.md5(p.encode()).hexdigest()[:8], 16) for p in batch["prompt"]]
+        return ["I cannot tell." if h % 23 == 0 else f"Grade: {h % 10 + 1}/10" for h in hashes]
+
+    return respond
+
+
 def replay_images() -> Callable:
     """Replay for images: the file's stem, and a digest of its bytes."""
     return replay(lambda key, prompt, content: (key.partition(".")[0], hashlib.md5(content).hexdigest()))
