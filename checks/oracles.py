@@ -564,6 +564,7 @@ a as (select *, sum(n) over ({over}) as nn, sum(n * mean) over ({over}) / sum(n)
 t as (select *, sum(n * (mean - mm) * (mean - mm)) over ({over}) as between_, sum(m2) over ({over}) as within_ from a)"""
 
 
+ORACLES["annotate_resumed"] = ORACLES["annotate_text"]
 ORACLES["lookup_values"] = with_(
     "w as (select doc_id, unnest(list_distinct([x for x in [source, lang] if x is not null])) as word from documents)",
     "l as (select distinct lang as word, ascii(lang)::double as value from documents where lang is not null)",

@@ -13,7 +13,7 @@ from checks.replay import MODELS, RUNS, table
 from replivote.functions import prompts, text, votes
 from replivote.operators import annotate as an
 from replivote.operators import consensus as con
-from replivote.operators import block, digits, fuzzy, grading, inference, items, report, reshape, tasks
+from replivote.operators import answer_store, block, digits, fuzzy, grading, inference, items, report, reshape, tasks
 from replivote.plans import abstracts, analysis
 from replivote.plans.voting import Voting, add_votes, long_votes
 from replivote.session import fresh_path, spread, written
@@ -258,6 +258,18 @@ def annotate_text(spark, sf_dir):
     return _annotated(spark, sf_dir)
 
 
+@query
+def annotate_resumed(spark, sf_dir):
+    """The same answers from a store: five of twelve units, then the rest in a second call."""
+    folder = fresh_path(spark, "answers")
+    asked = tasks.text_tasks(_texts(spark, sf_dir), PROMPT, "text").select("doc_id", "prompt")
+    for units in (5, None):
+        found = answer_store.annotate_resumable(
+            asked, MODELS, RUNS, replay.replay_texts(PROMPT), folder, key="doc_id", buckets=4, units=units
+        )
+    return found
+
+
 @query
 def annotate_images(spark, sf_dir):
     """The files' bytes are read where the answers are made."""
