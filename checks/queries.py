@@ -376,7 +376,7 @@ def consensus_set_by_source(spark, sf_dir):
 @query
 def consensus_fuzzy_by_source(spark, sf_dir):
     """Two words chosen from each whole text, so that a source's answers can all be compared in SQL."""
-    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir, short=True), ["source"], order="order", block=128)
+    return fuzzy.consensus_fuzzy(_by_source(spark, sf_dir, short=True), ["source"], order="order", block=1024)
 
 
 def consensus_fuzzy_by_source_texts(spark, sf_dir):
