@@ -298,6 +298,7 @@ _THEMES = "(values " + ", ".join(f"({q(k)})" for k in prompts.ABSTRACT_PROMPTS)
 ORACLES: dict[str, str] = {
     "scan_csv": "select * from documents",
     "scan_workbooks": "select * from conversations",
+    "sink_workbooks": "select * from documents",
     "scan_folder": "select * from conversations",
     "scan_images": with_(
         M, then="select image, octet_length(encode(html))::bigint as length from names join pages using (page_id) "

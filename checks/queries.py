@@ -18,7 +18,7 @@ from replivote.plans import abstracts, analysis
 from replivote.plans.voting import Voting, add_votes, long_votes
 from replivote.session import fresh_path, spread, written
 from replivote.sources import images as img
-from replivote.sources import tables, workbooks
+from replivote.sources import tables, workbook_sink, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,6 +71,15 @@ def scan_folder(spark, sf_dir):
     return tables.scan_folder(spark, folder, turns.schema)
 
 
+@query
+def sink_workbooks(spark, sf_dir):
+    """All documents as workbooks, a file per split of the table, texts beyond a cell's size in further rows; and back."""
+    folder = fresh_path(spark, "sink")
+    cut = workbook_sink.long_cells(spread(table(spark, sf_dir, "documents")), ["text"])
+    workbook_sink.write_workbooks(cut, folder)
+    return workbook_sink.whole_cells(workbooks.scan_workbooks(spark, folder, cut.schema), "doc_id", ["text"])
+
+
 @query
 def union_by_name(spark, sf_dir):
     return tables.union_by_name([table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")])

@@ -1,118 +1,7 @@
-"""Workbooks written as fixtures: one file per partition, as the scans expect to find them."""
+"""Workbooks that queries and tests write before they scan them."""
 
 from __future__ import annotations
 
-import re
-import zipfile
-from collections.abc import Iterator
-from xml.sax.saxutils import escape
+from replivote.sources.workbook_sink import file_system, write_workbooks
 
-import pyarrow as pa
-from pyarrow import fs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Names the file format prescribes.
-_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-_TYPES = (
-    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-    '<Override PartName="/xl/workbook.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-    '<Override PartName="/xl/worksheets/sheet1.xml" '
-    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>'
-)
-_ROOT_RELS = (
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
-    'Target="xl/workbook.xml"/></Relationships>'
-)
-_BOOK = (
-    '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
-    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
-    '<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
-)
-_BOOK_RELS = (
-    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" '
-    'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
-    'Target="worksheets/sheet1.xml"/></Relationships>'
-)
-_MAX_ROWS = 1_048_575  # data rows a sheet can hold under its header
-_MAX_CELL = 32_767  # characters a cell can hold
-
-
-def file_system(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder named with its scheme, as ``fresh_path`` does."""
-    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", folder) if ":" in folder else f"file://{folder}")
-
-
-def _escape(value: str) -> str:
-    value = re.sub(r"_(?=x[0-9A-Fa-f]{4}_)", "_x005F_", value)
-    return escape(re.sub("[\x00-\x08\x0b-\x0d\x0e-\x1f\ufffe\uffff]", lambda m: f"_x{ord(m[0]):04X}_", value))
-
-
-def _letters(index: int) -> str:
-    name = ""
-    index += 1
-    while index:
-        index, rest = divmod(index - 1, 26)
-        name = chr(ord("A") + rest) + name
-    return name
-
-
-def _xml_row(number: int, values) -> str:
-    cells = []
-    for i, value in enumerate(values):
-        if value is None or value != value:
-            continue
-        at = f'r="{_letters(i)}{number}"'
-        if isinstance(value, bool):
-            cells.append(f'<c {at} t="b"><v>{int(value)}</v></c>')
-        elif isinstance(value, (int, float)):
-            cells.append(f"<c {at}><v>{value!r}</v></c>")
-        else:
-            text = str(value)
-            if len(text) > _MAX_CELL:
-                raise ValueError(f"a workbook cell holds at most {_MAX_CELL} characters; write Parquet or CSV instead")
-            cells.append(f'<c {at} t="inlineStr"><is><t xml:space="preserve">{_escape(text)}</t></is></c>')
-    return f'<row r="{number}">{"".join(cells)}</row>'
-
-
-def write_workbooks(table: DataFrame, folder: str) -> int:
-    """Write one workbook per partition into a shared folder; returns the number of rows.
-
-    File names come from the partition number, and a file appears under its name in
-    one move, so a repeated task replaces its own files and adds none.
-    """
-    names = table.columns
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        system, root = file_system(folder)
-        system.create_dir(root)
-        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
-        row = next(rows, None)
-        number = 0
-        while row is not None:
-            name = f"{root}/part-{context.partitionId():05d}-{number}"
-            partial = f"{name}.{context.taskAttemptId()}.tmp"
-            with system.open_output_stream(partial) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-                book.writestr("[Content_Types].xml", _TYPES)
-                book.writestr("_rels/.rels", _ROOT_RELS)
-                book.writestr("xl/workbook.xml", _BOOK)
-                book.writestr("xl/_rels/workbook.xml.rels", _BOOK_RELS)
-                with book.open("xl/worksheets/sheet1.xml", "w") as part:
-                    part.write(f'<worksheet xmlns="{_MAIN}"><sheetData>'.encode())
-                    part.write(_xml_row(1, names).encode())
-                    written = 0
-                    while row is not None and written < _MAX_ROWS:
-                        written += 1
-                        part.write(_xml_row(written + 1, row).encode())
-                        row = next(rows, None)
-                    part.write(b"</sheetData></worksheet>")
-            system.move(partial, f"{name}.xlsx")
-            number += 1
-            yield pa.RecordBatch.from_pydict({"n_rows": [written]})
-
-    return table.mapInArrow(write, "n_rows long").agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+__all__ = ["file_system", "write_workbooks"]

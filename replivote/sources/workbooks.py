@@ -83,23 +83,32 @@ def _cell(cell, strings: list[str], dates: set[int]):
     return int(raw) if re.fullmatch(r"-?\d+", raw) else number
 
 
+def _streamed(part, around: str, tag: str) -> Iterator:
+    """Elements of a part one by one; what has been handed out is let go, so the tree never grows."""
+    parent = None
+    for event, node in ElementTree.iterparse(part, ("start", "end")):
+        if event == "start":
+            parent = node if node.tag == _MAIN + around else parent
+        elif node.tag == _MAIN + tag:
+            yield node
+            parent.clear()
+
+
 def read_workbook(content: bytes, sheet: str | None = None) -> Iterator[list]:
     """Rows of one sheet, the header first, streamed from the sheet's XML."""
     with zipfile.ZipFile(BytesIO(content)) as book:
         strings = []
         if "xl/sharedStrings.xml" in book.namelist():
-            strings = [_text(si) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+            with book.open("xl/sharedStrings.xml") as part:
+                strings = [_text(si) for si in _streamed(part, "sst", "si")]
         dates = _date_styles(book)
         with book.open(_sheet_path(book, sheet)) as part:
-            for _, node in ElementTree.iterparse(part):
-                if node.tag != f"{_MAIN}row":
-                    continue
+            for node in _streamed(part, "sheetData", "row"):
                 row: list = []
                 for cell in node.iter(f"{_MAIN}c"):
                     at = _column_index(cell.get("r")) if cell.get("r") else len(row)
                     row += [None] * (at - len(row))
                     row.append(_cell(cell, strings, dates))
-                node.clear()
                 yield row
 
 

@@ -1,11 +1,12 @@
 import zipfile
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import workbook_files
-from replivote.sources import images, tables, workbooks
+from replivote.sources import images, tables, workbook_sink, workbooks
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 
@@ -149,3 +150,51 @@ def test_cells_of_another_type_are_null(spark, tmp_path):
     workbook_files.write_workbooks(df, str(tmp_path))
     got = workbooks.scan_workbooks(spark, str(tmp_path), "a double, b long, c string").collect()
     assert sorted(map(tuple, got), key=str) == [(1.7, None, "3"), (None, 2, "4")]
+
+
+def test_workbook_sink_cuts_full_sheets_and_appends(spark, tmp_path):
+    df = spark.range(10).select("id", F.concat(F.lit("t"), "id").alias("t")).coalesce(1)
+    folder = tmp_path / "w"
+    assert workbook_sink.write_workbooks(df, str(folder), max_rows=5) == 10
+    assert sorted(f.name for f in folder.iterdir() if f.suffix == ".xlsx") == [f"part-00000-{k}.xlsx" for k in range(3)]
+    (folder / "mine.xlsx").write_bytes((folder / "part-00000-2.xlsx").read_bytes())
+    assert workbook_sink.write_workbooks(df, str(folder), mode="append") == 10
+    got = workbooks.scan_workbooks(spark, str(folder), df.schema)
+    assert sorted(r.id for r in got.collect()) == sorted([*range(10), *range(10), 8, 9])
+    assert workbook_sink.write_workbooks(df, str(folder)) == 10
+    assert sorted(f.name for f in folder.iterdir() if f.suffix == ".xlsx") == ["mine.xlsx", "part-00000-0.xlsx"]
+    assert not [f for f in folder.iterdir() if f.name.startswith("_writing")]
+
+
+def test_workbook_sink_empty_table_dates_and_odd_values(spark, tmp_path):
+    schema = "d date, t timestamp, x double, m decimal(10,2), s string"
+    day, time = datetime(2024, 2, 29).date(), datetime(2024, 2, 29, 13, 5, 7)
+    rows = [(day, time, float("inf"), Decimal("1.25"), ""), (None, None, float("nan"), None, None)]
+    df = spark.createDataFrame(rows, schema)
+    workbook_sink.write_workbooks(df.coalesce(1), str(tmp_path / "a"))
+    got = workbooks.scan_workbooks(spark, str(tmp_path / "a"), "d timestamp, t timestamp, x double, m double, s string").collect()
+    assert [tuple(r) for r in got] == [(datetime(2024, 2, 29), time, float("inf"), 1.25, "")]  # a row of empty cells is no row
+    assert workbook_sink.write_workbooks(df.limit(0), str(tmp_path / "b")) == 0
+    assert workbooks.scan_workbooks(spark, str(tmp_path / "b")).count() == 0 and (tmp_path / "b" / "part-00000-0.xlsx").exists()
+    with pytest.raises(Exception, match="nested"):
+        workbook_sink.write_workbooks(spark.createDataFrame([([1],)], "a array<int>"), str(tmp_path / "c"))
+
+
+def test_a_failed_workbook_write_leaves_what_was_there(spark, tmp_path):
+    good = spark.createDataFrame([("kept",)], "s string")
+    workbook_sink.write_workbooks(good, str(tmp_path / "w"))
+    bad = spark.createDataFrame([("fine",), ("x" * 40000,)], "s string").repartition(2)
+    with pytest.raises(Exception, match="32767"):
+        workbook_sink.write_workbooks(bad, str(tmp_path / "w"))
+    assert [r.s for r in workbooks.scan_workbooks(spark, str(tmp_path / "w"), "s string").collect()] == ["kept"]
+    assert not [f for f in (tmp_path / "w").iterdir() if f.name.startswith("_writing")]
+
+
+def test_long_cells_and_back(spark, tmp_path):
+    texts = ["", None, "a" * 16383, "b" * 16384, "\U0001f600" * 40000, " x\n" * 20000]
+    df = spark.createDataFrame([(i, t, "k", None if i % 2 else t) for i, t in enumerate(texts)], "id long, `t.t` string, k string, u string")
+    cut = workbook_sink.long_cells(df, ["t.t", "u"])
+    assert cut.count() == 1 + 1 + 1 + 2 + 3 + 4
+    workbook_sink.write_workbooks(cut, str(tmp_path / "w"))
+    back = workbook_sink.whole_cells(workbooks.scan_workbooks(spark, str(tmp_path / "w"), cut.schema), "id", ["t.t", "u"])
+    assert back.columns == df.columns and sorted(back.collect()) == sorted(df.collect())
