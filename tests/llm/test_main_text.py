@@ -86,3 +86,66 @@ def test_class_words_with_path_marks_and_deep_pages():
     page = f"<body><div class='w-1/2 a.b'>{STORY}</div></body>"
     assert extraction.extract(page, None).startswith("story text")
     assert extraction.extract("<div>" * 2000 + STORY, None).startswith("story text")
+
+
+# comments, adverts and what is not shown
+
+TALK = "<p>" + "reader's words " * 200 + "</p>"
+WHOLE_STORY = " ".join(STORY[3:-4].split())
+
+
+def test_readers_comments_are_not_the_article(spark):
+    reply = f"<article class=comment-body>{TALK}</article>"
+    layouts = [
+        f"<main><article class=post><h1>T</h1>{STORY}</article><div id=comments class=comments-area><h2>Comments</h2>{reply * 5}</div></main>",
+        f"<main><article class=post><h1>T</h1>{STORY}<section id=comments>{TALK}</section></article></main>",
+        f"<article class=post><h1>T</h1>{STORY}<div class=comment-list><ol><li id=c1>{TALK}<ul><li>{TALK}</li></ul></li></ol></div></article>",
+        f"<article class=post><h1>T</h1>{STORY}<ol><li class=comment>{TALK}<ol><li>{TALK}</li></ol><li class=comment>{TALK}</ol></article>",
+        f"<article><h1>T</h1>{STORY}<div class='post-comments wide'>{TALK}</div></article><article class='comment odd'>{TALK}</article>",
+        f"<div class=content><h1>T</h1>{STORY}<div id=disqus_thread>{TALK}</div></div><div class=comment-respond><form>Say it</form></div>",
+    ]
+    pages = [(f"http://h{k}/{n}", f"<body><nav>menu</nav>{page}</body>") for k, page in enumerate(layouts) for n in range(3)]
+    assert texts(spark, pages) == [f"T {WHOLE_STORY}"] * len(pages)
+
+
+JUNK = (
+    "div class=ad-slot", "div class=google-ads", "div class=share-buttons", "div class=cookie-notice", "div class=related-posts", "div class=newsletter-signup",
+    "p class=advert", "li class=sponsored", "div role=navigation", "ul role='menu'", "div hidden", "p hidden=''", "div style='color:red; display: none'",
+    "article class=teaser", "article class='card related-post'",
+)
+
+
+def test_what_is_named_or_hidden_as_no_part_of_the_article(spark):
+    pages = []
+    for frame in ("<article><h1>T</h1>{}</article>", "<div class=content><h1>T</h1>{}</div>"):
+        for junk in JUNK:
+            page = frame.format(f"<{junk}><b>not</b><br>this</{junk.split()[0]}>{STORY}<{junk}>nor this<br>one</{junk.split()[0]}>")
+            pages.append((f"http://h{len(pages)}/", f"<body>{page}</body>"))
+    assert texts(spark, pages) == [f"T {WHOLE_STORY}"] * len(pages)
+
+
+def test_names_that_only_sound_alike_are_kept(spark):
+    names = ["class=side-effects", "class=ad-hoc", "class=social-history", "class='w-full shared-memory'", "data-hidden=1", "aria-hidden=true", "class=hidden-figures"]
+    body = "".join(f"<div {n}><p>{n[-5:].strip('=')} {'kept ' * 9}</p></div>" for n in names)
+    (text,) = texts(spark, [("http://h/", f"<body><article>{STORY}{body}</article></body>")])
+    assert text.count("kept") == 9 * len(names)
+
+
+def test_an_unclosed_paragraph_of_an_advert_ends_at_the_next_block():
+    page = f"<article><h1>T</h1><p class=advert>Buy<br>now<p>first</p>{STORY}<ul><li class=ad>Buy<li>second</ul></article>"
+    assert extraction.extract(page, None) == f"T first {WHOLE_STORY} second"
+
+
+def test_deeply_nested_named_tags_take_little_memory():
+    import tracemalloc
+
+    page = "<div class='row item'>" * 20_000 + STORY + "</section></b>" * 20_000
+    tracemalloc.start()
+    assert extraction.extract(page, None) == WHOLE_STORY
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_a_very_long_page_is_whole(spark):
+    page = f"<body><article>{STORY * 20_000}</article><div class=comments>{TALK}</div></body>"
+    assert texts(spark, [("http://h/", page), ("http://h/", page), (None, None)]) == [" ".join([WHOLE_STORY] * 20_000)] * 2 + [""]
