@@ -172,13 +172,15 @@ def secrets(docs: DataFrame, text: str = "text", rate: float = 0.01) -> DataFram
 
     Spans are the patterns' and, as ``random``, tokens of 20 and more characters that are
     not refused as random (see ``cuts``); they overlap no pattern. Null text counts as
-    empty. Every row is returned, repeated ones too; input columns of these names are replaced.
+    empty. Every row is returned, repeated ones too; input columns of these names are replaced, all others kept.
     """
-    found = stored(scanned(docs, text), "tokens")
+    names = [f"n_{k}" for k in KINDS[:3]] + ["base_sha256", "spans"]
+    kept = [quoted(c) for c in docs.columns if c.lower() not in (text.lower(), *names)]
+    held = docs.select(F.struct(*kept).alias("row"), F.col(quoted(text)).alias("text"))  # no name of the input's meets one of ours
+    found = stored(scanned(held), "tokens")
     limits = {r["stratum"]: r["cut"] for r in cuts(found, rate).collect()}  # encodings times lengths' powers of two
     fields = [T.StructField(f"n_{k}", T.LongType()) for k in KINDS[:3]]
     fields += [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
-    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +196,5 @@ def secrets(docs: DataFrame, text: str = "text", rate: float = 0.01) -> DataFram
                 [batch.column("row"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["row", *names]
             )
 
-    kept = [quoted(c) for c in found.columns if c not in ("base", "tokens") and c.lower() not in names]
-    packed = found.select(F.struct(*kept).alias("row"), "base", "tokens")
-    schema = T.StructType([packed.schema["row"], *fields])
-    return packed.mapInArrow(run, schema).select("row.*", *names)
+    schema = T.StructType([found.schema["row"], *fields])
+    return found.select("row", "base", "tokens").mapInArrow(run, schema).select("row.*", *names)

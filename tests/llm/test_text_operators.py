@@ -310,7 +310,7 @@ SECRETS = [
 def test_secrets(spark):
     rows = [(i, t, "x") for i, t in enumerate(SECRETS)] + [(2, SECRETS[2], "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, base string")
-    got = {r["doc_id"]: r for r in randomness.secrets(df.drop("base")).collect()}
+    got = {r["doc_id"]: r for r in randomness.secrets(df).collect()}
     for k, text in enumerate(SECRETS):
         want = plain.secrets(text or "")
         assert [got[k][f"n_{n}"] for n in want] == [len(v) for v in want.values()]
@@ -451,5 +451,11 @@ def test_extra_columns_of_any_name(spark, model):
     chain = toxicity.Chain(["toxic"], [{"x": 0}], [np.array([0.0, 0.0, 1.0])])
     for out in (minhash.deduplicated(df), contamination.decontaminate(df, items), pii.masked(df, model), mixing.mix(df)):
         assert out.columns == df.columns and out.where("doc_id = 1").first()["a.b"] == "d"
-    for out in (pii.personal_data(df, model), randomness.secrets(df.drop("base")), toxicity.judged(df, chain), extraction.main_text(df)):
+    for out in (pii.personal_data(df, model), randomness.secrets(df), toxicity.judged(df, chain), extraction.main_text(df)):
         assert out.where("doc_id = 1").first()["a.b"] == "d" and out.count() == 2
+
+
+def test_secrets_keep_columns_named_like_inner_ones(spark):
+    df = spark.createDataFrame([(1, "password=abcdefgh12345", "b", 7, "r")], "doc_id long, text string, base string, tokens long, row string")
+    (got,) = randomness.secrets(df).collect()
+    assert (got["base"], got["tokens"], got["row"], got["n_assign"]) == ("b", 7, "r", 1)
