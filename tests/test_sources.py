@@ -198,3 +198,62 @@ def test_long_cells_and_back(spark, tmp_path):
     workbook_sink.write_workbooks(cut, str(tmp_path / "w"))
     back = workbook_sink.whole_cells(workbooks.scan_workbooks(spark, str(tmp_path / "w"), cut.schema), "id", ["t.t", "u"])
     assert back.columns == df.columns and sorted(back.collect()) == sorted(df.collect())
+
+
+def odd_table(spark, rows=400):
+    """Cells of quotes, commas, line breaks of both kinds, and nothing."""
+    import random
+
+    local = random.Random(5)
+    bits = ["a", "b c", '"', '""', ",", "\n", "\r\n", '","', '"\n"', " ", "é", "\U0001f600", ""]
+    cells = [("".join(local.choices(bits, k=local.randint(0, 8))), local.choice([None, "x", '5" pipe', "line\nbreak" * 9])) for _ in range(rows)]
+    return [(i, a or None, b) for i, (a, b) in enumerate(cells)]
+
+
+@pytest.mark.parametrize("split, block", [("150b", 16), ("400b", 1 << 20), ("1m", 50)])
+def test_one_csv_file_is_read_by_several_tasks(spark, tmp_path, split, block):
+    import csv
+    import io
+
+    from replivote.sources.csv_records import csv_records
+
+    rows = odd_table(spark, 60)
+    for name, end in (("a.csv", "\n"), ("b.csv", "\r\n")):
+        with open(tmp_path / name, "w", newline="", encoding="utf-8") as out:
+            csv.writer(out, lineterminator=end).writerows([("id", "long\nname", "c"), *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = csv_records(spark, str(tmp_path), block)  # the lines are split and stored here
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    parsed = sorted((r.file[-5:], r.header, *next(csv.reader(io.StringIO(r.record, newline="")))) for r in got.collect())
+    want = [(f, False, str(i), a or "", b or "") for f in ("a.csv", "b.csv") for i, a, b in rows]
+    assert parsed == sorted(want + [(f, True, "id", "long\nname", "c") for f in ("a.csv", "b.csv")])
+
+
+def test_csv_values_equal_those_of_a_whole_file_scan(spark, tmp_path):
+    rows = spark.createDataFrame(odd_table(spark), "id long, a string, b string")
+    tables.write_table(rows.coalesce(1), str(tmp_path / "t"), "csv")
+    got = tables.scan_csv(spark, str(tmp_path / "t"), rows.schema)
+    plain = spark.read.option("multiLine", True).option("escape", '"').option("header", True).schema(rows.schema).csv(str(tmp_path / "t"))
+    assert sorted(got.collect()) == sorted(plain.collect()) and got.count() == 400
+
+
+def test_quotes_of_a_line():
+    from replivote.sources.csv_records import ends_inside
+
+    outside = {b"": False, b'a,"b': True, b'a"b': False, b'5" pipe,x': False, b'"a""': True, b'"a"""': False, b'"a"b",c': False, b'"a", "b': False, b'x,"': True}
+    assert {line: ends_inside(line, False) for line in outside} == outside
+    inside = {b"": True, b'a"': False, b'a""': True, b'a","b': True, b'a",b': False, b'",""': False, b'"': False}
+    assert {line: ends_inside(line, True) for line in inside} == inside
+
+
+def test_csv_headers_that_lack_repeat_or_mark(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("﻿id,,id,text\r\n1,2,3,x\r\n\r\n4,,,\r\n".encode())
+    (tmp_path / "none.csv").write_bytes(b"")
+    (tmp_path / "only.csv").write_bytes(b"text,id\n")
+    for multi_line in (True, False):
+        got = tables.scan_csv(spark, str(tmp_path), "id long, _c1 int, text string, absent date", multi_line)
+        assert sorted(map(tuple, got.collect())) == [(1, 2, "x", None), (4, None, None, None)]
