@@ -385,6 +385,14 @@ from (select doc_id, item, min(pos) as pos
     "consensus_words_by_source": with_(
         R, word_vote("w", "source", BY_SOURCE, words("response"), "response is not null"), then="select source, consensus, confidence from w"
     ),
+    "consensus_words_in_parts": with_(
+        R,
+        word_vote("w", "source", BY_SOURCE, words("response"), "response is not null"),
+        """p as (
+  select source, word, f, sum(length(word) + 1) over (partition by source order by f) - length(word) - 1 as before_it from w_c where ct > 1),
+l as (select source, (before_it // 1000)::bigint as part, string_agg(word, ' ' order by f) as words from p group by 1, 2)""",
+        then="select source, coalesce(part, 0) as part, coalesce(words, consensus) as consensus, confidence from w left join l using (source)",
+    ),
     "consensus_simple": with_(R, simple("w", "doc_id, model", WITHIN), then=f"select doc_id, model, {RESULT} from w"),
     "consensus_words": with_(
         R,

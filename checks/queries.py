@@ -401,6 +401,12 @@ def consensus_words_by_source(spark, sf_dir):
     return con.consensus_words(_by_source(spark, sf_dir), ["source"], order="order")
 
 
+@query
+def consensus_words_in_parts(spark, sf_dir):
+    """The words that all answers of a source share, in rows of 1,000 characters."""
+    return con.consensus_words_in_parts(_by_source(spark, sf_dir), ["source"], order="order", size=1000)
+
+
 @query
 def pair_similarity(spark, sf_dir):
     """Every distinct answer against the first answer of its item and model."""

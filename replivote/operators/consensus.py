@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, ShortType
 
@@ -19,6 +19,7 @@ from replivote.functions.rounding import ratio3
 from replivote.functions.votes import check_mode
 from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.operators.fuzzy import consensus_fuzzy
+from replivote.session import written
 
 
 def _modal_per_key(distinct: DataFrame, keys: Sequence[str], empty: str) -> DataFrame:
@@ -171,6 +172,68 @@ def consensus_words_documented(votes: DataFrame, keys: Sequence[str], *, respons
     )
 
 
+def _word_parts(words: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Shared words of each key, joined in first-seen order, as rows ``part, words`` of about ``size`` characters.
+
+    The words are dealt by range of key and place, so a hot key's are spread over the partitions; each
+    knows from the lengths before it, one row per partition and key, where its words belong.
+    """
+    order = [F.col("_first"), F.col("_item")]
+    shared = words.where(F.col("_item").isNotNull() & (F.col("_ct") > 1)).select(*keys, *order)
+    dealt = shared.repartitionByRange(*keys, *order).withColumn("_deal", F.spark_partition_id())
+    dealt = written(dealt.withColumn("_long", F.length("_item") + F.lit(1).cast("long")), "shared_words")
+    within = Window.partitionBy(*keys, "_deal").orderBy(*order)
+    earlier = Window.partitionBy(*keys).orderBy("_deal")
+    lengths = dealt.groupBy(*keys, "_deal").agg(F.sum("_long").alias("_sum"))
+    lengths = lengths.withColumn("_from", F.sum("_sum").over(earlier) - F.col("_sum")).drop("_sum")
+    placed = dealt.withColumn("_at", F.sum("_long").over(within) - F.col("_long"))
+    at = F.col("_at") + F.col("_from")
+    dealt_keys = [*keys, "_deal"]
+    numbered = _left_join(placed, lengths, dealt_keys).withColumn("part", F.floor(at / F.lit(size)).cast("long"))
+    listed = numbered.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct("_first", "_item"))).alias("_words"))
+    return listed.select(*keys, "part", F.array_join(F.transform("_words", lambda t: t["_item"]), " ").alias("_words"))
+
+
+@plain_keys
+def consensus_words_in_parts(
+    votes: DataFrame, keys: Sequence[str], *, response="response", order="run", size: int = 1 << 20, documented: bool = False
+) -> DataFrame:
+    """The word vote with long results in numbered rows: ``part, consensus, confidence`` per key.
+
+    No row holds more than ``size`` characters and one word, however many words a hot key's answers
+    share. The parts of a key joined by blanks in order of ``part`` are the ``consensus`` of ``consensus_words``
+    (or ``consensus_words_documented``). Parts rise from 0; a word longer than ``size`` leaves a gap after it.
+    """
+    if documented:
+        answers = answers_of(votes, keys, response, order, errors_vote=True).withColumn("_said", text.normalize_light(F.col("_said")))
+        parts = F.split("_said", " ")
+        whole = _modal_per_key(distinct_answers(answers, keys, F.col("_said")), keys, "no consensus")
+    else:
+        answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
+        parts = text.tokenize(F.col("_said"))
+        whole = None
+    words = written(_items(answers, keys, F.coalesce(parts, F.array().cast("array<string>"))), "words")
+    word = F.col("_item").isNotNull()
+    counts = words.groupBy(*keys).agg(
+        F.count(F.when(word & (F.col("_ct") > 1), 1)).alias("_shared"), F.count(F.when(word, 1)).alias("_distinct")
+    )
+    some, other, score = F.col("_shared") > 0, F.lit("no consensus"), F.lit(0.0)
+    if whole is not None:
+        counts = _left_join(whole, counts, keys)
+        some, other, score = some & (F.col("n_responses") != 1), F.col("consensus"), F.col("confidence")
+        score = F.when(F.col("n_responses") == 1, 1.0).otherwise(score)
+    counts = counts.select(
+        *keys,
+        F.coalesce(some, F.lit(False)).alias("_some"),
+        other.alias("_other"),
+        F.when(some, F.col("_shared") / F.col("_distinct")).otherwise(score).alias("confidence"),
+    )
+    # the left side holds all parts of a hot key: the adaptive planner splits it
+    long = _left_join(_word_parts(words, keys, size), counts, keys).where("_some")
+    single = counts.where("not _some").select(*keys, F.lit(0).cast("long").alias("part"), F.col("_other").alias("consensus"), "confidence")
+    return long.select(*keys, "part", F.col("_words").alias("consensus"), "confidence").unionByName(single)
+
+
 def consensus(votes: DataFrame, keys: Sequence[str], mode: str = "exact", threshold: float = 85, **options) -> DataFrame:
     """Consensus per key in one of the three modes."""
     if check_mode(mode) == "fuzzy":

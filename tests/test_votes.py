@@ -152,6 +152,21 @@ def test_words_documented(spark):
     assert in_row[8] == ("one", 1.0) and in_row[6] == ("a", 0.333) and in_row[7] == ("no consensus", 0.0)
 
 
+@pytest.mark.parametrize("documented", [False, True])
+def test_words_in_parts(spark, documented):
+    vote = con.consensus_words_documented if documented else con.consensus_words
+    df, _ = hot(spark)
+    everything = long(spark).select("id", "run", "response").unionByName(df.withColumn("id", F.col("id") + 100))
+    everything = everything.unionByName(df.where("id = 0").withColumn("id", F.lit(None).cast("int")))
+    joined, most = {}, 0
+    for row in con.consensus_words_in_parts(everything, ["id"], size=40, documented=documented).orderBy("part").collect():
+        text, score = joined.get(row["id"], (None, row["confidence"]))
+        assert score == row["confidence"] and (len(row["consensus"]) <= 50 or text is None)
+        joined[row["id"]] = (row["consensus"] if text is None else f"{text} {row['consensus']}", score)
+        most = max(most, row["part"])
+    assert joined == found(vote(everything, ["id"])) and most > 3
+
+
 def test_simple(spark):
     expected = {k: plain.simple(a) for k, a in CASES.items()}
     assert found(con.consensus_simple(long(spark), ["id"])) == expected
