@@ -149,7 +149,7 @@ def csv_records(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").text(path)
     lines = lines.select("_metadata.file_path", "_metadata.file_block_start", F.col("value").cast("binary").alias("value"))
     blocks = written(lines.mapInArrow(lambda batches: _blocks(batches, block), _BLOCKS), "csv_blocks")
-    starts = _range_starts(blocks)
+    starts = written(_range_starts(blocks), "csv_ranges")  # its size is known then, so that the blocks need not be shuffled to meet it
     case = lambda name: F.when(F.col("begun"), F.col(f"{name}1")).otherwise(F.col(f"{name}0")).alias(name)
     placed = blocks.join(starts, ["file", "start"]).select("file", "start", "n", "lines", case("inside"), case("origin"), "first", "block")
     within = F.col("origin") >= 0
