@@ -404,7 +404,8 @@ def consensus_words_by_source(spark, sf_dir):
 @query
 def consensus_words_in_parts(spark, sf_dir):
     """The words that all answers of a source share, in rows of 1,000 characters."""
-    return con.consensus_words_in_parts(_by_source(spark, sf_dir), ["source"], order="order", size=1000)
+    said = _by_source(spark, sf_dir).withColumn("order", F.col("doc_id") * 1000 + F.col("run") * 10 + F.col("model_idx"))
+    return con.consensus_words_in_parts(said, ["source"], order="order", size=1000)
 
 
 @query

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, ShortType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
@@ -56,9 +56,12 @@ def consensus_simple(votes: DataFrame, keys: Sequence[str], *, response="respons
 def _place(answers: DataFrame) -> Column:
     """Answer order, then position inside the answer, as one value that sorts that way.
 
-    A 32-bit order and the position fit in one long, which keeps the counting in
-    hash aggregation; any other order type falls back to a struct.
+    A 32-bit order and the position fit in one long, a 64-bit order in a decimal; both keep the
+    counting in hash aggregation. Any other order type falls back to a struct, whose minimum
+    sorts all items.
     """
+    if isinstance(answers.schema["_order"].dataType, LongType):
+        return (F.col("_order").cast("decimal(20,0)") * F.lit(1 << 32) + F.col("_pos")).cast("decimal(38,0)")
     if isinstance(answers.schema["_order"].dataType, (ByteType, ShortType, IntegerType)):
         return F.col("_order").cast("long") * (1 << 32) + F.col("_pos")
     return F.struct("_order", "_pos")

@@ -152,12 +152,13 @@ def test_words_documented(spark):
     assert in_row[8] == ("one", 1.0) and in_row[6] == ("a", 0.333) and in_row[7] == ("no consensus", 0.0)
 
 
-@pytest.mark.parametrize("documented", [False, True])
-def test_words_in_parts(spark, documented):
+@pytest.mark.parametrize("documented, order", [(False, "long"), (True, "int"), (False, "string")])
+def test_words_in_parts(spark, documented, order):
     vote = con.consensus_words_documented if documented else con.consensus_words
     df, _ = hot(spark)
     everything = long(spark).select("id", "run", "response").unionByName(df.withColumn("id", F.col("id") + 100))
     everything = everything.unionByName(df.where("id = 0").withColumn("id", F.lit(None).cast("int")))
+    everything = everything.withColumn("run", F.col("run").cast(order))
     joined, most = {}, 0
     for row in con.consensus_words_in_parts(everything, ["id"], size=40, documented=documented).orderBy("part").collect():
         text, score = joined.get(row["id"], (None, row["confidence"]))
