@@ -216,3 +216,18 @@ def test_votes_take_keys_of_any_name(spark, vote):
     said = spark.createDataFrame([("k", i, "a b" if i else "a, b") for i in range(5)], "`my.key` string, run int, response string")
     got = getattr(consensus, vote)(said, ["my.key"]).collect()
     assert len(got) == 1 and got[0]["my.key"] == "k"
+
+
+def test_batches_of_long_prompts_are_bounded_by_bytes(spark):
+    def open_responder():
+        def respond(model, run, batch):
+            return [f"{k}:{sum(map(len, batch['prompt']))}" for k in batch["key"]]
+
+        return respond
+
+    prompts = ["x" * 300, "x" * 300, None, "x" * 300, "x" * 5000, "", "x" * 1000]
+    df = spark.createDataFrame(list(enumerate(prompts)), "id long, prompt string").coalesce(1)
+    got = an.annotate(df, ["a", "b"], 2, open_responder, key="id", batch_bytes=4000).orderBy("id").collect()
+    # 1,000 bytes of prompts for each of four answers; a longer one stands alone
+    assert [r["answers"][0] for r in got] == ["0:900", "1:900", None, "3:900", "4:5000", "5:1000", "6:1000"]
+    assert all(len(set(r["answers"])) == 1 for r in got)
