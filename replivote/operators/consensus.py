@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, ShortType
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
@@ -56,13 +56,16 @@ def consensus_simple(votes: DataFrame, keys: Sequence[str], *, response="respons
 def _place(answers: DataFrame) -> Column:
     """Answer order, then position inside the answer, as one value that sorts that way.
 
-    A 32-bit order and the position fit in one long, a 64-bit order in a decimal; both keep the
-    counting in hash aggregation. Any other order type falls back to a struct, whose minimum
-    sorts all items.
+    A 32-bit order and the position fit in one long, a 64-bit order or a whole number of up to 28
+    digits in a decimal; both keep the counting in hash aggregation. Any other order type falls back
+    to a struct, whose minimum sorts all items.
     """
-    if isinstance(answers.schema["_order"].dataType, LongType):
+    kind = answers.schema["_order"].dataType
+    if isinstance(kind, DecimalType) and kind.scale == 0 and kind.precision <= 28:
+        return (F.col("_order").cast("decimal(28,0)") * F.lit(1 << 32) + F.col("_pos")).cast("decimal(38,0)")
+    if isinstance(kind, LongType):
         return (F.col("_order").cast("decimal(20,0)") * F.lit(1 << 32) + F.col("_pos")).cast("decimal(38,0)")
-    if isinstance(answers.schema["_order"].dataType, (ByteType, ShortType, IntegerType)):
+    if isinstance(kind, (ByteType, ShortType, IntegerType)):
         return F.col("_order").cast("long") * (1 << 32) + F.col("_pos")
     return F.struct("_order", "_pos")
 
@@ -101,13 +104,20 @@ def consensus_set(
     named = F.col("_item").isNotNull()
     per_key = items.groupBy(*keys).agg(
         F.max(F.when(~named, F.col("_ct"))).alias("n_responses"),
-        F.min_by("_item", F.when(named, F.struct(-F.col("_ct"), F.col("_first")))).alias("_top"),
         F.max(F.when(named, F.col("_ct"))).alias("_best"),
+        F.max(F.when(named, F.col("_first"))).alias("_last"),
+    )
+    often, top = F.col("_ct") * 2 >= F.col("n_responses"), F.col("_ct") == F.col("_best")
+    # a key's row without an item stays, for keys that name none. The filter needs both sides and their places, so nothing
+    # is pushed below the counting, and both sides share one shuffle of items. A hot key's items are on the left side alone
+    wanted = F.when(named, (often | top) & (F.col("_first") <= F.col("_last"))).otherwise(F.col("n_responses").isNotNull())
+    able = _left_join(items, per_key, keys).where(wanted)
+    chosen = able.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(named & often, F.struct("_first", "_item", "_ct")))).alias("_chosen"),
+        F.min_by("_item", F.when(named & top, F.col("_first"))).alias("_top"),
+        F.max("_best").alias("_best"),
+        F.max("n_responses").alias("n_responses"),
     )
-    # the left side may hold a hot key's items: the adaptive planner splits it
-    often = _left_join(items.where(named), per_key.select(*keys, "n_responses"), keys).where(F.col("_ct") * 2 >= F.col("n_responses"))
-    gathered = often.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_first", "_item", "_ct"))).alias("_chosen"))
-    chosen = _left_join(per_key, gathered, keys)
     some = F.coalesce(F.size("_chosen") > 0, F.lit(False))
     total = F.aggregate("_chosen", F.lit(0).cast("long"), lambda acc, t: acc + t["_ct"])
     return chosen.select(

@@ -73,3 +73,10 @@ def test_similarity_column(spark):
     got = [r[0] for r in df.select(similarity.token_set_ratio(F.col("a"), F.col("b"))).collect()]
     assert got == [None if a is None else similarity.token_set_score(a, b) for a, b in pairs]
     assert got[3] == pytest.approx(88.888888, abs=1e-5)
+
+
+def test_every_white_space_collapses(spark):
+    texts = [f"a{c}{d}b{c}c, {c} d" for c in text.WHITE_SPACE for d in ("", " ", "\u2013")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", text.normalize(F.col("t")).alias("n"), F.array_join(text.split_set(F.col("t")), "|").alias("s")).collect()
+    assert all(r["n"] == " ".join(r["t"].split()) and r["s"] == "|".join(" ".join(p.split()) for p in r["t"].split(",")) for r in got)

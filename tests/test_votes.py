@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,18 @@ def test_set_vote_of_a_hot_key(spark):
     assert found(con.consensus_set(df, ["id"], max_votes=1000)) == expected
 
 
+def test_set_vote_by_long_numbers_sorts_no_items(spark):
+    df, by_key = hot(spark)
+    numbered = df.withColumn("order", (F.col("run") + F.lit(Decimal(10**26))).cast("decimal(28,0)"))
+    voted = con.consensus_set(numbered, ["id"], order="order")
+    assert found(voted) == {k: plain.vote(a, "set") for k, a in by_key.items()}
+    plan = voted._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    # a key none of whose answers names an item keeps its count
+    empty = spark.createDataFrame([(7, 0, ";"), (7, 1, ","), (8, 0, None)], "id int, run int, response string")
+    assert sorted(tuple(r) for r in con.consensus_set(empty, ["id"]).collect()) == [(7, "", 0.0, 2), (8, "", 0.0, 0)]
+
+
 def test_null_keys_form_one_key(spark):
     df = spark.createDataFrame([(None, i, "a") for i in range(30)] + [(1, 0, "b")], "id int, run int, response string")
     assert found(con.consensus_set(df, ["id"])) == {None: ("a", 1.0), 1: ("b", 1.0)}
