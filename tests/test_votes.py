@@ -237,3 +237,30 @@ def test_golden_pooled(spark):
     assert [tuple(r) for r in pooled.orderBy("Image").collect()] == [
         (r[0], *plain.vote(r[1:], "exact")) for r in GOLDEN
     ]
+
+
+def test_answers_are_taken_apart_once_and_compared_once(monkeypatch):
+    made, compared = [], []
+    profile, within = similarity._Profile, similarity._within
+
+    class Counted(profile):
+        def __init__(self, answer):
+            made.append(answer)
+            super().__init__(answer)
+
+    monkeypatch.setattr(similarity, "_Profile", Counted)
+    monkeypatch.setattr(similarity, "_within", lambda *a: compared.append(a) or within(*a))
+    said = ["red car", "red cat", "", "blue car red", "tree"]
+    got = similarity._leaders_among(said, [[0, 1], [0, 1, 3, 4, 2], [1, 0], [4], []], 85)
+    assert got == [[0, 0], [0, 0, 0, 3, 4], [0, 0], [0], []]
+    assert sorted(made) == sorted(said) and len(compared) == len(set(compared))
+
+
+@pytest.mark.parametrize("threshold", [0, 50, 85, 100, 101])
+def test_pairs_and_an_index_find_the_same_leaders(monkeypatch, threshold):
+    local = random.Random(11)
+    pieces = ["oak", "oaks", "elm", "elms", "ash wood", "fir", "yew", "box tree", "\u00e9t\u00e9"]
+    lists = [list(dict.fromkeys(" ".join(local.choices(pieces, k=local.randint(0, 5))) for _ in range(30))) for _ in range(40)]
+    few = [similarity.ordered_leaders(a, threshold) for a in lists]
+    monkeypatch.setattr(similarity, "_FEW", 0)
+    assert few == [similarity.ordered_leaders(a, threshold) for a in lists]
