@@ -32,7 +32,7 @@ def consensus_for_block(
     votes.check_mode(mode)
     said = [quoted(c).cast("string") for c in columns]
     heard = said if errors_vote else [F.when(~is_error(a), a) for a in said]
-    ready = with_computed(wide, {"_ready": votes.prepare(F.array(*heard), mode)})
+    ready = with_computed(wide, {"_ready": votes.prepare_once(F.array(*heard), mode)})
     ballot = F.array("_ready")
     if mode == "fuzzy":
         grouped = ready.withColumn("_groups", group_answers(ballot, threshold))

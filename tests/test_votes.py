@@ -264,3 +264,18 @@ def test_pairs_and_an_index_find_the_same_leaders(monkeypatch, threshold):
     few = [similarity.ordered_leaders(a, threshold) for a in lists]
     monkeypatch.setattr(similarity, "_FEW", 0)
     assert few == [similarity.ordered_leaders(a, threshold) for a in lists]
+
+
+def test_equal_answers_are_prepared_once(spark):
+    for mode in votes.MODES:
+        both = rows(spark).select(votes.prepare(F.col("answers"), mode).alias("a"), votes.prepare_once(F.col("answers"), mode).alias("b"))
+        assert both.where("not (a <=> b)").count() == 0
+
+
+def test_set_votes_count_many_kinds_of_sets(spark):
+    local = random.Random(5)
+    items = [f"w{i}" for i in range(12)]
+    many = {k: [", ".join(local.sample(items, local.randint(0, 9))) for _ in range(n)] for k, n in enumerate([5, 32, 33, 34, 60])}
+    df = spark.createDataFrame(list(many.items()), "id int, answers array<string>")
+    got = found(df.select("id", votes.vote(votes.prepare_once(F.col("answers"), "set"), "set").alias("v")).select("id", "v.*"))
+    assert got == {k: plain.vote(a, "set") for k, a in many.items()}
