@@ -80,3 +80,13 @@ def test_every_white_space_collapses(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = df.select("t", text.normalize(F.col("t")).alias("n"), F.array_join(text.split_set(F.col("t")), "|").alias("s")).collect()
     assert all(r["n"] == " ".join(r["t"].split()) and r["s"] == "|".join(" ".join(p.split()) for p in r["t"].split(",")) for r in got)
+
+
+def test_split_set_of_odd_lists(spark):
+    local = random.Random(2)
+    alphabet = [*",;,;. -_'\n\u0391\u03a3\u0130\u00df", "a", "B", "9", "  ", "\u4e00"]
+    lists = ["".join(local.choices(alphabet, k=local.randint(0, 14))) for _ in range(3000)] + ["-" * 200_000 + ",a", "a" + " ." * 100_000]
+    df = spark.createDataFrame([(x,) for x in lists], "t string")
+    cores = F.transform(F.split(text._collapse(F.col("t")), "[,;]+"), lambda p: F.regexp_extract(F.lower(p), text._CORE, 1))
+    by_part = F.array_distinct(F.filter(cores, lambda p: p != ""))
+    assert df.where(~text.split_set(F.col("t")).eqNullSafe(by_part)).count() == 0
