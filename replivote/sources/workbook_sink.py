@@ -31,6 +31,8 @@ _SHEET_TYPE = "application/vnd.openxmlformats-officedocument.spreadsheetml"
 MAX_ROWS = 1_048_576  # rows of a sheet, the header among them
 MAX_COLUMNS = 16_384
 MAX_CELL = 32_767  # UTF-16 units of a cell
+MAX_BYTES = 1 << 24  # of a file, after which the rows go on in a next one: a reader holds a whole file
+_PIECE = 256  # rows of a batch that are Python values at a time
 _DATE, _TIME = 1, 2  # cell styles, in the order of _STYLES
 
 _TYPES = (
@@ -112,8 +114,8 @@ def _xml_row(number: int, values: Sequence) -> str:
     return f'<row r="{number}">{"".join(cells)}</row>'
 
 
-def _write_book(out, names: Sequence[str], rows: Iterator[tuple], most: int) -> int:
-    """One workbook of the header and up to ``most - 1`` of the rows, streamed; returns how many."""
+def _write_book(out, names: Sequence[str], rows: Iterator[tuple], most: int, max_bytes: int = MAX_BYTES) -> int:
+    """One workbook of the header and up to ``most - 1`` of the rows, or about ``max_bytes``, streamed; returns how many."""
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
         book.writestr("[Content_Types].xml", _TYPES)
         book.writestr("_rels/.rels", _ROOT_RELS)
@@ -124,7 +126,7 @@ def _write_book(out, names: Sequence[str], rows: Iterator[tuple], most: int) ->
             part.write(f'<worksheet xmlns="{_MAIN}"><sheetData>'.encode())
             part.write(_xml_row(1, names).encode())
             number = 1
-            while number < most and (row := next(rows, None)) is not None:
+            while number < most and (number == 1 or out.tell() < max_bytes) and (row := next(rows, None)) is not None:
                 number += 1
                 part.write(_xml_row(number, row).encode())
             part.write(b"</sheetData></worksheet>")
@@ -141,13 +143,14 @@ class Written(WriterCommitMessage):
 class WorkbookWriter(DataSourceArrowWriter):
     """Tasks write into a folder of this write alone; the driver's commit moves what the winning attempts wrote."""
 
-    def __init__(self, schema: T.StructType, folder: str, overwrite: bool, most: int):
+    def __init__(self, schema: T.StructType, folder: str, overwrite: bool, most: int, max_bytes: int = MAX_BYTES):
         odd = [f.name for f in schema if not isinstance(f.dataType, _CELL_TYPES)]
         if odd:
             raise ValueError(f"a workbook cell holds no nested or binary value: {', '.join(odd)}")
         if not 0 < len(schema) <= MAX_COLUMNS or not 2 <= most <= MAX_ROWS:
             raise ValueError(f"a sheet holds 1 to {MAX_COLUMNS} columns and 2 to {MAX_ROWS} rows")
         self.names, self.folder, self.overwrite, self.most = schema.names, folder.rstrip("/"), overwrite, most
+        self.max_bytes = max_bytes
         self.id = uuid.uuid4().hex
         system, root = file_system(self.folder)
         # only a write beside earlier ones needs names of its own
@@ -163,13 +166,14 @@ class WorkbookWriter(DataSourceArrowWriter):
         system, root = file_system(self.folder)
         own = f"{root}/_writing-{self.id}/{context.partitionId():05d}-{context.taskAttemptId()}"
         system.create_dir(own)
-        rows = (row for batch in iterator for row in zip(*[c.to_pylist() for c in batch.columns]))
+        pieces = (batch.slice(at, _PIECE) for batch in iterator for at in range(0, batch.num_rows, _PIECE))
+        rows = (row for piece in pieces for row in zip(*[c.to_pylist() for c in piece.columns]))
         done = Written()
         first = next(rows, None)
         while first is not None:
             name = f"part-{context.partitionId():05d}-{len(done.files)}{self.suffix}.xlsx"
             with system.open_output_stream(f"{own}/{name}") as out:
-                written = _write_book(out, self.names, chain([first], rows), self.most)
+                written = _write_book(out, self.names, chain([first], rows), self.most, self.max_bytes)
             done.files[name] = (f"{own}/{name}", written)
             first = next(rows, None)
         return done
@@ -208,13 +212,15 @@ class WorkbookSink(DataSource):
         return "workbooks"
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WorkbookWriter:
-        return WorkbookWriter(schema, self.options["path"], overwrite, int(self.options.get("maxRows", MAX_ROWS)))
+        return WorkbookWriter(schema, self.options["path"], overwrite, int(self.options.get("maxRows", MAX_ROWS)), int(self.options.get("maxBytes", MAX_BYTES)))
 
 
-def write_workbooks(table: DataFrame, folder: str, mode: str = "overwrite", max_rows: int = MAX_ROWS) -> int:
+def write_workbooks(
+    table: DataFrame, folder: str, mode: str = "overwrite", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+) -> int:
     """Write a table as workbooks into a folder that all executors reach; returns the number of rows written.
 
-    Each partition becomes a file, or several where a sheet is full; rows keep their order, and
+    Each partition becomes a file, or several where a sheet is full or a file has reached ``max_bytes``; rows keep their order, and
     names follow the partitions. Files appear when all tasks are done: an attempt that fails or is
     repeated leaves nothing behind. ``_SUCCESS`` lists the files with their rows. An empty table gives one file of a
     header. ``overwrite`` replaces workbooks that an earlier write put there, and no other file; ``append`` adds to them.
@@ -223,7 +229,7 @@ def write_workbooks(table: DataFrame, folder: str, mode: str = "overwrite", max_
     fails the write, see ``long_cells``; so does a nested or binary column.
     """
     table.sparkSession.dataSource.register(WorkbookSink)
-    table.write.format("workbooks").option("maxRows", max_rows).mode(mode).save(folder)
+    table.write.format("workbooks").option("maxRows", max_rows).option("maxBytes", max_bytes).mode(mode).save(folder)
     system, root = file_system(folder.rstrip("/"))
     with system.open_input_stream(f"{root}/_SUCCESS") as done:
         return sum(json.loads(done.read()).values())

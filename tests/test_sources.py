@@ -1,7 +1,9 @@
+import random
 import zipfile
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -257,3 +259,19 @@ def test_csv_headers_that_lack_repeat_or_mark(spark, tmp_path):
     for multi_line in (True, False):
         got = tables.scan_csv(spark, str(tmp_path), "id long, _c1 int, text string, absent date", multi_line)
         assert sorted(map(tuple, got.collect())) == [(1, 2, "x", None), (4, None, None, None)]
+
+
+def test_workbooks_are_bounded_by_bytes(spark, tmp_path):
+    local = random.Random(4)
+    df = spark.createDataFrame([(i, "".join(local.choices("abcdefgh", k=3000))) for i in range(200)], "id long, t string").coalesce(1)
+    assert workbook_sink.write_workbooks(df, str(tmp_path / "w"), max_bytes=50_000) == 200
+    sizes = [f.stat().st_size for f in (tmp_path / "w").iterdir() if f.suffix == ".xlsx"]
+    assert len(sizes) > 3 and max(sizes) < 100_000
+    assert sorted(workbooks.scan_workbooks(spark, str(tmp_path / "w"), df.schema).collect()) == sorted(df.collect())
+    assert workbook_sink.write_workbooks(df.limit(3), str(tmp_path / "v"), max_bytes=1) == 3  # a row a file at least
+
+
+def test_rows_of_a_workbook_leave_in_bounded_batches():
+    rows = iter([["t"], *[["x" * 1_000_000] for _ in range(9)]])
+    found = [b.num_rows for b in workbooks._batches(rows, [("t", "string")], pa.schema([("t", pa.string())]))]
+    assert sum(found) == 9 and max(found) <= 3
