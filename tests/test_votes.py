@@ -127,6 +127,27 @@ def test_greedy_groups_in_rounds_equal_one_pass(spark):
     assert sorted(fuzzy.greedy_groups(df, ["id"], block=14).collect()) == one
 
 
+def test_short_answers_of_a_hot_key_take_few_rounds(spark, monkeypatch):
+    """Short sets of words are grouped many at a time; long ones among them and equal orders keep the answer order."""
+    local = random.Random(23)
+    answers = ["".join(local.choice("aeiostn") for _ in range(local.randint(3, 9))) for _ in range(600)]
+    answers += [f"{local.choice(answers)}, {local.choice(answers)}" for _ in range(500)]
+    answers += [" ".join(local.sample(answers[:600], 14)) for _ in range(12)]
+    answers = sorted(dict.fromkeys(answers))
+    rounds, write = [], fuzzy.written
+
+    def counted(df, name):
+        rounds.append(name)
+        assert rounds.count("heads") <= 6
+        return write(df, name)
+
+    monkeypatch.setattr(fuzzy, "written", counted)
+    df = spark.createDataFrame([("hot", 3, a) for a in answers], "id string, run int, response string").repartition(5)
+    got = {r["answer"]: r["leader"] for r in fuzzy.greedy_groups(df, ["id"], block=8).collect()}
+    assert rounds.count("heads") > 1
+    assert got == one_by_one(answers, 85)
+
+
 def test_set_vote_of_a_hot_key(spark):
     df, by_key = hot(spark)
     expected = {k: plain.vote(a, "set") for k, a in by_key.items()}
