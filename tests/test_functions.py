@@ -90,3 +90,26 @@ def test_split_set_of_odd_lists(spark):
     cores = F.transform(F.split(text._collapse(F.col("t")), "[,;]+"), lambda p: F.regexp_extract(F.lower(p), text._CORE, 1))
     by_part = F.array_distinct(F.filter(cores, lambda p: p != ""))
     assert df.where(~text.split_set(F.col("t")).eqNullSafe(by_part)).count() == 0
+
+
+def test_ends_of_long_texts(spark):
+    """Ends are cut as bytes where they hold a letter or digit; elsewhere, and in short texts, by the whole pattern."""
+    far, near = "\u3000" * 70, " \u2003\U0001f600."
+    cores = ["Straße  \t\u3000Ο∆ΟΣ " * 20 + "ΟΔΟΣ", "漢" * 100, "𝐀" + " x" * 150, "a", "½" + "-" * 300 + "²"]
+    texts = [a + c + b for c in cores for a in ("", near, far) for b in ("", near, far)] + [far, near * 80, "\ufffd" * 90, "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", text.normalize(F.col("t")).alias("n"), text.is_blank(F.col("t")).alias("b"), F.octet_length("t").alias("o")).collect()
+    assert len(got) == len(texts) and max(r["o"] or 0 for r in got) > 4 * text._END
+    for r in got:
+        assert r["b"] == (r["t"] is None or not r["t"].strip())
+        assert r["n"] == (None if r["t"] is None else plain.norm(r["t"]))
+
+
+def test_blanks_at_the_ends_replace_nothing(spark):
+    """White space at the ends alone sends no whole text through the replacing of white space."""
+    df = spark.createDataFrame([("  " + "Long text. " * 60 + " \t",)], "t string")
+    cut = text._bound(F.lower("t"), text._core)
+    uneven = df.select(F.contains(cut, F.lit("  ")) | F.rlike(cut, F.lit(text._PERHAPS_UNEVEN))).collect()
+    assert uneven == [(False,)]
+    plan = df.select(text.normalize(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert "regexp_replace(" in plan and "regexp_replace(t#" not in plan  # what is replaced is the cut text
