@@ -127,6 +127,34 @@ def test_greedy_groups_in_rounds_equal_one_pass(spark):
     assert sorted(fuzzy.greedy_groups(df, ["id"], block=14).collect()) == one
 
 
+def test_near_forms_of_a_long_answer_share_their_refusals(monkeypatch):
+    """What a text is found to share at most with a leader spares its near forms the comparison; the groups stay the same."""
+    local = random.Random(31)
+    ends = ["the", "er", "ing", "an", "on", "tion", "ed", "re", "st", "ha", "es", "ly"]
+    texts = [["".join(local.choices(ends, k=local.randint(1, 4))) for _ in range(150)] for _ in range(30)]
+    forms = [[t, [*t[:-1], t[-1] + ","], [*t, "variant"], [t[0] + ";", *t[1:]], t[: local.randint(90, 150)]] for t in texts]
+    answers = list(dict.fromkeys(" ".join(f) for of_text in forms for f in of_text))
+    compared, places = [], similarity._places
+    monkeypatch.setattr(similarity, "_places", lambda a: compared.append(a) or places(a))
+    lead = similarity.ordered_leaders(answers, 85)
+    few = len(compared)
+    of = one_by_one(answers, 85)
+    assert [answers[i] for i in lead] == [of[a] for a in answers]
+    leaders = sorted(set(lead))
+    later = answers[::-1] + [a.replace("tion", "st", 3) for a in answers]
+    found = similarity.first_leaders([answers[i] for i in leaders], later, 85)
+    for a, i in zip(later, found):
+        assert i == next((k for k, j in enumerate(leaders) if similarity.token_set_score(answers[j], a) >= 85), None)
+    alone = [similarity._Opened(85) for _ in answers]  # every answer for itself, without what was found before
+    del compared[:]
+    for at, (opened, a) in enumerate(zip(alone, answers)):
+        for j in leaders:
+            if j < at:
+                opened.add(j, similarity._Profile(answers[j]))
+        opened.first_match(similarity._Profile(a))
+    assert len(texts) - 5 < len(leaders) and 2 * few < len(compared)
+
+
 def test_short_answers_of_a_hot_key_take_few_rounds(spark, monkeypatch):
     """Short sets of words are grouped many at a time; long ones among them and equal orders keep the answer order."""
     local = random.Random(23)
