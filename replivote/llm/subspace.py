@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: blocks of rotated coordinates are range-joined, and pairs confirmed exactly.
+"""Near-duplicate vectors: blocks of rotated coordinates are range-joined in chunks, and pairs confirmed exactly.
 
 Two unit vectors of cosine ``c`` lie ``2 - 2c`` apart (squared). If that total is dealt
 to blocks of coordinates in proportion to their size, a close pair keeps the budget
@@ -7,18 +7,23 @@ of one block at least, so the union over blocks of pairs within budget misses no
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replivote.llm.common import stored
 from replivote.llm.components import components
 
-#: Coordinates of a block, vectors that one task compares at most, and rows of one product.
-BLOCK, CHUNK, TILE = 16, 8192, 1024
+#: Coordinates of a block, vectors and bytes (as doubles) of a chunk at most, and rows of one product. Wider blocks than that
+#: refuse little more by one coordinate, narrower ones leave more products and more copies of the vectors.
+BLOCK, CHUNK, CHUNK_BYTES, TILE = 64, 4096, 2 << 20, 1024
+HELD_BYTES = 16 << 20  # of vectors that a task holds until it cuts them into chunks
 
 
 def rotation(size: int) -> np.ndarray:
@@ -38,32 +43,59 @@ def budgets(size: int, cosine: float) -> np.ndarray:
     return np.array([(b.stop - b.start) / size for b in blocks(size)]) * (2 - 2 * cosine) + 1e-9
 
 
-def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _vectors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors in double precision, and their rotations."""
-    raw = np.stack([np.frombuffer(v, np.float64) for v in column.to_pylist()])
-    unit = raw / np.abs(raw).max(axis=1, keepdims=True)  # against overflow
+    unit = raw.astype(np.float64)
+    unit /= np.abs(unit).max(axis=1, keepdims=True)  # against overflow
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     return unit, unit @ rotation(raw.shape[1])
 
 
-def placed(classes: DataFrame, cosine: float) -> DataFrame:
-    """``size, block, slab`` for every class and block: slabs of its first coordinate, as wide as the budget reaches."""
+def placed(classes: DataFrame, cosine: float, kind: str) -> DataFrame:
+    """Chunks of vectors, a row each: ``size, block, chunk, low, high, reach, reps, ns, vecs``.
+
+    The vectors of a partition lie in order of the first coordinate of the block, from ``low`` to ``high``;
+    vectors further than ``reach`` from both meet none within budget. ``kind`` is the number type of ``vec``.
+    """
+
+    def cut(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        size = held["vec"].shape[1]
+        _, turned = _vectors(held["vec"])
+        most = max(1, min(CHUNK, CHUNK_BYTES // (8 * size)))
+        for b, (part, budget) in enumerate(zip(blocks(size), budgets(size, cosine))):
+            first = turned[:, part.start]
+            order = np.argsort(first, kind="stable")
+            for at in range(0, len(order), most):
+                some = order[at : at + most]
+                reps, ns = held["rep"][some], held["n"][some]
+                ends = [float(first[some[0]]), float(first[some[-1]]), float(np.sqrt(budget) * (1 + 1e-6))]
+                row = [size, b, int(reps.min()), *ends, reps.tobytes(), ns.tobytes(), held["vec"][some].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names)
+
+    names = ["size", "block", "chunk", "low", "high", "reach", "reps", "ns", "vecs"]
+    types = [pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * 3, *[pa.binary()] * 3]
+    ddl = "size int, block int, chunk long, low double, high double, reach double, reps binary, ns binary, vecs binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, list[dict[str, np.ndarray]]] = {}
+        held: Counter[int] = Counter()
+        joined = lambda size: {k: np.concatenate([p[k] for p in pieces[size]]) for k in ("rep", "n", "vec")}
         for batch in batches:
-            sizes = np.array([len(v) // 8 for v in batch.column("vec").to_pylist()])
-            for size in np.unique(sizes):
+            vecs = batch.column("vec")
+            sizes = pc.binary_length(vecs).to_numpy(zero_copy_only=False) // np.dtype(kind).itemsize
+            for size in np.unique(sizes).tolist():
                 some = batch.filter(pa.array(sizes == size))
-                _, turned = _vectors(some.column("vec"))
-                for b, (part, budget) in enumerate(zip(blocks(int(size)), budgets(int(size), cosine))):
-                    slab = np.floor(turned[:, part.start] / (np.sqrt(budget) * (1 + 1e-6))).astype(np.int32)
-                    full = lambda v: pa.array(np.full(len(slab), v, dtype=np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [some.column("rep"), some.column("n"), some.column("vec"), full(size), full(b), pa.array(slab)],
-                        ["rep", "n", "vec", "size", "block", "slab"],
-                    )
+                raw = np.frombuffer(b"".join(some.column("vec").to_pylist()), kind).reshape(-1, size)
+                own = {"rep": some.column("rep").to_numpy(), "n": some.column("n").to_numpy(), "vec": raw}
+                pieces.setdefault(size, []).append(own)
+                held[size] += raw.nbytes
+                if held[size] >= HELD_BYTES:
+                    yield from cut(joined(size))
+                    del pieces[size], held[size]
+        for size in pieces:
+            yield from cut(joined(size))
 
-    return classes.select("rep", "n", "vec").mapInArrow(run, "rep long, n long, vec binary, size int, block int, slab int")
+    return classes.select("rep", "n", "vec").mapInArrow(run, ddl)
 
 
 def _root(labels: np.ndarray) -> np.ndarray:
@@ -86,82 +118,80 @@ def _joined(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         labels = _root(labels)
 
 
-def compare(table: pa.Table, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links of one task: nodes with links, how many vectors each is linked to, and a companion of each.
+class _Chunk:
+    """Vectors of a chunk, with what a product of one block needs of them."""
+
+    def __init__(self, size: int, block: int, reps: bytes, ns: bytes, vecs: bytes, kind: str):
+        self.reps, self.n = np.frombuffer(reps, np.int64), np.frombuffer(ns, np.int64)
+        self.unit, self.turned = _vectors(np.frombuffer(vecs, kind).reshape(-1, size))
+        own = self.turned[:, blocks(size)[block]]
+        length = (own * own).sum(axis=1, keepdims=True)
+        one = np.ones_like(length)
+        self.ahead, self.behind = (np.hstack(v).astype(np.float32) for v in ((-2 * own, length, one), (own, one, length)))
+
+
+def compare(left: _Chunk, right: _Chunk, block: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links between two chunks, or within one: nodes with links, how many vectors each is linked to, and a companion of each.
 
     A pair is counted in the first block in whose budget it lies, and nowhere else, so that
     sums over tasks count every pair once.
     """
-    size, block = table.column("size")[0].as_py(), table.column("block")[0].as_py()
-    right = table.column("right").to_numpy(zero_copy_only=False).astype(bool)
-    alone = bool(table.column("alone")[0].as_py())
-    reps = table.column("rep").to_numpy()
-    order = np.lexsort((reps, right))
-    reps, right = reps[order], right[order]
-    n = table.column("n").to_numpy()[order]
-    unit, turned = _vectors(table.column("vec").take(pa.array(order)).combine_chunks())
+    alone = left is right
+    size = left.unit.shape[1]
     parts, budget = blocks(size), budgets(size, cosine)
-    own = turned[:, parts[block]]
-    length = (own * own).sum(axis=1, keepdims=True)
-    one = np.ones_like(length)
     # squared distances as one product in single precision, which refuses; what is left is looked at in double
-    ahead, behind = (np.hstack(v).astype(np.float32) for v in ((-2 * own, length, one), (own, one, length)))
     limit = np.float32(budget[block] + 1e-5)
-    links, labels = np.zeros(len(reps), dtype=np.int64), np.arange(len(reps))
-    left_end = len(reps) if alone else int((~right).sum())
-    for i in range(0, left_end, TILE):
-        i_end = min(i + TILE, left_end)
-        for j in range(i if alone else left_end, len(reps), TILE):
-            j_end = min(j + TILE, len(reps))
-            near = np.flatnonzero(ahead[i:i_end] @ behind[j:j_end].T <= limit)
-            a, b = near // (j_end - j) + i, near % (j_end - j) + j
+    shift = 0 if alone else len(left.reps)
+    links = np.zeros(shift + len(right.reps), dtype=np.int64)
+    labels = np.arange(len(links))
+    for i in range(0, len(left.reps), TILE):
+        for j in range(i if alone else 0, len(right.reps), TILE):
+            ahead, behind = left.ahead[i : i + TILE], right.behind[j : j + TILE]
+            near = np.flatnonzero(ahead @ behind.T <= limit)
+            a, b = near // len(behind) + i, near % len(behind) + j
             if alone and i == j:
                 a, b = a[a < b], b[a < b]
             for k in range(0, len(a), 1 << 17):
                 p, q = a[k : k + (1 << 17)], b[k : k + (1 << 17)]
-                square = (turned[p] - turned[q]) ** 2
+                square = (left.turned[p] - right.turned[q]) ** 2
                 within = np.stack([square[:, s].sum(axis=1) <= budget[m] for m, s in enumerate(parts[: block + 1])])
                 first = within[block] & ~within[:block].any(axis=0)
                 p, q = p[first], q[first]
-                close = np.einsum("ij,ij->i", unit[p], unit[q]) >= cosine
+                close = np.einsum("ij,ij->i", left.unit[p], right.unit[q]) >= cosine
                 p, q = p[close], q[close]
-                links += np.bincount(p, weights=n[q], minlength=len(reps)).astype(np.int64)
-                links += np.bincount(q, weights=n[p], minlength=len(reps)).astype(np.int64)
-                labels = _joined(labels, p, q)
+                links += np.bincount(p, weights=right.n[q], minlength=len(links)).astype(np.int64)
+                links += np.bincount(q + shift, weights=left.n[p], minlength=len(links)).astype(np.int64)
+                labels = _joined(labels, p, q + shift)
     some = np.flatnonzero(links)
+    reps = left.reps if alone else np.concatenate([left.reps, right.reps])
     return reps[some], links[some], reps[labels[some]]
 
 
-def linked_classes(classes: DataFrame, cosine: float) -> DataFrame:
-    """``rep, links, other`` per task and class: links counted once over all tasks, and one companion."""
-    rows = placed(classes, cosine)
-    # at most 2 / sqrt(budget) slabs a block: a table bounded by the vectors' size
-    counts = rows.groupBy("size", "block", "slab").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("c"))
-    counts = stored(counts, "slabs")
-    at = lambda name, by: counts.select("size", "block", (F.col("slab") - by).alias("slab"), F.col("c").alias(name))
-    keys = ["size", "block", "slab"]
-    around = counts.join(at("after", 1), keys, "left").join(at("before", -1), keys, "left").fillna(0, ["after", "before"])
-    dealt = rows.join(around, keys).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("c")).cast("int"))
-    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
-
-    def pair(slab, x, next_to, y, is_right):  # noqa: ANN001, ANN202
-        return F.struct(
-            slab.cast("int").alias("s"), x.cast("int").alias("x"), F.lit(next_to).alias("next"), y.cast("int").alias("y"), is_right.alias("right")
-        )
-
-    i, slab = F.col("i"), F.col("slab")
-    same = F.transform(upto("c"), lambda j: pair(slab, F.least(i, j), 0, F.greatest(i, j), i > j))
-    later = F.transform(upto("after"), lambda j: pair(slab, i, 1, j, F.lit(False)))
-    earlier = F.transform(upto("before"), lambda j: pair(slab - 1, j, 1, i, F.lit(True)))
-    sent = dealt.select("rep", "n", "vec", "size", "block", F.explode(F.concat(same, later, earlier)).alias("p")).select(
-        "rep", "n", "vec", "size", "block", "p.*", (F.expr("p.next = 0 AND p.x = p.y")).alias("alone")
-    )
+def linked_classes(classes: DataFrame, cosine: float, kind: str = "<f8") -> DataFrame:
+    """``rep, links, other`` per pair of chunks and class: links counted once over all pairs, and one companion.
+
+    Chunks are stored once and meet by a range join without a shuffle: each task reads its two shares of them from the
+    shared folder, so what lies on disk is the vectors, not the vectors times the chunks they meet.
+    """
+    chunks = stored(placed(classes, cosine, kind), "chunks")
+    left, right = (chunks.select(*[F.col(c).alias(f"{side}_{c}") for c in chunks.columns]) for side in ("l", "r"))
+    # differences, not equalities: those would deal all chunks of one block to one task
+    apart = "l_size - r_size = 0 and l_block - r_block = 0 and l_chunk <= r_chunk and l_low - r_high <= l_reach and r_low - l_high <= l_reach"
+    pairs = left.join(right, F.expr(apart))
 
-    def run(table: pa.Table) -> pa.Table:
-        reps, links, other = compare(table, cosine)
-        return pa.table({"rep": reps, "links": links, "other": other})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = None, None
+        for batch in batches:
+            columns = [batch.column(c) for c in ("l_size", "l_block", "l_chunk", "r_chunk")]
+            for at, (size, block, one, two) in enumerate(zip(*[c.to_pylist() for c in columns])):
+                chunk = lambda side: _Chunk(size, block, *[batch.column(f"{side}_{c}")[at].as_py() for c in ("reps", "ns", "vecs")], kind)  # noqa: E731, B023
+                if known != (size, block, one):
+                    known, held = (size, block, one), chunk("l")
+                reps, links, other = compare(held, held if one == two else chunk("r"), block, cosine)
+                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(links), pa.array(other)], ["rep", "links", "other"])
 
-    return sent.groupBy("size", "block", "s", "x", "next", "y").applyInArrow(run, "rep long, links long, other long")
+    columns = [*[f"l_{c}" for c in ("size", "block", "chunk", "reps", "ns", "vecs")], *[f"r_{c}" for c in ("chunk", "reps", "ns", "vecs")]]
+    return pairs.select(*columns).mapInArrow(run, "rep long, links long, other long")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, key: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -174,19 +204,21 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, key: str = "vec_id", c
     be unique; other columns are not looked at.
     """
     vec = F.col(column).cast("array<double>")
+    single = vectors.schema[column].dataType == T.ArrayType(T.FloatType(), vectors.schema[column].dataType.containsNull)
+    kind = "<f4" if single else "<f8"  # what is stored of a vector are its numbers as they came, or doubles
     sound = F.forall(vec, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x)) & F.exists(vec, lambda x: x != 0)
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.when(sound & F.col(key).isNotNull(), vec).alias("v"))
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.when(sound & F.col(key).isNotNull(), vec).alias("v"), F.col(column).alias("raw") if single else vec.alias("raw"))
     rows = rows.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit(9), "v")})
     valid = rows.where("v is not null")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vecs = [np.array(v, dtype=np.float64).tobytes() for v in batch.column("v").to_pylist()]
-            yield batch.drop_columns(["v"]).append_column("vec", pa.array(vecs, pa.binary()))
+            vecs = [np.array(v, dtype=kind).tobytes() for v in batch.column("raw").to_pylist()]
+            yield batch.drop_columns(["raw"]).append_column("vec", pa.array(vecs, pa.binary()))
 
-    grouped = valid.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
+    grouped = valid.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("raw").alias("raw"))
     classes = stored(grouped.mapInArrow(packed, "k1 long, k2 long, rep long, n long, vec binary"), "vectors")
-    found = stored(linked_classes(classes, cosine), "links")
+    found = stored(linked_classes(classes, cosine, kind), "links")
     sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
     near = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b")))
     known = (

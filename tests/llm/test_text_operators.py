@@ -225,6 +225,20 @@ def test_vectors_in_small_chunks(spark, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {k: (links[k], component[k]) for k in links}
 
 
+def test_pairs_of_vectors_lie_on_disk_once(spark, monkeypatch):
+    monkeypatch.setattr(subspace, "CHUNK", 25)
+    rng = np.random.default_rng(8)
+    raw = rng.normal(size=(200, 64))
+    raw[100:150] = raw[:50] + rng.normal(size=(50, 64)) * 0.05
+    classes = spark.createDataFrame([(i, 1, v.tobytes()) for i, v in enumerate(raw)], "rep long, n long, vec binary").repartition(4)
+    found = subspace.linked_classes(classes, 0.9)
+    assert "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    close = (unit @ unit.T >= 0.9) & ~np.eye(200, dtype=bool)
+    sums = {r["rep"]: r["links"] for r in found.groupBy("rep").sum("links").withColumnRenamed("sum(links)", "links").collect()}
+    assert sums == {i: int(n) for i, n in enumerate(close.sum(axis=1)) if n}
+
+
 # personal data
 
 PERSONAL = [
