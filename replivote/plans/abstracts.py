@@ -55,7 +55,7 @@ def aggregate_outputs(tables: Sequence[DataFrame]) -> DataFrame:
     """Stack finished answer tables by column name and take the word vote of each row."""
     stacked = union_by_name(tables)
     said = F.array(*[quoted(name).cast("string") for name, _, _ in discover_responses(stacked.columns)])
-    voted = with_computed(stacked, {"_vote": vote_words(said)})
+    voted = stacked.withColumn("_vote", vote_words(said))  # leaves the JVM, so it is a step of its own
     return voted.select(
         *[quoted(c) for c in stacked.columns],
         F.col("_vote.consensus").alias("Consensus Result"),
