@@ -1,6 +1,6 @@
 """What is moved and how finely it is dealt, read from plans."""
 
-
+from checks import replay
 from checks.queries import QUERIES
 
 TABLES = "/root/testdata/sf0.001"
@@ -13,3 +13,15 @@ def _plan(df):
 def test_first_answers_are_named_without_a_join(spark):
     plan = _plan(QUERIES["pair_similarity"](spark, TABLES))
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_rows_of_answers_are_not_dealt_by_key(spark):
+    plan = _plan(QUERIES["reorder_columns"](spark, TABLES))
+    assert "hashpartitioning" not in plan
+    # where one file is dealt over the cores, its texts move, not the answers made of them
+    assert "variant" not in plan[plan.index("Exchange") :]
+
+
+def test_long_answers_move_as_texts(spark):
+    plan = _plan(replay.responses(spark, TABLES))
+    assert "variant" not in plan[plan.index("Exchange hashpartitioning") :]
