@@ -1,7 +1,10 @@
 """What is moved and how finely it is dealt, read from plans."""
 
+from pyspark.sql import functions as F
+
 from checks import replay
 from checks.queries import QUERIES
+from replivote import session
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -25,3 +28,14 @@ def test_rows_of_answers_are_not_dealt_by_key(spark):
 def test_long_answers_move_as_texts(spark):
     plan = _plan(replay.responses(spark, TABLES))
     assert "variant" not in plan[plan.index("Exchange hashpartitioning") :]
+
+
+
+def test_shares_follow_the_bytes_of_the_files(spark, monkeypatch, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).write.parquet(path)
+    scan = spark.read.parquet(path).select("id", "text")
+    assert session.spread(scan, "id").rdd.getNumPartitions() == 4
+    monkeypatch.setattr(session, "SHARE", 10_000)
+    assert session.spread(scan, "id").rdd.getNumPartitions() > 10
+    assert session.spread(spark.createDataFrame([(1, "a")], "id int, text string"), "id").rdd.getNumPartitions() < 10
