@@ -8,7 +8,7 @@ is already hash-partitioned by (some of) the keys, nothing is shuffled again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,11 +16,12 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, Shor
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
-from replivote.functions.votes import check_mode
+from replivote.functions.votes import check_mode, vote_words
 from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.operators.fuzzy import consensus_fuzzy
 from replivote.session import written
 
+GATHERED = 256  # answers of one key that are gathered in one row
 
 def _modal_per_key(distinct: DataFrame, keys: Sequence[str], empty: str) -> DataFrame:
     counted = F.when(F.col("_value").isNotNull(), F.col("_ct"))
@@ -155,9 +156,59 @@ def _word_result(shared: Column, distinct: Column) -> tuple[Column, Column]:
     )
 
 
+def _by_size(votes: DataFrame, keys: Sequence[str], order: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Answers of keys that one row can hold in a stated order, and those of all other keys (None when there are none).
+
+    The first have at most ``GATHERED`` answers, of which no two share an order and none lacks one. Keys and orders
+    are counted by a job of their own, which reads no answer.
+    """
+    said = votes.groupBy(*keys, F.col(order).alias("_order")).agg(F.count(F.lit(1)).alias("_n"))
+    plain = (F.sum("_n") <= GATHERED) & (F.max("_n") == 1) & (F.count("_order") == F.count(F.lit(1)))
+    sizes = said.groupBy(*keys).agg(plain.alias("_plain"))
+    some = sizes.agg(F.bool_and("_plain"), F.bool_or("_plain")).first()
+    if some[0] or some[1] is None:
+        return votes, None
+    if not some[1]:
+        return None, votes
+    other = written(sizes.where("not _plain").select(*[F.col(k).alias(f"_r_{k}") for k in keys]), "keys")
+    match = [votes[k].eqNullSafe(other[f"_r_{k}"]) for k in keys]
+    return votes.join(other, match, "left_anti"), votes.join(other, match, "left_semi")
+
+
+def _in_rows(
+    votes: DataFrame, keys: Sequence[str], order: str, small: Callable[[DataFrame], DataFrame], large: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Keys of few answers by ``small``, all others by ``large``."""
+    few, many = _by_size(votes, keys, order)
+    if many is None:
+        return small(few)
+    return large(many) if few is None else small(few).unionByName(large(many))
+
+
+def _gathered(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key's answers in order as one array ``_all``, without those that abstain."""
+    spoken = F.when(F.col("_said").isNotNull(), F.struct("_order", "_said"))
+    rows = answers.groupBy(*keys).agg(F.sort_array(F.collect_list(spoken)).alias("_rows"))
+    return rows.select(*keys, F.transform("_rows", lambda r: r["_said"]).alias("_all"))
+
+
 @plain_keys
 def consensus_words(votes: DataFrame, keys: Sequence[str], *, response="response", order="run") -> DataFrame:
-    """Words said more than once, in first-seen order; score = shared / distinct words, unrounded."""
+    """Words said more than once, in first-seen order; score = shared / distinct words, unrounded.
+
+    Keys of few answers vote in one row; others are counted word by word. ``votes`` are read twice.
+    """
+
+    def small(votes: DataFrame) -> DataFrame:
+        answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
+        voted = _gathered(answers, keys).select(*keys, vote_words(F.col("_all")).alias("_vote"))
+        return voted.select(*keys, "_vote.consensus", "_vote.confidence")
+
+    return _in_rows(votes, keys, order, small, lambda votes: _words_of_many(votes, keys, response, order))
+
+
+def _words_of_many(votes: DataFrame, keys: Sequence[str], response: str, order: str) -> DataFrame:
+    """``consensus_words`` for any number of answers per key."""
     answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
     parts = F.coalesce(text.tokenize(F.col("_said")), F.array().cast("array<string>"))
     shared = _shared_words(_items(answers, keys, parts), keys)

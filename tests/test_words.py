@@ -1,9 +1,10 @@
 import random
-import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from replivote.functions import text, votes, words
+from replivote.functions import text, words
+from replivote.operators import consensus as con
 from replivote.plans.abstracts import aggregate_outputs
 from tests import plain
 
@@ -34,3 +35,27 @@ def test_finished_tables_are_counted_without_sorting_words(spark):
     assert "ArrowEvalPython" in plan and "sort_array" not in plan
     got = {r["id"]: (r["Consensus Result"], r["Consensus over Total"]) for r in voted.collect()}
     assert got == {i: plain.words([a for a in row if a is not None]) for i, row in enumerate(said)}
+
+
+def _votes(spark):
+    local = random.Random(9)
+    pieces = ["red car", "Red  car", "car", "", " ", None, "tree\tbush", "bush tree", " a", "b "]
+    rows = [(k, run, local.choice(pieces)) for k in range(60) for run in range(local.randint(1, 9))]
+    rows += [(100, 3, "x y"), (100, 3, "y x"), (101, None, "b a"), (101, 1, "a b"), (None, 1, "n n"), (None, 1, "m")]  # tied, without order
+    return spark.createDataFrame(rows, "id int, run int, response string").repartition(3)
+
+
+@pytest.mark.parametrize("vote", [con.consensus_words])
+def test_word_votes_of_few_and_of_many_answers_agree(spark, monkeypatch, vote):
+    votes_ = _votes(spark)
+    found = []
+    for most in (256, 4, 0):
+        monkeypatch.setattr(con, "GATHERED", most)
+        found.append(sorted((tuple(r) for r in vote(votes_, ["id"]).collect()), key=repr))
+    assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("vote", [con.consensus_words])
+def test_words_of_few_answers_are_no_rows(spark, vote):
+    plan = vote(_votes(spark).where("id < 100"), ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan and "ArrowEvalPython" in plan
