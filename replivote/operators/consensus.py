@@ -16,9 +16,11 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, Shor
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
-from replivote.functions.votes import check_mode, vote_words
+from replivote.functions.votes import check_mode, documented_choice, light_once, vote_words, word_result
+from replivote.functions.words import repeated_words
 from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.operators.fuzzy import consensus_fuzzy
+from replivote.operators.once import with_computed
 from replivote.session import written
 
 GATHERED = 256  # answers of one key that are gathered in one row
@@ -220,7 +222,23 @@ def _words_of_many(votes: DataFrame, keys: Sequence[str], response: str, order:
 
 @plain_keys
 def consensus_words_documented(votes: DataFrame, keys: Sequence[str], *, response="response", order="run") -> DataFrame:
-    """The documented word vote: no empty words, a lone answer is certain, modal answer as fallback."""
+    """The documented word vote: no empty words, a lone answer is certain, modal answer as fallback.
+
+    Keys of few answers vote in one row; others are counted word by word. ``votes`` are read twice.
+    """
+
+    def small(votes: DataFrame) -> DataFrame:
+        rows = _gathered(answers_of(votes, keys, response, order, errors_vote=True), keys)
+        ready = with_computed(rows, {"_light": light_once(F.col("_all"))}).drop("_all")
+        counted = ready.withColumn("_words", word_result(repeated_words(F.col("_light"))))
+        voted = counted.select(*keys, documented_choice(F.col("_light"), F.col("_words")).alias("_vote"))
+        return voted.select(*keys, "_vote.consensus", "_vote.confidence")
+
+    return _in_rows(votes, keys, order, small, lambda votes: _documented_of_many(votes, keys, response, order))
+
+
+def _documented_of_many(votes: DataFrame, keys: Sequence[str], response: str, order: str) -> DataFrame:
+    """``consensus_words_documented`` for any number of answers per key."""
     answers = answers_of(votes, keys, response, order, errors_vote=True)
     answers = answers.withColumn("_said", text.normalize_light(F.col("_said")))
     parts = F.coalesce(F.split("_said", " "), F.array().cast("array<string>"))

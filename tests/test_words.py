@@ -45,7 +45,7 @@ def _votes(spark):
     return spark.createDataFrame(rows, "id int, run int, response string").repartition(3)
 
 
-@pytest.mark.parametrize("vote", [con.consensus_words])
+@pytest.mark.parametrize("vote", [con.consensus_words, con.consensus_words_documented])
 def test_word_votes_of_few_and_of_many_answers_agree(spark, monkeypatch, vote):
     votes_ = _votes(spark)
     found = []
@@ -55,7 +55,7 @@ def test_word_votes_of_few_and_of_many_answers_agree(spark, monkeypatch, vote):
     assert found[0] == found[1] == found[2]
 
 
-@pytest.mark.parametrize("vote", [con.consensus_words])
+@pytest.mark.parametrize("vote", [con.consensus_words, con.consensus_words_documented])
 def test_words_of_few_answers_are_no_rows(spark, vote):
     plan = vote(_votes(spark).where("id < 100"), ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "posexplode" not in plan and "ArrowEvalPython" in plan
