@@ -16,7 +16,7 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, Shor
 
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
-from replivote.functions.votes import check_mode, documented_choice, light_once, vote_words, word_result
+from replivote.functions.votes import check_mode, documented_choice, light_once, prepare_once, vote_set, vote_words, word_result
 from replivote.functions.words import repeated_words
 from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.operators.fuzzy import consensus_fuzzy
@@ -97,10 +97,22 @@ def consensus_set(
 ) -> DataFrame:
     """Items named by at least half of a key's answers, else its most named item.
 
-    Answers are counted per key first, and only items that reach one half are gathered:
-    no more than twice an answer's items, whatever the size of the key. ``max_votes``
-    is accepted for symmetry with the fuzzy vote and changes nothing.
+    Keys of few answers vote in one row; ``votes`` are read twice to tell them. Answers of others are
+    counted per key first, and only items that reach one half are gathered: no more than twice an answer's
+    items, whatever the size of the key. ``max_votes`` is accepted for symmetry with the fuzzy vote and changes nothing.
     """
+
+    def small(votes: DataFrame) -> DataFrame:
+        rows = _gathered(answers_of(votes, keys, response, order, errors_vote), keys)
+        ready = with_computed(rows, {"_sets": prepare_once(F.col("_all"), "set")}).drop("_all")
+        voted = with_computed(ready, {"_vote": vote_set(F.col("_sets"))})
+        return voted.select(*keys, "_vote.consensus", "_vote.confidence", "_vote.n_responses")
+
+    return _in_rows(votes, keys, order, small, lambda votes: _set_of_many(votes, keys, response, order, errors_vote))
+
+
+def _set_of_many(votes: DataFrame, keys: Sequence[str], response: str, order: str, errors_vote: bool) -> DataFrame:
+    """``consensus_set`` for any number of answers per key."""
     answers = answers_of(votes, keys, response, order, errors_vote)
     parts = F.coalesce(text.split_set(F.col("_said")), F.array().cast("array<string>"))
     items = _items(answers, keys, parts)

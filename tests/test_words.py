@@ -59,3 +59,21 @@ def test_word_votes_of_few_and_of_many_answers_agree(spark, monkeypatch, vote):
 def test_words_of_few_answers_are_no_rows(spark, vote):
     plan = vote(_votes(spark).where("id < 100"), ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "posexplode" not in plan and "ArrowEvalPython" in plan
+
+
+def test_set_votes_of_few_and_of_many_answers_agree(spark, monkeypatch):
+    local = random.Random(13)
+    pieces = ["oak, elm", "elm; oak", "Oak", "", None, "fir, oak, fir", "yew", ",;", "ash; yew, elm"]
+    rows = [(k, run, local.choice(pieces), local.choice(["ok", "ok", "error"])) for k in range(60) for run in range(local.randint(1, 9))]
+    rows += [(100, 3, "x, y", "ok"), (100, 3, "y; x", "ok"), (101, None, "b, a", "ok"), (101, 1, "a; c", "ok"), (None, 1, "n", "ok")]
+    votes_ = spark.createDataFrame(rows, "id int, run int, response string, status string").repartition(3)
+    for errors_vote in (True, False):
+        found = []
+        for most in (256, 4, 0):
+            monkeypatch.setattr(con, "GATHERED", most)
+            voted = con.consensus_set(votes_, ["id"], errors_vote=errors_vote)
+            found.append(sorted((tuple(r) for r in voted.collect()), key=repr))
+        assert found[0] == found[1] == found[2]
+    monkeypatch.setattr(con, "GATHERED", 256)
+    few = con.consensus_set(votes_.where("id < 100"), ["id"])
+    assert "posexplode" not in few._jdf.queryExecution().executedPlan().toString()
