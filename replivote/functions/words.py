@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ROWS = 64  # rows whose texts are Python strings at a time
+_LETTERS = 4 << 20  # letters of different answers that a task holds until it counts their words
+_ENTRIES = 400_000  # words with a key that it holds until it gives them away
+_NEVER = 1 << 100  # comes after every order, as an answer without one does
 
 
 def split_words(text: str) -> list[str]:
@@ -50,3 +56,109 @@ def repeated_words(answers: Column) -> Column:
 
     # declared non-deterministic, so that it is planned once and as a step of its own
     return repeated.asNondeterministic()(answers)
+
+
+class _Tally:
+    """Words of one key's answers, how often each was said and where first: the answer's order and the place in it as one number."""
+
+    __slots__ = ("n", "said", "counts", "places")
+
+    def __init__(self):
+        self.n, self.said, self.counts, self.places = 0, {}, Counter(), {}
+
+    def hear(self, answer: str, order: int) -> int:
+        """Keep an answer; gives the letters that are held more."""
+        self.n += 1
+        known = self.said.get(answer)
+        if known is None:
+            self.said[answer] = [1, order]
+            return len(answer)
+        known[0] += 1
+        known[1] = min(known[1], order)
+        return 0
+
+    def count(self) -> int:
+        """Count the words of the answers kept, of equal answers once; gives the number of words."""
+        counts, fresh = self.counts, {}
+        # from the last answer and word to the first, so that the first place is the one that stays
+        for answer, (times, order) in sorted(self.said.items(), key=lambda kept: kept[1][1], reverse=True):
+            words = split_words(answer)
+            if times == 1:
+                counts.update(words)
+            else:
+                for word, n in Counter(words).items():
+                    counts[word] += n * times
+            base = order << 32
+            fresh.update(zip(reversed(words), range(base + len(words) - 1, base - 1, -1)))
+        if len({order for _, order in self.said.values()}) < len(self.said):  # answers of one order: the smaller place counts
+            for answer, (_, order) in self.said.items():
+                for at, word in enumerate(split_words(answer), order << 32):
+                    fresh[word] = min(fresh[word], at)
+        places = self.places
+        for word, at in fresh.items():
+            if places.setdefault(word, at) > at:
+                places[word] = at
+        self.said.clear()
+        return len(counts)
+
+
+def countable(answers: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether ``counted_words`` can take these keys and this kind of order."""
+    plain = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.DecimalType)
+    order = answers.schema["_order"].dataType
+    whole = isinstance(order, T.IntegralType) or (isinstance(order, T.DecimalType) and order.scale == 0 and order.precision <= 28)
+    return whole and all(isinstance(answers.schema[k].dataType, plain) for k in keys)
+
+
+def counted_words(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys, ``_item, _ct, _order, _pos``: words of lower-cased answers ``_said``, counted and placed as far as a task holds them.
+
+    A key's words may come several times, to be added up; a row without a word has the number of its
+    answers, 0 where all abstained.
+    """
+    order_kind = answers.schema["_order"].dataType
+    out = T.StructType([T.StructField(k, answers.schema[k].dataType) for k in keys])
+    out = out.add("_item", T.StringType()).add("_ct", T.LongType()).add("_order", order_kind).add("_pos", T.LongType())
+
+    def given(held: dict[tuple, _Tally], schema: pa.Schema) -> pa.RecordBatch:
+        tallies = list(held.values())
+        which = pa.array(np.repeat(np.arange(len(held)), [len(t.counts) + 1 for t in tallies]))
+        columns = [pa.array([key[i] for key in held], schema.field(i).type).take(which) for i in range(len(keys))]
+        items = pa.array(list(chain.from_iterable([None, *t.places] for t in tallies)), pa.string())
+        counts = pa.array(list(chain.from_iterable([t.n, *map(t.counts.__getitem__, t.places)] for t in tallies)), pa.int64())
+        known: dict[int, int] = {}
+        at, places = [], []
+        for place in chain.from_iterable([_NEVER << 32, *t.places.values()] for t in tallies):
+            at.append(known.setdefault(place >> 32, len(known)))
+            places.append((place & 0xFFFFFFFF) + 1)  # 0 is the place of the answer itself
+        kind = schema.field("_order").type
+        orders = pa.array([None if order == _NEVER else order for order in known], pa.int64() if pa.types.is_integer(kind) else kind)
+        columns += [items, counts, orders.cast(kind).take(pa.array(at)), pa.array(places, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, out.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, _Tally] = {}
+        letters, schema = 0, None
+        for batch in batches:
+            schema, n = batch.schema, batch.num_rows
+            named = list(zip(*[batch.column(i).to_pylist() for i in range(len(keys))])) if keys else [()] * n
+            orders, said = batch.column("_order").to_pylist(), batch.column("_said")
+            for start in range(0, n, _ROWS):
+                end = start + _ROWS
+                for key, order, answer in zip(named[start:end], orders[start:end], said.slice(start, _ROWS).to_pylist()):
+                    tally = held.get(key)
+                    if tally is None:
+                        tally = held[key] = _Tally()
+                    if answer is not None:
+                        letters += tally.hear(answer, _NEVER if order is None else int(order))
+                if letters >= _LETTERS:
+                    letters = 0
+                    if sum(t.count() for t in held.values()) >= _ENTRIES:
+                        yield given(held, schema)
+                        held = {}
+        for tally in held.values():
+            tally.count()
+        if held:
+            yield given(held, schema)
+
+    return answers.select(*keys, "_order", "_said").mapInArrow(run, out)

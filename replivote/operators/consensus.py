@@ -17,7 +17,7 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, Shor
 from replivote.functions import text
 from replivote.functions.rounding import ratio3
 from replivote.functions.votes import check_mode, documented_choice, light_once, prepare_once, vote_set, vote_words, word_result
-from replivote.functions.words import repeated_words
+from replivote.functions.words import countable, counted_words, repeated_words
 from replivote.operators.answers import answers_of, distinct_answers, plain_keys
 from replivote.operators.fuzzy import consensus_fuzzy
 from replivote.operators.once import with_computed
@@ -85,6 +85,14 @@ def _items(answers: DataFrame, keys: Sequence[str], parts: Column) -> DataFrame:
     )
 
 
+def _word_items(answers: DataFrame, keys: Sequence[str], cut: Callable[[Column], Column]) -> DataFrame:
+    """``_items`` of the words of lower-cased answers; ``cut`` cuts those whose keys or orders Python does not count."""
+    if not countable(answers, keys):
+        return _items(answers, keys, F.coalesce(cut(F.col("_said")), F.array().cast("array<string>")))
+    counted = counted_words(answers, keys)
+    return counted.groupBy(*keys, "_item").agg(F.sum("_ct").alias("_ct"), F.min(_place(counted)).alias("_first"))
+
+
 @plain_keys
 def consensus_set(
     votes: DataFrame,
@@ -223,9 +231,8 @@ def consensus_words(votes: DataFrame, keys: Sequence[str], *, response="response
 
 def _words_of_many(votes: DataFrame, keys: Sequence[str], response: str, order: str) -> DataFrame:
     """``consensus_words`` for any number of answers per key."""
-    answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
-    parts = F.coalesce(text.tokenize(F.col("_said")), F.array().cast("array<string>"))
-    shared = _shared_words(_items(answers, keys, parts), keys)
+    answers = votes.select(*keys, F.col(order).alias("_order"), F.lower(response).alias("_said"))
+    shared = _shared_words(_word_items(answers, keys, text.tokenize), keys)
     words, score = _word_result(F.col("_shared"), F.col("_distinct"))
     return shared.select(
         *keys, F.coalesce(words, F.lit("no consensus")).alias("consensus"), F.coalesce(score, F.lit(0.0)).alias("confidence")
@@ -253,8 +260,7 @@ def _documented_of_many(votes: DataFrame, keys: Sequence[str], response: str, or
     """``consensus_words_documented`` for any number of answers per key."""
     answers = answers_of(votes, keys, response, order, errors_vote=True)
     answers = answers.withColumn("_said", text.normalize_light(F.col("_said")))
-    parts = F.coalesce(F.split("_said", " "), F.array().cast("array<string>"))
-    shared = _shared_words(_items(answers, keys, parts), keys)
+    shared = _shared_words(_word_items(answers, keys, lambda said: F.split(said, " ")), keys)
     whole = _modal_per_key(distinct_answers(answers, keys, F.col("_said")), keys, "no consensus")
     both = _left_join(whole, shared, keys)
     words, score = _word_result(F.col("_shared"), F.col("_distinct"))
@@ -300,13 +306,12 @@ def consensus_words_in_parts(
     """
     if documented:
         answers = answers_of(votes, keys, response, order, errors_vote=True).withColumn("_said", text.normalize_light(F.col("_said")))
-        parts = F.split("_said", " ")
+        cut = lambda said: F.split(said, " ")
         whole = _modal_per_key(distinct_answers(answers, keys, F.col("_said")), keys, "no consensus")
     else:
-        answers = votes.select(*keys, F.col(order).alias("_order"), F.col(response).alias("_said"))
-        parts = text.tokenize(F.col("_said"))
-        whole = None
-    words = written(_items(answers, keys, F.coalesce(parts, F.array().cast("array<string>"))), "words")
+        answers = votes.select(*keys, F.col(order).alias("_order"), F.lower(response).alias("_said"))
+        cut, whole = text.tokenize, None
+    words = written(_word_items(answers, keys, cut), "words")
     word = F.col("_item").isNotNull()
     counts = words.groupBy(*keys).agg(
         F.count(F.when(word & (F.col("_ct") > 1), 1)).alias("_shared"), F.count(F.when(word, 1)).alias("_distinct")

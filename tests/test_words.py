@@ -77,3 +77,22 @@ def test_set_votes_of_few_and_of_many_answers_agree(spark, monkeypatch):
     monkeypatch.setattr(con, "GATHERED", 256)
     few = con.consensus_set(votes_.where("id < 100"), ["id"])
     assert "posexplode" not in few._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("order", ["int", "long", "decimal(28,0)"])
+def test_words_are_counted_in_tasks_as_rows_are(spark, monkeypatch, order):
+    monkeypatch.setattr(words, "_LETTERS", 40)  # several counts and several gifts a task
+    monkeypatch.setattr(words, "_ENTRIES", 15)
+    local = random.Random(17)
+    pieces = ["a", "b", "c c", " d", "", "e f g", "a b ", "h"]
+    rows = [(local.choice("xyz"), local.choice([None, *range(-3, 12)]), local.choice([None, " ".join(local.choices(pieces, k=4))])) for _ in range(400)]
+    rows += [(None, 1, "z"), ("w", 1, None)]
+    df = spark.createDataFrame(rows, "k string, o int, _said string").repartition(3)
+    answers = df.select("k", F.col("o").cast(order).alias("_order"), "_said")
+    assert words.countable(answers, ["k"])
+    counted = con._word_items(answers, ["k"], text.tokenize)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    listed = con._items(answers, ["k"], F.coalesce(text.tokenize(F.col("_said")), F.array().cast("array<string>")))
+    as_rows = lambda d: sorted((tuple(r) for r in d.select("k", "_item", "_ct", F.when(F.col("_item").isNotNull(), F.col("_first"))).collect()), key=repr)
+    assert as_rows(counted) == as_rows(listed)
