@@ -1,10 +1,13 @@
 """What is moved and how finely it is dealt, read from plans."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from checks import replay
 from checks.queries import QUERIES
 from replivote import session
+from replivote.sources import tables
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -39,3 +42,14 @@ def test_shares_follow_the_bytes_of_the_files(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "SHARE", 10_000)
     assert session.spread(scan, "id").rdd.getNumPartitions() > 10
     assert session.spread(spark.createDataFrame([(1, "a")], "id int, text string"), "id").rdd.getNumPartitions() < 10
+
+
+def test_stored_results_are_packed(spark, tmp_path):
+    local = random.Random(1)
+    said = [" ".join(local.choices(["oak", "elm", "fir", "yew", "ash", "box"], k=400)) for _ in range(200)]
+    table = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "id int, `Response_1 (a.b)` string").repartition(1)
+    size = lambda p: sum(f.stat().st_size for f in p.glob("*.parquet"))
+    table.write.parquet(str(tmp_path / "plain"))
+    tables.write_table(table, str(tmp_path / "sink"))
+    assert size(tmp_path / "sink") < 0.8 * size(tmp_path / "plain")
+    assert sorted(spark.read.parquet(str(tmp_path / "sink")).collect()) == sorted(table.collect())
