@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ROWS = 64  # rows whose texts are Python strings at a time
-_LETTERS = 4 << 20  # letters of different answers that a task holds until it counts their words
-_ENTRIES = 400_000  # words with a key that it holds until it gives them away
-_NEVER = 1 << 100  # comes after every order, as an answer without one does
+_BYTES = 32 << 20  # of answers whose words are counted at a time
 
 
 def split_words(text: str) -> list[str]:
@@ -30,6 +28,13 @@ def split_words(text: str) -> list[str]:
     return words
 
 
+def split_all(texts: pa.Array) -> pa.Array:
+    """``split_words`` of many texts; Arrow alone makes two empty words of a run of white space at the end."""
+    core = pc.utf8_rtrim_whitespace(texts)
+    ended = pc.less(pc.binary_length(core), pc.binary_length(texts))
+    return pc.utf8_split_whitespace(pc.if_else(ended, pc.binary_join_element_wise(core, " ", ""), core))
+
+
 def _repeated(answers: list[str]) -> tuple[str, int, int]:
     """The words of all answers that occur more than once, in first-seen order, their number, and that of all words."""
     counts: Counter[str] = Counter()
@@ -58,50 +63,6 @@ def repeated_words(answers: Column) -> Column:
     return repeated.asNondeterministic()(answers)
 
 
-class _Tally:
-    """Words of one key's answers, how often each was said and where first: the answer's order and the place in it as one number."""
-
-    __slots__ = ("n", "said", "counts", "places")
-
-    def __init__(self):
-        self.n, self.said, self.counts, self.places = 0, {}, Counter(), {}
-
-    def hear(self, answer: str, order: int) -> int:
-        """Keep an answer; gives the letters that are held more."""
-        self.n += 1
-        known = self.said.get(answer)
-        if known is None:
-            self.said[answer] = [1, order]
-            return len(answer)
-        known[0] += 1
-        known[1] = min(known[1], order)
-        return 0
-
-    def count(self) -> int:
-        """Count the words of the answers kept, of equal answers once; gives the number of words."""
-        counts, fresh = self.counts, {}
-        # from the last answer and word to the first, so that the first place is the one that stays
-        for answer, (times, order) in sorted(self.said.items(), key=lambda kept: kept[1][1], reverse=True):
-            words = split_words(answer)
-            if times == 1:
-                counts.update(words)
-            else:
-                for word, n in Counter(words).items():
-                    counts[word] += n * times
-            base = order << 32
-            fresh.update(zip(reversed(words), range(base + len(words) - 1, base - 1, -1)))
-        if len({order for _, order in self.said.values()}) < len(self.said):  # answers of one order: the smaller place counts
-            for answer, (_, order) in self.said.items():
-                for at, word in enumerate(split_words(answer), order << 32):
-                    fresh[word] = min(fresh[word], at)
-        places = self.places
-        for word, at in fresh.items():
-            if places.setdefault(word, at) > at:
-                places[word] = at
-        self.said.clear()
-        return len(counts)
-
-
 def countable(answers: DataFrame, keys: Sequence[str]) -> bool:
     """Whether ``counted_words`` can take these keys and this kind of order."""
     plain = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.DecimalType)
@@ -111,7 +72,7 @@ def countable(answers: DataFrame, keys: Sequence[str]) -> bool:
 
 
 def counted_words(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys, ``_item, _ct, _order, _pos``: words of lower-cased answers ``_said``, counted and placed as far as a task holds them.
+    """Keys, ``_item, _ct, _order, _pos``: words of lower-cased answers ``_said``, counted and placed batch by batch.
 
     A key's words may come several times, to be added up; a row without a word has the number of its
     answers, 0 where all abstained.
@@ -120,45 +81,89 @@ def counted_words(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
     out = T.StructType([T.StructField(k, answers.schema[k].dataType) for k in keys])
     out = out.add("_item", T.StringType()).add("_ct", T.LongType()).add("_order", order_kind).add("_pos", T.LongType())
 
-    def given(held: dict[tuple, _Tally], schema: pa.Schema) -> pa.RecordBatch:
-        tallies = list(held.values())
-        which = pa.array(np.repeat(np.arange(len(held)), [len(t.counts) + 1 for t in tallies]))
-        columns = [pa.array([key[i] for key in held], schema.field(i).type).take(which) for i in range(len(keys))]
-        items = pa.array(list(chain.from_iterable([None, *t.places] for t in tallies)), pa.string())
-        counts = pa.array(list(chain.from_iterable([t.n, *map(t.counts.__getitem__, t.places)] for t in tallies)), pa.int64())
-        known: dict[int, int] = {}
-        at, places = [], []
-        for place in chain.from_iterable([_NEVER << 32, *t.places.values()] for t in tallies):
-            at.append(known.setdefault(place >> 32, len(known)))
-            places.append((place & 0xFFFFFFFF) + 1)  # 0 is the place of the answer itself
-        kind = schema.field("_order").type
-        orders = pa.array([None if order == _NEVER else order for order in known], pa.int64() if pa.types.is_integer(kind) else kind)
-        columns += [items, counts, orders.cast(kind).take(pa.array(at)), pa.array(places, pa.int64())]
+    def counted(rows: pa.RecordBatch) -> pa.RecordBatch:
+        which, first_rows = _numbered_keys([rows.column(i) for i in range(len(keys))], rows.num_rows)
+        order_of, ranks = _ranked(rows.column("_order").to_pylist())
+        said = rows.column("_said").dictionary_encode()
+        spoke = np.flatnonzero(said.indices.is_valid().to_numpy(zero_copy_only=False))
+        texts = said.indices.take(pa.array(spoke)).to_numpy(zero_copy_only=False).astype(np.int64)
+        found = _counted(which[spoke], texts, ranks[spoke], said.dictionary, len(first_rows))
+        key, item, counts, rank, place = found
+        n = np.bincount(which[spoke], minlength=len(first_rows))
+        at = pa.array(first_rows[np.concatenate([np.arange(len(first_rows)), key])])
+        blank = len(first_rows)  # one row without a word per key
+        orders = pa.array([None, *order_of], pa.int64() if pa.types.is_integer(rows.schema.field("_order").type) else rows.schema.field("_order").type)
+        columns = [rows.column(i).take(at) for i in range(len(keys))]
+        columns += [pa.concat_arrays([pa.nulls(blank, pa.string()), item]), pa.array(np.concatenate([n, counts]).astype(np.int64))]
+        columns += [orders.cast(rows.schema.field("_order").type).take(pa.array(np.concatenate([np.zeros(blank, np.int64), rank + 1])))]
+        columns += [pa.array(np.concatenate([np.zeros(blank, np.int64), place + 1]))]  # 0 is the place of the answer itself
         return pa.RecordBatch.from_arrays(columns, out.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, _Tally] = {}
-        letters, schema = 0, None
         for batch in batches:
-            schema, n = batch.schema, batch.num_rows
-            named = list(zip(*[batch.column(i).to_pylist() for i in range(len(keys))])) if keys else [()] * n
-            orders, said = batch.column("_order").to_pylist(), batch.column("_said")
-            for start in range(0, n, _ROWS):
-                end = start + _ROWS
-                for key, order, answer in zip(named[start:end], orders[start:end], said.slice(start, _ROWS).to_pylist()):
-                    tally = held.get(key)
-                    if tally is None:
-                        tally = held[key] = _Tally()
-                    if answer is not None:
-                        letters += tally.hear(answer, _NEVER if order is None else int(order))
-                if letters >= _LETTERS:
-                    letters = 0
-                    if sum(t.count() for t in held.values()) >= _ENTRIES:
-                        yield given(held, schema)
-                        held = {}
-        for tally in held.values():
-            tally.count()
-        if held:
-            yield given(held, schema)
+            sizes = pc.fill_null(pc.binary_length(batch.column("_said")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            share = (np.cumsum(sizes) - sizes) // _BYTES
+            starts = np.flatnonzero(np.diff(share, prepend=-1))
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                yield counted(batch.slice(start, end - start))
 
     return answers.select(*keys, "_order", "_said").mapInArrow(run, out)
+
+
+def _numbered_keys(columns: list[pa.Array], rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's key, and a row of each key."""
+    which = np.zeros(rows, dtype=np.int64)
+    for column in columns:
+        codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        which = np.unique(which * (codes.max(initial=0) + 1) + codes, return_inverse=True)[1]
+    _, first, which = np.unique(which, return_index=True, return_inverse=True)
+    return which, first
+
+
+def _ranked(orders: list) -> tuple[list, np.ndarray]:
+    """Different orders, rising, and each one's place among them; an answer without one comes last."""
+    known = sorted({o for o in orders if o is not None}) + [None]
+    places = {o: i for i, o in enumerate(known)}
+    return known, np.array([places[o] for o in orders], dtype=np.int64)
+
+
+def _counted(
+    keys: np.ndarray, texts: np.ndarray, ranks: np.ndarray, spelt: pa.Array, n_keys: int
+) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, word, count, first answer's rank and place in it, for every key and word of its answers.
+
+    Equal answers are cut once, and count as often as a key has them; all else is done with numbers.
+    """
+    cut = split_all(spelt)
+    words = cut.flatten().dictionary_encode()
+    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    rising = np.argsort(ranks, kind="stable")  # so that the first of equal answers is the one that counts
+    pairs, first, times = np.unique((keys * max(len(spelt), 1) + texts)[rising], return_index=True, return_counts=True)
+    first = rising[first]
+    order = np.argsort(ranks[first], kind="stable")
+    key, text, rank, times = keys[first][order], texts[first][order], ranks[first][order], times[order]
+    long = lengths[text]
+    total = int(long.sum())
+    place = np.arange(total) - np.repeat(np.cumsum(long) - long, long)
+    number = np.repeat(key, long) * max(len(words.dictionary), 1) + codes[np.repeat(starts[text], long) + place]
+    place += np.repeat(rank << 32, long)
+    if len(np.unique(key * (rank.max(initial=0) + 1) + rank)) < len(key):  # answers of one order: the smaller place counts
+        place_order = np.argsort(place, kind="stable")
+    else:
+        place_order = np.arange(total)
+    cells = n_keys * max(len(words.dictionary), 1)
+    if cells <= 8 * total + (1 << 20):
+        counts = np.bincount(number, weights=np.repeat(times, long), minlength=cells).astype(np.int64)
+        at = np.zeros(cells, dtype=np.int64)
+        at[number[place_order[::-1]]] = place[place_order[::-1]]  # of several the last stays, which is the first place
+        found = np.flatnonzero(counts)
+        counts, at = counts[found], at[found]
+    else:
+        together = np.argsort(number, kind="stable")
+        found, begins = np.unique(number[together], return_index=True)
+        counts = np.add.reduceat(np.repeat(times, long)[together], begins) if len(found) else np.zeros(0, np.int64)
+        at = np.minimum.reduceat(place[together], begins) if len(found) else np.zeros(0, np.int64)
+    size = max(len(words.dictionary), 1)
+    return found // size, words.dictionary.take(pa.array(found % size)), counts, at >> 32, at & 0xFFFFFFFF

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ def test_words_are_cut_as_columns_cut_them(spark):
     df = spark.createDataFrame([(s,) for s in said], "said string").select(F.lower("said").alias("low"), text.tokenize(F.col("said")).alias("cut"))
     for low, cut in df.collect():
         assert words.split_words(low) == cut
+        assert words.split_all(pa.array([low])).to_pylist() == [cut]
 
 
 def test_equal_answers_are_cut_once(monkeypatch):
@@ -79,10 +81,9 @@ def test_set_votes_of_few_and_of_many_answers_agree(spark, monkeypatch):
     assert "posexplode" not in few._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("order", ["int", "long", "decimal(28,0)"])
-def test_words_are_counted_in_tasks_as_rows_are(spark, monkeypatch, order):
-    monkeypatch.setattr(words, "_LETTERS", 40)  # several counts and several gifts a task
-    monkeypatch.setattr(words, "_ENTRIES", 15)
+@pytest.mark.parametrize("order, size", [("int", 100), ("long", 1 << 20), ("decimal(28,0)", 300)])
+def test_words_are_counted_in_tasks_as_rows_are(spark, monkeypatch, order, size):
+    monkeypatch.setattr(words, "_BYTES", size)
     local = random.Random(17)
     pieces = ["a", "b", "c c", " d", "", "e f g", "a b ", "h"]
     rows = [(local.choice("xyz"), local.choice([None, *range(-3, 12)]), local.choice([None, " ".join(local.choices(pieces, k=4))])) for _ in range(400)]
