@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ROWS = 64  # rows whose texts are Python strings at a time
-_BYTES = 32 << 20  # of answers whose words are counted at a time
+_BYTES = 6 << 20  # of answers whose words are counted at a time
 
 
 def split_words(text: str) -> list[str]:

@@ -53,3 +53,8 @@ def test_stored_results_are_packed(spark, tmp_path):
     tables.write_table(table, str(tmp_path / "sink"))
     assert size(tmp_path / "sink") < 0.8 * size(tmp_path / "plain")
     assert sorted(spark.read.parquet(str(tmp_path / "sink")).collect()) == sorted(table.collect())
+
+
+def test_words_of_sources_are_counted_where_texts_are_read(spark):
+    plan = _plan(QUERIES["consensus_words_by_source"](spark, TABLES))
+    assert "hashpartitioning(doc_id" not in plan and "MapInArrow" in plan
