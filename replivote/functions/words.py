@@ -52,12 +52,13 @@ def repeated_words(answers: Column) -> Column:
 
     @F.arrow_udf("struct<words: string, shared: int, distinct: int>")
     def repeated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kinds = [pa.string(), pa.int32(), pa.int32()]
         for rows in batches:
-            found = [_repeated(row or []) for at in range(0, len(rows), _ROWS) for row in rows.slice(at, _ROWS).to_pylist()]
-            words, shared, distinct = zip(*found) if found else ((), (), ())
-            yield pa.StructArray.from_arrays(
-                [pa.array(words, pa.string()), pa.array(shared, pa.int32()), pa.array(distinct, pa.int32())], ["words", "shared", "distinct"]
-            )
+            # results leave in small batches, and a batch goes before the next one comes
+            for at in range(0, len(rows), _ROWS):
+                found = zip(*[_repeated(row or []) for row in rows.slice(at, _ROWS).to_pylist()])
+                yield pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(found, kinds)], ["words", "shared", "distinct"])
+            del rows
 
     # declared non-deterministic, so that it is planned once and as a step of its own
     return repeated.asNondeterministic()(answers)
